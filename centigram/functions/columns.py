@@ -46,6 +46,18 @@ def unpivot_row(row: DataFrame, label: str, entries: dict[str, dict[str, Column]
     )
 
 
+def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """``df`` with the columns of a one-row table (global statistics) on every row.
+
+    The row is a scalar subquery: computed once, checked by Spark to be a single row, and
+    neither joined nor broadcast.  It is unpacked by a generator because Spark would
+    repeat the subquery for each field read from it, and would move a filter on these
+    columns below the projection that computes the other side of the comparison.
+    """
+    packed = row.select(F.struct(*[col(c) for c in row.columns]).alias("row")).scalar()
+    return df.select(*[col(c) for c in df.columns], F.inline(F.array(packed)))
+
+
 def bounded(groups: DataFrame, limit: int = MAX_GROUPS) -> DataFrame:
     """The same rows, provably at most ``limit``: the query fails if there are more.
 
@@ -59,22 +71,22 @@ def bounded(groups: DataFrame, limit: int = MAX_GROUPS) -> DataFrame:
     )
 
 
-def per_cluster(groups: DataFrame, k: int, cluster: str) -> Column:
-    """A table with one row per cluster as one struct: ``c0`` .. ``c<k-1>``, NULL for a missing id.
+def cluster_row(groups: DataFrame, k: int, cluster: str) -> DataFrame:
+    """A table with one row per cluster as one wide row: ``_<value>_<id>`` for ids 0..k-1.
 
-    It is a scalar subquery, so every row can see every cluster without a join.  Add it
-    as a column once and read its fields: each use of the subquery is planned separately.
-    An id outside 0..k-1 fails the query.
+    With ``with_row`` every row can see every cluster without a join.  A missing id gives
+    NULLs; an id outside 0..k-1 fails the query.
     """
-    values = [col(c) for c in groups.columns if c != cluster]
+    values = [c for c in groups.columns if c != cluster]
     fields = [
-        F.max(F.when(col(cluster) == i, F.struct(*values))).alias(f"c{i}") for i in range(k)
+        F.max(F.when(col(cluster) == i, col(v))).alias(f"_{v}_{i}")
+        for i in range(k)
+        for v in values
     ]
     stray = F.count_if(F.coalesce(~col(cluster).between(0, k - 1), F.lit(True)))
-    one = groups.agg(F.struct(*fields).alias("clusters"), stray.alias("stray"))
-    error = F.raise_error(F.lit(f"cluster id outside 0..{k - 1}"))
-    checked = F.when(F.col("stray") == 0, F.col("clusters")).otherwise(error)
-    return one.select(checked.alias("clusters")).scalar()
+    wide = groups.agg(*fields, stray.alias("_stray"))
+    error = F.raise_error(F.lit(f"cluster id outside 0..{k - 1}")).cast("boolean")
+    return wide.filter(F.when(F.col("_stray") == 0, True).otherwise(error)).drop("_stray")
 
 
 def smallest(columns: list[Column]) -> Column:

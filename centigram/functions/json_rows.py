@@ -37,7 +37,8 @@ def rows_from_json(lines: DataFrame, schema: T.StructType, column: str = "value"
     """
     full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return lines.select(F.from_json(col(column), full, options).alias("r")).select("r.*")
+    # Generated, so that each line is parsed once for all of its columns.
+    return lines.select(F.inline(F.array(F.from_json(col(column), full, options))))
 
 
 def centers_to_json(centers: DataFrame, features) -> DataFrame:

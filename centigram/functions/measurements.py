@@ -9,6 +9,9 @@ from centigram.schemas import NAME, NESTED
 # Fixed values: (separator, replacement) pairs that give the accepted spellings of a name.
 SEPARATOR_SWAPS = (("_", "-"), ("-", " "), ("-", "_"), ("_", " "))
 
+# No array is this long.
+ABSENT_INDEX = 2147483646
+
 
 def name_variants(feature: str) -> list[str]:
     """Every accepted spelling of ``feature``; the array's order decides which one wins."""
@@ -24,9 +27,14 @@ def measured(feature: str, array: str = NESTED, name: str = "name", value: str =
     """
     names = col(array).getField(name)
     values = col(array).getField(value)
-    places = [F.nullif(F.array_position(names, v), F.lit(0)) for v in name_variants(feature)]
-    first = places[0] if len(places) == 1 else F.least(*places)
-    return F.try_element_at(values, first.cast("int")).cast("double")
+    # array_position counts from 1 and gives 0 for "absent"; wrapped around, absent lies
+    # beyond every real index, so the smallest index is the first match of any spelling.
+    indexes = [
+        F.pmod(F.array_position(names, v) - 1, F.lit(ABSENT_INDEX + 1))
+        for v in name_variants(feature)
+    ]
+    first = indexes[0] if len(indexes) == 1 else F.least(*indexes)
+    return F.get(values, first.cast("int")).cast("double")
 
 
 def first_text(array: str = NAME, field: str = "text") -> Column:

@@ -8,7 +8,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import col, per_cluster, smallest
+from centigram.functions.columns import cluster_row, col, smallest, with_row
 from centigram.operators.scaling import assembler_stage, scaler_stage
 from centigram.schemas import (
     CENTERS,
@@ -131,9 +131,9 @@ def assign_to_centers(
     )
     squared = {}
     for c in range(k):
-        center, total = F.col("_centers")[f"c{c}"], F.lit(0.0)
+        total = F.lit(0.0)
         for i, f in enumerate(features):
-            difference = col(f) - center[f"m{i}"]
+            difference = col(f) - F.col(f"_m{i}_{c}")
             total = total + difference * difference
         squared[f"_d{c}"] = total
     least = F.col("_least")
@@ -141,11 +141,14 @@ def assign_to_centers(
     nearest = F.lit(None).cast("int")
     for c in reversed(range(k)):
         nearest = F.when(F.col(f"_d{c}") == least, c).otherwise(nearest)
+    rows = df.drop(CLUSTER)
     return (
-        df.drop(CLUSTER)
-        .withColumn("_centers", per_cluster(wide, k, CLUSTER))
+        with_row(rows, cluster_row(wide, k, CLUSTER))
         .withColumns(squared)
         .withColumn("_least", smallest([F.col(name) for name in squared]))
-        .withColumns({CLUSTER: nearest, "distance": F.sqrt(least)})
-        .drop("_centers", "_least", *squared)
+        .select(
+            *[col(c) for c in rows.columns],
+            nearest.alias(CLUSTER),
+            F.sqrt(least).alias("distance"),
+        )
     )

@@ -7,7 +7,7 @@ count, coordinate sums and sum of squared norms, so no pair of rows is ever form
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import col, per_cluster, smallest
+from centigram.functions.columns import cluster_row, col, smallest, with_row
 from centigram.schemas import CLUSTER, DEFAULT_K, FEATURES
 
 
@@ -30,19 +30,18 @@ def silhouette_rows(
     df: DataFrame, k: int = DEFAULT_K, features=FEATURES, cluster: str = CLUSTER
 ) -> DataFrame:
     """``df`` plus ``silhouette``: NULL if only one cluster has rows, 0 for a lone member."""
-    moments = per_cluster(cluster_moments(df, features, cluster), k, "cluster")
-    clusters = [F.col("_clusters")[f"c{c}"] for c in range(k)]
+    moments = cluster_row(cluster_moments(df, features, cluster), k, "cluster")
     own = col(cluster)
     distances = {}
-    for c, known in enumerate(clusters):
+    for c in range(k):
         dot = F.lit(0.0)
         for i, f in enumerate(features):
-            dot = dot + col(f) * known[f"m{i}"]
-        distances[f"_d{c}"] = F.col("_norm") + known["spread"] - dot * 2
+            dot = dot + col(f) * F.col(f"_m{i}_{c}")
+        distances[f"_d{c}"] = F.col("_norm") + F.col(f"_spread_{c}") - dot * 2
 
     inner, outer = F.lit(None).cast("double"), []
-    for c, known in enumerate(clusters):
-        distance, n = F.col(f"_d{c}"), known["n"]
+    for c in range(k):
+        distance, n = F.col(f"_d{c}"), F.col(f"_n_{c}")
         # The row itself is among its cluster's n rows, at distance 0.
         inner = F.when((own == c) & (n > 1), distance * n / (n - 1)).otherwise(inner)
         outer.append(F.when(own != c, distance))
@@ -54,11 +53,10 @@ def silhouette_rows(
         .otherwise(b / a - 1.0)
     )
     return (
-        df.withColumns({"_clusters": moments, "_norm": _squared_norm(features)})
+        with_row(df.withColumn("_norm", _squared_norm(features)), moments)
         .withColumns(distances)
         .withColumns({"_a": inner, "_b": smallest(outer)})
-        .withColumn("silhouette", score)
-        .drop("_clusters", "_norm", "_a", "_b", *distances)
+        .select(*[col(c) for c in df.columns], score.alias("silhouette"))
     )
 
 

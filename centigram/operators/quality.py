@@ -4,10 +4,12 @@ Rules are plain conditions, so a filter and the report on it share one definitio
 report on several rules is one pass.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import all_of, any_of, col, present, unpivot_row
+from centigram.functions.columns import all_of, any_of, col, present, unpivot_row, with_row
 from centigram.schemas import DEFAULT_FILL_RATE, DEFAULT_OUTLIER_THRESHOLD, FEATURES
 
 
@@ -33,17 +35,28 @@ def zscore_rule(
     available = present(df, features)
     if not available:
         return F.lit(True)
+    moments = _moments(df, available)
+    packed = moments.select(F.struct(*moments.columns).alias("row")).scalar()
+    return _within(available, threshold, lambda name: packed[name])
+
+
+def _moments(df: DataFrame, features) -> DataFrame:
+    """One row: ``_mean<i>`` and ``_sd<i>`` per feature; no usable deviation is NULL."""
     moments = []
-    for i, f in enumerate(available):
-        # No usable deviation is NULL here, which switches the feature off below.
+    for i, f in enumerate(features):
         sd = F.nullif(F.stddev_samp(col(f)), F.lit(0.0))
-        moments += [F.avg(col(f)).alias(f"mean{i}"), sd.alias(f"sd{i}")]
-    stats = df.agg(F.struct(*moments).alias("stats")).scalar()
-    within = []
-    for i, f in enumerate(available):
-        mean, sd = stats[f"mean{i}"], stats[f"sd{i}"]
-        within.append(F.coalesce(F.abs((col(f) - mean) / sd) < threshold, sd.isNull()))
-    return all_of(within)
+        moments += [F.avg(col(f)).alias(f"_mean{i}"), sd.alias(f"_sd{i}")]
+    return df.agg(*moments)
+
+
+def _within(features, threshold: float, stat: Callable[[str], Column] = F.col) -> Column:
+    return all_of(
+        F.coalesce(
+            F.abs((col(f) - stat(f"_mean{i}")) / stat(f"_sd{i}")) < threshold,
+            stat(f"_sd{i}").isNull(),
+        )
+        for i, f in enumerate(features)
+    )
 
 
 def any_positive(df: DataFrame, features=FEATURES) -> DataFrame:
@@ -58,7 +71,12 @@ def complete_cases(df: DataFrame, features=FEATURES) -> DataFrame:
 def zscore_filter(
     df: DataFrame, features=FEATURES, threshold: float = DEFAULT_OUTLIER_THRESHOLD
 ) -> DataFrame:
-    return df.filter(zscore_rule(df, features, threshold))
+    """Rows that meet ``zscore_rule``."""
+    available = present(df, features)
+    if not available:
+        return df
+    rows = with_row(df, _moments(df, available)).filter(_within(available, threshold))
+    return rows.select(*[col(c) for c in df.columns])
 
 
 def percent(part: Column, whole: Column) -> Column:

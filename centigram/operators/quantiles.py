@@ -10,7 +10,7 @@ fixed share of a large group) are ever sorted together.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import any_of, bounded, col, present
+from centigram.functions.columns import any_of, bounded, col, present, with_row
 from centigram.schemas import FEATURES
 
 DEFAULT_ACCURACY = 10_000
@@ -44,15 +44,17 @@ def _brackets(
         for j in range(len(probabilities)):
             lower = F.when(tight, F.get(f"q{i}", F.lit(j))).otherwise(F.col(f"min{i}"))
             upper = F.when(tight, F.get(f"q{i}", F.lit(len(low) + j))).otherwise(F.col(f"max{i}"))
-            per_feature += [lower.alias(f"lo{i}_{j}"), upper.alias(f"hi{i}_{j}")]
+            per_feature += [lower.alias(f"_lo{i}_{j}"), upper.alias(f"_hi{i}_{j}")]
     return grouped.select(*(["group"] if group else []), *per_feature)
 
 
-def _counted_values(feature: str, i: int, size: int, lo, hi) -> Column:
+def _counted_values(feature: str, i: int, size: int) -> Column:
     """(feature, value, inside): the value itself if bracketed, else the gap's lower edge."""
     value = col(feature)
-    inside = any_of((value >= lo(i, j)) & (value <= hi(i, j)) for j in range(size))
-    edges = [F.when(value > hi(i, j), hi(i, j)) for j in range(size)]
+    low = [F.col(f"_lo{i}_{j}") for j in range(size)]
+    high = [F.col(f"_hi{i}_{j}") for j in range(size)]
+    inside = any_of((value >= lo) & (value <= hi) for lo, hi in zip(low, high))
+    edges = [F.when(value > hi, hi) for hi in high]
     edge = edges[0] if size == 1 else F.greatest(*edges)
     return F.struct(
         F.lit(feature).alias("feature"),
@@ -85,19 +87,11 @@ def exact_quantiles(
         rows = df.select(col(group).alias("group"), *[col(f) for f in features])
         same = rows["group"].eqNullSafe(brackets["group"])
         rows = rows.join(brackets, same).drop(brackets["group"])
-        prefix, keys = "", ["group", "feature"]
+        keys = ["group", "feature"]
     else:
-        one = brackets.select(F.struct(*brackets.columns).alias("b")).scalar()
-        rows = df.select(*[col(f) for f in features], one.alias("_b"))
-        prefix, keys = "_b.", ["feature"]
-
-    def lo(i: int, j: int) -> Column:
-        return F.col(f"{prefix}lo{i}_{j}")
-
-    def hi(i: int, j: int) -> Column:
-        return F.col(f"{prefix}hi{i}_{j}")
-
-    entries = F.array(*[_counted_values(f, i, size, lo, hi) for i, f in enumerate(features)])
+        rows = with_row(df.select(*[col(f) for f in features]), brackets)
+        keys = ["feature"]
+    entries = F.array(*[_counted_values(f, i, size) for i, f in enumerate(features)])
     counted = (
         rows.select(*keys[:-1], F.inline(entries))
         .filter(F.col("inside").isNotNull())

@@ -8,10 +8,10 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import col
+from centigram.functions.columns import col, with_row
 from centigram.operators.quantiles import exact_quantiles
 from centigram.schemas import DEFAULT_METHOD, FEATURES
 
@@ -41,52 +41,49 @@ def scaler_stage(method: str = DEFAULT_METHOD):
     raise ValueError(f"Unsupported scaling method: {method}")
 
 
-def _parameters(df: DataFrame, features, method: str) -> Column:
-    """Centre ``c<i>`` and width ``w<i>`` per feature, as one struct from one aggregate row."""
+def _parameters(df: DataFrame, features, method: str) -> DataFrame:
+    """One row: centre ``_center<i>`` and width ``_width<i>`` per feature."""
     if method == "robust":
         quartiles = exact_quantiles(df, (0.25, 0.5, 0.75), features)
         q = [
             F.max(F.when(F.col("feature") == f, F.col("quantiles"))).alias(f"q{i}")
             for i, f in enumerate(features)
         ]
-        row = quartiles.agg(*q)
-        pairs = [(F.col(f"q{i}")[1], F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) for i in range(len(q))]
-    else:
-        measures = {
-            "standard": lambda v: (F.avg(v), F.stddev_samp(v)),
-            "minmax": lambda v: (F.min(v), F.max(v) - F.min(v)),
-            "maxabs": lambda v: (F.lit(0.0), F.max(F.abs(v))),
-        }
-        if method not in measures:
-            raise ValueError(f"Unsupported scaling method: {method}")
-        named = []
-        for i, f in enumerate(features):
-            center, width = measures[method](col(f))
-            named += [center.alias(f"c{i}"), width.alias(f"w{i}")]
-        row = df.agg(*named)
-        pairs = [(F.col(f"c{i}"), F.col(f"w{i}")) for i in range(len(features))]
-    fields = []
-    for i, (center, width) in enumerate(pairs):
-        fields += [center.alias(f"c{i}"), width.alias(f"w{i}")]
-    return row.select(F.struct(*fields).alias("parameters")).scalar()
+        fields = []
+        for i, _ in enumerate(features):
+            box = F.col(f"q{i}")
+            fields += [box[1].alias(f"_center{i}"), (box[2] - box[0]).alias(f"_width{i}")]
+        return quartiles.agg(*q).select(*fields)
+    measures = {
+        "standard": lambda v: (F.avg(v), F.stddev_samp(v)),
+        "minmax": lambda v: (F.min(v), F.max(v) - F.min(v)),
+        "maxabs": lambda v: (F.lit(0.0), F.max(F.abs(v))),
+    }
+    if method not in measures:
+        raise ValueError(f"Unsupported scaling method: {method}")
+    aggregates = []
+    for i, f in enumerate(features):
+        center, width = measures[method](col(f))
+        aggregates += [center.alias(f"_center{i}"), width.alias(f"_width{i}")]
+    return df.agg(*aggregates)
 
 
 def scale_columns(
     df: DataFrame, features=FEATURES, method: str = DEFAULT_METHOD, prefix: str = "scaled_"
 ) -> DataFrame:
-    """Add ``<prefix><feature>`` columns; the parameters come from one scalar subquery.
+    """Add ``<prefix><feature>`` columns; the parameters come from one aggregate row.
 
     A column without spread becomes 0 (0.5 for min-max).  NULL stays NULL.
     """
     flat = F.lit(0.5 if method == "minmax" else 0.0)
-    scaled = {}
+    scaled = []
     for i, f in enumerate(features):
-        center, width = F.col("_parameters")[f"c{i}"], F.col("_parameters")[f"w{i}"]
+        center, width = F.col(f"_center{i}"), F.col(f"_width{i}")
         usable = width.isNotNull() & (width != 0)
         value = F.when(usable, (col(f) - center) / width).otherwise(flat)
-        scaled[prefix + f] = F.when(col(f).isNotNull(), value)
-    fitted = df.withColumn("_parameters", _parameters(df, features, method))
-    return fitted.withColumns(scaled).drop("_parameters")
+        scaled.append(F.when(col(f).isNotNull(), value).alias(prefix + f))
+    fitted = with_row(df, _parameters(df, features, method))
+    return fitted.select(*[col(c) for c in df.columns], *scaled)
 
 
 def vector_columns(
