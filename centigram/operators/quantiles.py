@@ -1,16 +1,16 @@
 """Exact quantiles per group that never hold a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one buffer.  Here a mergeable
-sketch first brackets each wanted rank between two values.  One aggregation then counts
-the values: those inside a bracket individually, those between brackets under a single
-stand-in.  Ranks read off those counts are exact, and only the bracketed values (a small
-fixed share of a large group) are ever sorted together.
+sketch first brackets each wanted rank between two values of the group.  One aggregation
+then counts the values: those in a bracket (a fixed small share of a large group) one by
+one, those between brackets together.  The bracketed values are cut into bins, and only
+the bins that hold a wanted rank are sorted.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import any_of, bounded, col, present, with_row
+from centigram.functions.columns import MAX_GROUPS, any_of, bounded, col, present, with_row
 from centigram.schemas import FEATURES
 
 DEFAULT_ACCURACY = 10_000
@@ -18,17 +18,20 @@ DEFAULT_ACCURACY = 10_000
 # Half-width of a bracket, in multiples of the sketch's guaranteed rank error.
 SLACK = 8
 
+# Equal-width cuts of each bracket.
+BINS = 1024
+
 
 def _brackets(
     df: DataFrame, features, group: str | None, probabilities, accuracy: int
 ) -> DataFrame:
-    """Per group and feature: count and, per probability, values that enclose the rank."""
+    """Per group: for each feature and probability, two values that enclose the rank."""
     slack = SLACK / accuracy
     low = [max(0.0, p - slack) for p in probabilities]
     high = [min(1.0, p + slack) for p in probabilities]
-    # Small groups are bracketed by their extremes: all of their values are counted.
+    # Small groups are bracketed by their extremes: all of their values are candidates.
     small = accuracy * SLACK
-    aggregates = []
+    aggregates, columns = [], []
     for i, f in enumerate(features):
         value = col(f)
         aggregates += [
@@ -37,92 +40,127 @@ def _brackets(
             F.max(value).alias(f"max{i}"),
             F.percentile_approx(value, low + high, accuracy).alias(f"q{i}"),
         ]
-    grouped = df.groupBy(*([col(group).alias("group")] if group else [])).agg(*aggregates)
-    per_feature = []
-    for i, _ in enumerate(features):
         tight = F.col(f"n{i}") > small
         for j in range(len(probabilities)):
             lower = F.when(tight, F.get(f"q{i}", F.lit(j))).otherwise(F.col(f"min{i}"))
             upper = F.when(tight, F.get(f"q{i}", F.lit(len(low) + j))).otherwise(F.col(f"max{i}"))
-            per_feature += [lower.alias(f"_lo{i}_{j}"), upper.alias(f"_hi{i}_{j}")]
-    return grouped.select(*(["group"] if group else []), *per_feature)
-
-
-def _counted_values(feature: str, i: int, size: int) -> Column:
-    """(feature, value, inside): the value itself if bracketed, else the gap's lower edge."""
-    value = col(feature)
-    low = [F.col(f"_lo{i}_{j}") for j in range(size)]
-    high = [F.col(f"_hi{i}_{j}") for j in range(size)]
-    inside = any_of((value >= lo) & (value <= hi) for lo, hi in zip(low, high))
-    edges = [F.when(value > hi, hi) for hi in high]
-    edge = edges[0] if size == 1 else F.greatest(*edges)
-    return F.struct(
-        F.lit(feature).alias("feature"),
-        F.when(inside, value).otherwise(edge).alias("value"),
-        # NULL values stay out of the counts below.
-        F.when(value.isNotNull(), inside).alias("inside"),
+            columns += [lower.alias(f"_lo{i}_{j}"), upper.alias(f"_hi{i}_{j}")]
+    keys = ["group"] if group else []
+    return df.groupBy(*[col(group).alias("group") for _ in keys]).agg(*aggregates).select(
+        *keys, *columns
     )
 
 
+def _counted(rows: DataFrame, features, size: int, keys) -> DataFrame:
+    """(keys, feature, slot, gap, value, copies): every non-null value, placed in order.
+
+    ``slot`` never decreases with the value.  Inside a bracket it is the left edge of the
+    value's bin; values between brackets share the edge below them, are flagged ``gap``
+    and lose their identity (``value`` is NULL), so they collapse to one row per task.
+    """
+    limits = [(f"_lo{j}", f"_hi{j}") for j in range(size)]
+    entries = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            col(f).alias("value"),
+            *[F.col(f"_{side}{i}_{j}").alias(f"_{side}{j}") for j in range(size) for side in ("lo", "hi")],
+        )
+        for i, f in enumerate(features)
+    ]
+    value = F.col("value")
+    edge, inside = F.lit(None).cast("double"), F.lit(False)
+    for lo, hi in reversed(limits):
+        here = (value >= F.col(lo)) & (value <= F.col(hi))
+        width = (F.col(hi) - F.col(lo)) / BINS
+        left = F.least(value, F.col(lo) + F.floor((value - F.col(lo)) / width) * width)
+        edge = F.when(here, F.when(width > 0, left).otherwise(F.col(lo))).otherwise(edge)
+        inside = inside | here
+    passed = [F.when(value > F.col(hi), F.col(hi)) for _, hi in limits]
+    return (
+        rows.select(*keys, F.inline(F.array(*entries)))
+        .filter(value.isNotNull())
+        .withColumn("inside", inside)
+        .select(
+            *keys,
+            "feature",
+            F.greatest(edge, *passed).alias("slot"),
+            (~F.col("inside")).alias("gap"),
+            F.when(F.col("inside"), value).alias("value"),
+        )
+        .groupBy(*keys, "feature", "slot", "gap", "value")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+
+
+def _running(df: DataFrame, parts, order, amount: str) -> DataFrame:
+    """Add ``before``: the sum of ``amount`` over the rows ahead in each part."""
+    ahead = Window.partitionBy(*parts).orderBy(*order)
+    return df.withColumn("before", F.sum(amount).over(ahead) - F.col(amount))
+
+
+def _holds(index: Column, amount: str) -> Column:
+    return (F.col("before") <= index) & (index < F.col("before") + F.col(amount))
+
+
+def _join(left: DataFrame, right: DataFrame, names) -> DataFrame:
+    """Equi-join in which NULL keys match."""
+    right = right.withColumnsRenamed({n: f"_{n}" for n in names})
+    same = [left[n].eqNullSafe(right[f"_{n}"]) for n in names]
+    return left.join(right, same).drop(*[f"_{n}" for n in names])
+
+
 def exact_quantiles(
     df: DataFrame,
     probabilities,
     features=FEATURES,
     group: str | None = None,
     accuracy: int = DEFAULT_ACCURACY,
-    group_limit: int | None = 10_000,
+    group_limit: int | None = MAX_GROUPS,
 ) -> DataFrame:
     """(group, feature, n, quantiles): linearly interpolated, ignoring NULLs.
 
     The brackets are attached by a broadcast join that fails above ``group_limit`` groups;
     ``group_limit=None`` joins them by shuffle instead, for any number of groups.
     """
-    features = present(df, features)
-    probabilities = list(probabilities)
-    size = len(probabilities)
+    features, probabilities = present(df, features), list(probabilities)
     brackets = _brackets(df, features, group, probabilities, accuracy)
+    values = [col(f) for f in features]
     if group:
         if group_limit is not None:
             brackets = F.broadcast(bounded(brackets, group_limit))
-        rows = df.select(col(group).alias("group"), *[col(f) for f in features])
-        same = rows["group"].eqNullSafe(brackets["group"])
-        rows = rows.join(brackets, same).drop(brackets["group"])
-        keys = ["group", "feature"]
+        keys = ["group"]
+        rows = _join(df.select(col(group).alias("group"), *values), brackets, keys)
     else:
-        rows = with_row(df.select(*[col(f) for f in features]), brackets)
-        keys = ["feature"]
-    entries = F.array(*[_counted_values(f, i, size) for i, f in enumerate(features)])
-    counted = (
-        rows.select(*keys[:-1], F.inline(entries))
-        .filter(F.col("inside").isNotNull())
-        .groupBy(*keys, "value", "inside")
-        .agg(F.count(F.lit(1)).alias("copies"))
+        keys = []
+        rows = with_row(df.select(*values), brackets)
+
+    part, slot = [*keys, "feature"], ["slot", "gap"]
+    counted = _counted(rows, features, len(probabilities), keys)
+    # At most BINS slots per bracket: a short window, whatever the size of the group.
+    slots = counted.groupBy(*part, *slot).agg(F.sum("copies").alias("size"))
+    total = F.sum("size").over(Window.partitionBy(*part))
+    slots = _running(slots.withColumn("n", total), part, ["slot", "gap"], "size")
+
+    places = [(F.col("n") - 1) * F.lit(float(p)) for p in probabilities]
+    wanted = [rank for place in places for rank in (F.floor(place), F.ceil(place))]
+    chosen = slots.filter(any_of(_holds(rank, "size") for rank in wanted)).select(
+        *part, *slot, "n", F.col("before").alias("start")
     )
-    # A gap's stand-in is the bracket edge below it, so it sorts right after that edge.
-    ordered = Window.partitionBy(*keys).orderBy(
-        F.col("value").asc_nulls_first(), F.col("inside").desc()
+    copies = _join(counted, chosen, [*part, *slot])
+    ordered = _running(copies, [*part, *slot], ["value"], "copies").withColumn(
+        "before", F.col("before") + F.col("start")
     )
-    whole = Window.partitionBy(*keys)
-    ranked = counted.withColumns(
-        {
-            "last": F.sum("copies").over(ordered) - 1,
-            "n": F.sum("copies").over(whole),
-        }
-    ).withColumn("first", F.col("last") - F.col("copies") + 1)
     missed = F.raise_error(F.lit("rank outside its bracket; raise accuracy")).cast("double")
-    exact = F.when(F.col("inside"), F.col("value")).otherwise(missed)
-
-    def at(index: Column) -> Column:
-        return F.max(F.when((F.col("first") <= index) & (index <= F.col("last")), exact))
-
-    picks = []
-    for j, p in enumerate(probabilities):
-        place = (F.col("n") - 1) * F.lit(float(p))
-        picks += [at(F.floor(place)).alias(f"a{j}"), at(F.ceil(place)).alias(f"b{j}")]
-    found = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
-    quantiles = []
-    for j, p in enumerate(probabilities):
-        place = (F.col("n") - 1) * F.lit(float(p))
-        share = place - F.floor(place)
-        quantiles.append(F.col(f"a{j}") + (F.col(f"b{j}") - F.col(f"a{j}")) * share)
-    return found.select(*keys, "n", F.array(*quantiles).alias("quantiles"))
+    exact = F.when(F.col("gap"), missed).otherwise(F.col("value"))
+    found = ordered.groupBy(*part).agg(
+        F.max("n").alias("n"),
+        *[
+            F.max(F.when(_holds(rank, "copies"), exact)).alias(f"v{i}")
+            for i, rank in enumerate(wanted)
+        ],
+    )
+    quantiles = [
+        F.col(f"v{2 * j}") + (F.col(f"v{2 * j + 1}") - F.col(f"v{2 * j}")) * (place - F.floor(place))
+        for j, place in enumerate(places)
+    ]
+    return found.select(*part, "n", F.array(*quantiles).alias("quantiles"))
