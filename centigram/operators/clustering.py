@@ -60,6 +60,8 @@ def fit(
         featuresCol="scaled_features",
         predictionCol=CLUSTER,
         weightCol="weight",
+        # The block solver fails when the data has fewer distinct points than k.
+        solver="row",
     )
     model = kmeans.fit(scaler.transform(assembler.transform(points)))
     return PipelineModel(stages=[assembler, scaler, model])
