@@ -192,22 +192,25 @@ ORACLES["scaled_vector_columns"] = ORACLES["scale_standard"]
 
 # --- clusters ---
 MEANS = f"means AS (SELECT cluster, {each('avg({q}) AS {q}')} FROM k GROUP BY cluster)"
-SQUARED = each("(k.{q} - means.{q}) * (k.{q} - means.{q})", " + ")
+SQUARED = each("(r.{q} - means.{q}) * (r.{q} - means.{q})", " + ")
+NUMBERED = "r AS (SELECT *, row_number() OVER () AS rid FROM k)"
 ORACLES["assign_to_centers"] = from_k(
-    f"""SELECT code, arg_min(cluster, d * 1e6 + cluster * 1e-9) AS cluster,
-      {r6('sqrt(min(d))')} AS distance
-    FROM (SELECT k.code, means.cluster, {SQUARED} AS d FROM k, means) GROUP BY code""",
+    f"""SELECT code, cluster, {r6('sqrt(d)')} AS distance
+    FROM (SELECT rid, r.code, means.cluster, {SQUARED} AS d FROM r, means)
+    QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, cluster) = 1""",
     MEANS,
+    NUMBERED,
 )
 NORM = each("{q} * {q}", " + ")
 SILHOUETTE = [
+    NUMBERED,
     f"""c AS (SELECT cluster, count(*) AS n, avg({NORM}) AS spread,
       {each('avg({q}) AS m{i}')} FROM k GROUP BY cluster)""",
-    f"""d AS (SELECT k.code, k.cluster AS own, c.cluster AS other, c.n,
-      {NORM} + c.spread - 2 * ({each('{q} * m{i}', ' + ')}) AS d FROM k, c)""",
-    """ab AS (SELECT code, own, max(n) FILTER (own = other) AS n,
+    f"""d AS (SELECT rid, r.cluster AS own, c.cluster AS other, c.n,
+      {NORM} + c.spread - 2 * ({each('{q} * m{i}', ' + ')}) AS d FROM r, c)""",
+    """ab AS (SELECT rid, own, max(n) FILTER (own = other) AS n,
       max(d * n / (n - 1)) FILTER (own = other AND n > 1) AS a, min(d) FILTER (own <> other) AS b
-      FROM d GROUP BY code, own)""",
+      FROM d GROUP BY rid, own)""",
     """s AS (SELECT own AS cluster, CASE WHEN b IS NULL THEN NULL WHEN n = 1 OR a = b THEN 0.0
       WHEN a < b THEN 1 - a / b ELSE b / a - 1 END AS s FROM ab)""",
 ]
@@ -221,7 +224,8 @@ ORACLES["kmeans_invariants"] = from_p(
       count(*) AS sized_rows, CAST(5 AS BIGINT) AS clusters FROM p"""
 )
 ORACLES["score_batch"] = from_p(
-    """SELECT code AS product_id, CAST(2 AS BIGINT) AS runs, CAST(1 AS BIGINT) AS clusters FROM p"""
+    """SELECT code AS product_id, CAST(2 * count(*) AS BIGINT) AS results, true AS repeats
+    FROM p GROUP BY code"""
 )
 
 SIZES = """sizes AS (
@@ -233,7 +237,8 @@ ORACLES["cluster_sizes"] = from_k("SELECT cluster, size FROM sizes", SIZES)
 ORACLES["cluster_share"] = from_k("SELECT cluster, size, share FROM shares", SIZES, SHARES)
 ORACLES["cluster_distinct"] = from_k("SELECT count(DISTINCT cluster) AS clusters FROM k")
 RANKED = """ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY cluster ORDER BY code) AS INTEGER) AS rank FROM k)"""
+  SELECT *, CAST(row_number() OVER (PARTITION BY cluster ORDER BY code, product_name, "energy-kcal",
+    fat, carbohydrates, proteins, sugars) AS INTEGER) AS rank FROM k)"""
 ORACLES["cluster_samples"] = from_k(
     f"SELECT {COLUMNS}, cluster, rank FROM ranked WHERE rank <= 5", RANKED
 )

@@ -332,10 +332,12 @@ def score_batch(spark, folder):
     products = nested_products(spark, folder)
     for run in ("first", "second"):
         jobs.score_batch(spark, products, model, results, centers, run)
-    runs = read_table(spark, results).groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("runs"), F.count_distinct("cluster_id").alias("clusters")
+    in_run = {
+        run: F.sum(F.when(F.col("run_id") == run, F.col("cluster_id"))) for run in ("first", "second")
+    }
+    return read_table(spark, results).groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("results"), (in_run["first"] == in_run["second"]).alias("repeats")
     )
-    return runs
 
 
 # --- summaries -------------------------------------------------------------------------

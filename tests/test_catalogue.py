@@ -10,9 +10,6 @@ from __spark_entry__ import entry, oracle_sql, queries
 
 FOLDER = "/root/testdata/sf0.001"
 ROWS_ONLY = {"kmeans_fit_score", "train_report"}
-# A duplicate code at this size makes the expected rows of these ambiguous.
-UNIQUE_CODE = {"score_batch", "assign_to_centers", "silhouette_by_cluster", "silhouette_overall",
-               "run_metrics", "append_products", "hash_sample_limit"}
 
 
 @pytest.fixture(scope="module")
@@ -41,7 +38,7 @@ def test_every_query_has_sql():
     assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - UNIQUE_CODE))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, tables, name):
     df = queries()[name](spark, FOLDER)
     rows = df.collect()
