@@ -13,25 +13,29 @@ CODE = "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
 
 PRODUCT_NAME = """
 CASE l_linenumber
-  WHEN 7 THEN filter(array(named_struct('lang', 'main', 'text', p_name)), x -> false)
+  WHEN 7 THEN slice(array(named_struct('lang', 'main', 'text', p_name)), 1, 0)
   WHEN 6 THEN NULL
   ELSE array(named_struct('lang', 'main', 'text', p_name),
              named_struct('lang', 'en', 'text', upper(p_name))) END
 """
 
-NUTRIMENTS = """
-CASE WHEN l_linenumber = 3 AND l_returnflag = 'A' THEN NULL
-ELSE filter(array(
-  named_struct('name', CASE l_returnflag WHEN 'A' THEN 'energy-kcal'
-                       WHEN 'N' THEN 'energy kcal' ELSE 'energy_kcal' END,
-               '100g', CAST(l_extendedprice / 100 AS FLOAT)),
-  named_struct('name', IF(l_linenumber = 5, 'absent', 'fat'), '100g', CAST(l_quantity AS FLOAT)),
-  named_struct('name', 'carbohydrates',
-               '100g', IF(l_linenumber = 4, CAST(NULL AS FLOAT), CAST(p_size AS FLOAT))),
-  named_struct('name', 'proteins', '100g', CAST(l_discount * 100 AS FLOAT)),
-  named_struct('name', 'sugars', '100g', CAST(l_tax * 100 AS FLOAT)),
-  named_struct('name', IF(l_linenumber = 2, 'sugars', 'absent'), '100g', CAST(999 AS FLOAT))
-), x -> x.name <> 'absent') END
+ENERGY = """named_struct('name', CASE l_returnflag WHEN 'A' THEN 'energy-kcal'
+  WHEN 'N' THEN 'energy kcal' ELSE 'energy_kcal' END,
+  '100g', CAST(l_extendedprice / 100 AS FLOAT))"""
+FAT = "named_struct('name', 'fat', '100g', CAST(l_quantity AS FLOAT))"
+CARBOHYDRATES = """named_struct('name', 'carbohydrates',
+  '100g', IF(l_linenumber = 4, CAST(NULL AS FLOAT), CAST(p_size AS FLOAT)))"""
+PROTEINS = "named_struct('name', 'proteins', '100g', CAST(l_discount * 100 AS FLOAT))"
+SUGARS = "named_struct('name', 'sugars', '100g', CAST(l_tax * 100 AS FLOAT))"
+MORE_SUGARS = "named_struct('name', 'sugars', '100g', CAST(999 AS FLOAT))"
+
+NUTRIMENTS = f"""
+CASE
+  WHEN l_linenumber = 3 AND l_returnflag = 'A' THEN NULL
+  WHEN l_linenumber = 5 THEN array({ENERGY}, {CARBOHYDRATES}, {PROTEINS}, {SUGARS})
+  WHEN l_linenumber = 2
+    THEN array({ENERGY}, {FAT}, {CARBOHYDRATES}, {PROTEINS}, {SUGARS}, {MORE_SUGARS})
+  ELSE array({ENERGY}, {FAT}, {CARBOHYDRATES}, {PROTEINS}, {SUGARS}) END
 """
 
 

@@ -41,6 +41,27 @@ def rows_from_json(lines: DataFrame, schema: T.StructType, column: str = "value"
     return lines.select(F.inline(F.array(F.from_json(col(column), full, options))))
 
 
+def rows_from_responses(
+    responses: DataFrame, schema: T.StructType, column: str = "value"
+) -> DataFrame:
+    """Rows of ``{"success": .., "message": .., "data": [..]}`` documents, one document per line.
+
+    A document that does not report success, or cannot be read, fails the query.
+    """
+    envelope = T.StructType(
+        [
+            T.StructField("success", T.BooleanType()),
+            T.StructField("message", T.StringType()),
+            T.StructField("data", T.ArrayType(schema)),
+        ]
+    )
+    parsed = responses.select(F.inline(F.array(F.from_json(col(column), envelope))))
+    reason = F.coalesce(F.col("message"), F.lit("unreadable response"))
+    failed = F.raise_error(F.concat(F.lit("request failed: "), reason))
+    rows = F.when(F.col("success"), F.col("data")).otherwise(failed)
+    return parsed.select(F.inline(rows))
+
+
 def centers_to_json(centers: DataFrame, features) -> DataFrame:
     """Long centres (cluster, feature, value) -> one row ``{"centers": [[..]], "featureNames": [..]}``."""
     wide = centers.groupBy(CLUSTER).agg(

@@ -53,6 +53,9 @@ class Report:
     silhouettes: DataFrame
     metrics: DataFrame
     detail: DataFrame
+    center_table: DataFrame
+    distribution: DataFrame
+    density: DataFrame | None
 
 
 def describe(
@@ -88,9 +91,20 @@ def describe(
         silhouettes=silhouettes,
         metrics=summaries.run_metrics(sizes, overall),
         detail=summaries.cluster_detail(shares, centers, samples, features),
+        center_table=summaries.centers_wide(centers, features),
+        distribution=summaries.distribution_by_cluster(scored, features),
+        density=summaries.density_2d_by_cluster(scored, *features[:2])
+        if len(features) > 1
+        else None,
     )
 
 
+def save_report(report: Report, path: str) -> None:
+    """The model under ``path``/model and the run metrics as JSON under ``path``/metrics."""
+    clustering.save_model(report.model, f"{path}/model")
+    report.metrics.write.mode("overwrite").json(f"{path}/metrics")
+
+
 def train_report(
     products: DataFrame,
     features=FEATURES,
@@ -121,10 +135,15 @@ def score_batch(
     **training,
 ) -> Report:
     """Score a batch with the saved model (trained on it if there is none) and store the run."""
-    prepared = stored(prepare_features(products, features))
-    model = clustering.load_or_fit(
-        spark, model_path, lambda: clustering.fit(prepared, features, **training)
-    )
+    prepared = prepare_features(products, features)
+
+    def train() -> PipelineModel:
+        nonlocal prepared
+        # Training reads the batch several times; scoring alone reads it once.
+        prepared = stored(prepared)
+        return clustering.fit(prepared, features, **training)
+
+    model = clustering.load_or_fit(spark, model_path, train)
     report = describe(model, prepared, features)
     write_results(report.scored, results_path, run_id, id_style)
     write_centers(report.centers, centers_path, run_id)

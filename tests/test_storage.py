@@ -6,7 +6,13 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from centigram.functions.json_rows import CORRUPT, rows_from_json, rows_to_json
+from centigram.__main__ import main
+from centigram.functions.json_rows import (
+    CORRUPT,
+    rows_from_json,
+    rows_from_responses,
+    rows_to_json,
+)
 from centigram.functions.keys import product_id
 from centigram.operators.text import text_lines, word_count
 from centigram.plans import jobs
@@ -354,3 +360,49 @@ def test_json_products(spark, products, tmp_path):
     products.write.json(str(tmp_path / "j"))
     back = read_products(spark, str(tmp_path / "j"), "json", schema=RAW_PRODUCTS)
     assert back.exceptAll(products).count() == 0
+
+
+def test_save_report(spark, products, tmp_path):
+    jobs.save_report(jobs.train_report(products, k=2), str(tmp_path / "saved"))
+    metrics = spark.read.json(str(tmp_path / "saved" / "metrics")).first()
+    assert metrics["success"] and metrics["cluster_count"] == 2
+    assert spark.read.text(str(tmp_path / "saved" / "model" / "metadata")).count() == 1
+
+
+def test_responses(spark):
+    good = [
+        '{"success":true,"message":"ok","data":[{"code":"1","fat":1.5},{"code":"2"}]}',
+        '{"success":true,"message":"ok","data":[]}',
+    ]
+    schema = T.StructType.fromDDL("code string, fat double")
+    lines = spark.createDataFrame([(g,) for g in good], "value string")
+    assert [tuple(r) for r in rows_from_responses(lines, schema).collect()] == [
+        ("1", 1.5), ("2", None)
+    ]
+    for bad in ('{"success":false,"message":"no table","data":[]}', "not json"):
+        failing = spark.createDataFrame([(bad,)], "value string")
+        with pytest.raises(Exception, match="request failed"):
+            rows_from_responses(failing, schema).collect()
+
+
+def test_command_line(spark, products, tmp_path, capsys):
+    source = str(tmp_path / "s")
+    products.write.parquet(source)
+    main(["train", "--source", source, "--k", "2", "--save", str(tmp_path / "saved")])
+    main(["train", "--sample", "--k", "2"])
+    paths = {n: str(tmp_path / n) for n in ("results", "centers")}
+    main(
+        ["score", "--source", source, "--model", str(tmp_path / "saved" / "model"), "--run-id", "r"]
+        + [x for n, p in paths.items() for x in (f"--{n}", p)]
+    )
+    assert read_table(spark, paths["results"]).count() == 200
+    main(["etl", "--source", source, "--target", str(tmp_path / "t"), "--percent", "100"])
+    assert read_table(spark, str(tmp_path / "t")).count() == 200
+    sample_products(spark).write.csv(str(tmp_path / "c"), sep="\t", header=True)
+    main(["etl", "--source", str(tmp_path / "c"), "--target", str(tmp_path / "u"),
+          "--percent", "100", "--format", "csv"])
+    assert read_table(spark, str(tmp_path / "u")).count() == 5
+    (tmp_path / "in.txt").write_text("a b a\n")
+    main(["count-words", "--source", str(tmp_path / "in.txt"), "--target", str(tmp_path / "w")])
+    assert spark.read.csv(str(tmp_path / "w")).count() == 2
+    assert "Clustering completed successfully" in capsys.readouterr().out
