@@ -32,7 +32,9 @@ def weighted_points(df: DataFrame, features=FEATURES, partitions: int | None = N
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [col(f) for f in features]
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    return counted.repartition(partitions, *columns).sortWithinPartitions(*columns)
+    # Spread by a derived key: repartitioning by the grouping columns themselves would be
+    # folded into the aggregation's shuffle, whose partitions adaptive execution merges.
+    return counted.repartition(partitions, F.xxhash64(*columns)).sortWithinPartitions(*columns)
 
 
 def fit(

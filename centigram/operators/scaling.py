@@ -38,7 +38,7 @@ def scaler_stage(method: str = DEFAULT_METHOD):
         return MaxAbsScaler(**columns)
     if method == "robust":
         return RobustScaler(withCentering=True, withScaling=True, **columns)
-    raise ValueError(f"Unsupported scaling method: {method}")
+    raise ValueError(f"scaling method {method!r} is not one of {METHODS}")
 
 
 def _parameters(df: DataFrame, features, method: str) -> DataFrame:
@@ -60,7 +60,7 @@ def _parameters(df: DataFrame, features, method: str) -> DataFrame:
         "maxabs": lambda v: (F.lit(0.0), F.max(F.abs(v))),
     }
     if method not in measures:
-        raise ValueError(f"Unsupported scaling method: {method}")
+        raise ValueError(f"scaling method {method!r} is not one of {METHODS}")
     aggregates = []
     for i, f in enumerate(features):
         center, width = measures[method](col(f))
@@ -91,6 +91,6 @@ def vector_columns(
 ) -> DataFrame:
     """One double column per element of a vector column."""
     if vector not in df.columns:
-        raise ValueError(f"Column '{vector}' not found in DataFrame")
+        raise ValueError(f"no vector column {vector!r}")
     values = vector_to_array(col(vector))
     return df.withColumns({prefix + f: values[i] for i, f in enumerate(features)})

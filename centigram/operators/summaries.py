@@ -12,6 +12,7 @@ from centigram.schemas import (
     FEATURES,
     KEY,
     NAME,
+    RUN_MESSAGE,
     RUN_METRICS,
     VECTORS,
 )
@@ -74,12 +75,13 @@ def distribution_by_cluster(
     features=FEATURES,
     cluster: str = CLUSTER,
     accuracy: int = DEFAULT_ACCURACY,
-    group_limit: int = MAX_GROUPS,
+    group_limit: int | None = MAX_GROUPS,
 ) -> DataFrame:
     """Box-plot table: n, min, quartiles, max, whiskers and outlier count per cluster and feature.
 
     Quartiles are exact.  Whiskers are the outermost values within 1.5 interquartile
-    ranges of the box, and stop at the box if there are none beyond it.
+    ranges of the box, and stop at the box if there are none beyond it.  ``group_limit``
+    is that of ``exact_quantiles``.
     """
     features = present(df, features)
     boxes = exact_quantiles(
@@ -93,8 +95,9 @@ def distribution_by_cluster(
         ]
     )
     values = df.select(col(cluster).alias("cluster"), *[col(f) for f in features])
-    small = F.broadcast(bounded(wide, group_limit))
-    rows = values.join(small, values["cluster"].eqNullSafe(small["group"])).drop("group")
+    if group_limit is not None:
+        wide = F.broadcast(bounded(wide, group_limit))
+    rows = values.join(wide, values["cluster"].eqNullSafe(wide["group"])).drop("group")
     aggregates = []
     for i, f in enumerate(features):
         value, q1, q3 = col(f), F.col(f"q{i}")[0], F.col(f"q{i}")[2]
@@ -182,7 +185,7 @@ def cluster_detail(
 def run_metrics(
     sizes: DataFrame,
     silhouette: DataFrame,
-    message: str = "Clustering completed successfully",
+    message: str = RUN_MESSAGE,
     cluster: str = CLUSTER,
 ) -> DataFrame:
     """One row: success, message, cluster_count, silhouette_score and sizes by cluster id."""

@@ -6,19 +6,22 @@ from pyspark.sql import functions as F
 from centigram.functions.columns import col
 
 
-def _unix_lines(text: Column) -> Column:
-    return F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\r", "\n")
+def _normalized(df: DataFrame, column: str) -> DataFrame:
+    """Non-empty texts as ``text``, with \\n as the only line break."""
+    text = F.translate(F.replace(col(column), F.lit("\r\n"), F.lit("\n")), "\r", "\n")
+    return df.filter(col(column) != "").select(text.alias("text"))
 
 
-def _without_last_break(text: Column) -> Column:
+def _without_last_break() -> Column:
+    """A break at the very end closes the last line; it does not open another."""
+    text = F.col("text")
     return F.when(text.endswith("\n"), F.left(text, F.length(text) - 1)).otherwise(text)
 
 
 def text_lines(df: DataFrame, column: str = "value") -> DataFrame:
     """Multi-line text as one ``value`` per line, as a text file would be read."""
-    text = _unix_lines(col(column))
-    lines = F.split(_without_last_break(text), "\n")
-    return df.filter(text != "").select(F.explode(lines).alias("value"))
+    lines = F.split(_without_last_break(), "\n")
+    return _normalized(df, column).select(F.explode(lines).alias("value"))
 
 
 def word_count(df: DataFrame, column: str = "value") -> DataFrame:
@@ -27,7 +30,6 @@ def word_count(df: DataFrame, column: str = "value") -> DataFrame:
     A line break ends a word just as a space does, so one split serves both.  Counting
     starts before the shuffle: a word that fills the corpus is one row per task.
     """
-    text = _unix_lines(col(column))
-    words = F.split(F.translate(_without_last_break(text), "\n", " "), " ")
-    tokens = df.filter(text != "").select(F.explode(words).alias("word"))
+    words = F.split(F.translate(_without_last_break(), "\n", " "), " ")
+    tokens = _normalized(df, column).select(F.explode(words).alias("word"))
     return tokens.groupBy("word").agg(F.count(F.lit(1)).alias("count"))

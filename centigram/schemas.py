@@ -35,6 +35,9 @@ DEFAULT_EXTRACT_ROWS = 50_000
 DEFAULT_BATCH_ROWS = 10
 DEFAULT_SAMPLES_PER_CLUSTER = 5
 
+# Fixed value: message of a finished run.
+RUN_MESSAGE = "Clustering completed successfully"
+
 RAW_PRODUCTS = T.StructType(
     [
         T.StructField(KEY, T.StringType()),

@@ -41,7 +41,7 @@ def read_products(
             raise ValueError("JSON needs a schema, or infer=True")
         df = reader.json(path)
     else:
-        raise ValueError(f"Unsupported file format: {fmt}")
+        raise ValueError(f"no reader for format {fmt!r}")
     return df.select(*[col(c) for c in wanted_columns(df, features)])
 
 
@@ -74,7 +74,7 @@ def read_table(
 ) -> DataFrame:
     """A whole stored table: a Parquet folder, a catalogue table, or a JDBC table."""
     if fmt == "jdbc":
-        return spark.read.format("jdbc").options(**(options or {})).load()
+        return spark.read.format("jdbc").options(**{"dbtable": table, **(options or {})}).load()
     if fmt == "catalog":
         return spark.table(table)
     return spark.read.format(fmt).options(**(options or {})).load(table)

@@ -57,8 +57,9 @@ def test_centers_shapes(rows):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, long.collect()))
 
 
-def test_box_plot_by_brute_force(rows):
-    out = summaries.distribution_by_cluster(rows, XY).collect()
+@pytest.mark.parametrize("group_limit", [10, None])
+def test_box_plot_by_brute_force(rows, group_limit):
+    out = summaries.distribution_by_cluster(rows, XY, group_limit=group_limit).collect()
     data = rows.toPandas()
     assert len(out) == 4
     for row in out:
