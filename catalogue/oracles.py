@@ -93,6 +93,10 @@ ORACLES["hash_sample_rows"] = from_f(f"SELECT {COLUMNS} FROM f WHERE {BUCKET} <
 ORACLES["hash_sample_limit"] = from_f(
     f"SELECT {COLUMNS} FROM f WHERE {BUCKET} < 10 ORDER BY code LIMIT 500"
 )
+ORACLES["random_sample"] = (
+    "SELECT count(*) > 0 AS near, CAST(0 AS BIGINT) AS strays, CAST(0 AS BIGINT) AS differs "
+    "FROM lineitem"
+)
 ORACLES["insert_batch"] = from_p(f"SELECT {COLUMNS} FROM p ORDER BY code LIMIT 10")
 ORACLES["bounded_extract"] = from_f(f"SELECT {COLUMNS} FROM f ORDER BY code LIMIT 5000")
 
@@ -131,6 +135,7 @@ ORACLES["prepare_without_outliers"] = from_p(
 ORACLES["any_positive"] = POSITIVE
 ORACLES["validated_read"] = POSITIVE
 ORACLES["json_row_exchange"] = POSITIVE
+ORACLES["json_responses"] = PREPARED
 ORACLES["complete_cases"] = from_f(
     f"SELECT {COLUMNS} FROM f WHERE {each('{q} IS NOT NULL', ' AND ')}"
 )
@@ -307,6 +312,9 @@ ORACLES["run_metrics"] = from_k(
     *SILHOUETTE,
 )
 ORACLES["result_rows"] = from_k("SELECT code AS product_id, cluster AS cluster_id FROM k")
+ORACLES["product_id_styles"] = from_f("""
+SELECT count(DISTINCT code) AS ids, count(DISTINCT code) AS long_ids, CAST(0 AS BIGINT) AS outside
+FROM f""")
 ORACLES["json_file_exchange"] = from_k(f"SELECT {COLUMNS}, cluster FROM k")
 ORACLES["json_typed_values"] = r"""
 SELECT event_type = 'error' AS corrupt,

@@ -11,7 +11,10 @@ from centigram.functions.json_rows import (
     centers_from_json,
     centers_to_json,
     rows_from_json,
+    rows_from_responses,
+    rows_to_json,
 )
+from centigram.functions.keys import product_id
 from centigram.functions.measurements import list_text
 from centigram.operators import clustering, evaluation, quality, summaries
 from centigram.operators.nested import (
@@ -21,6 +24,7 @@ from centigram.operators.nested import (
     prepare_features,
 )
 from centigram.operators.sampling import hash_sample, head_by_key, sample_then_head
+from centigram.operators.sampling import random_sample as random_sample_of
 from centigram.operators.scaling import (
     assembler_stage,
     scale_columns,
@@ -119,6 +123,25 @@ def bounded_extract(spark, folder):
     return extract_features(read_products(spark, path))
 
 
+@query
+def random_sample(spark, folder):
+    """A seeded tenth: about the right size, nothing that is not in the table, repeatable."""
+    products = nested_products(spark, folder)
+    tenth, again = (random_sample_of(products, 0.1, seed=7) for _ in range(2))
+    rows = products.agg(F.count(F.lit(1)).alias("n"))
+    strays = tenth.join(products.select("code").distinct(), "code", "left_anti")
+    differs = tenth.select("code").exceptAll(again.select("code"))
+    counts = tenth.agg(F.count(F.lit(1)).alias("sampled")).withColumns(
+        {
+            "n": rows.scalar(),
+            "strays": strays.agg(F.count(F.lit(1)).alias("n")).scalar(),
+            "differs": differs.agg(F.count(F.lit(1)).alias("n")).scalar(),
+        }
+    )
+    near = (F.col("sampled") > F.col("n") * 0.08) & (F.col("sampled") < F.col("n") * 0.12)
+    return counts.select(near.alias("near"), "strays", "differs")
+
+
 # --- nested data and projections -------------------------------------------------------
 
 
@@ -429,6 +452,19 @@ def result_rows(spark, folder):
     return sinks.result_rows(clustered_products(spark, folder)).drop("created_at")
 
 
+@query
+def product_id_styles(spark, folder):
+    """Facts about the hashed keys: one per code, 64-bit ones distinct, 32-bit ones in range."""
+    rows = clustered_products(spark, folder)
+    ids = rows.select("code", *[product_id(rows, s).alias(s) for s in ("int", "long")]).distinct()
+    in_range = (F.col("int") >= 0) & (F.col("int") < 2147483647)
+    return ids.agg(
+        F.count(F.lit(1)).alias("ids"),
+        F.count_distinct("long").alias("long_ids"),
+        F.count_if(~in_range).alias("outside"),
+    )
+
+
 # --- JSON exchange ---------------------------------------------------------------------
 
 
@@ -438,6 +474,15 @@ def json_row_exchange(spark, folder):
     return rows_from_json(rows, flat_products()).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
+@query
+def json_responses(spark, folder):
+    """Every product in a response document of its own, and back."""
+    rows = rows_to_json(prepared_products(spark, folder))
+    start, end = F.lit('{"success":true,"message":"ok","data":['), F.lit("]}")
+    responses = rows.select(F.concat(start, "value", end).alias("value"))
+    return rows_from_responses(responses, flat_products())
+
+
 @query
 def json_file_exchange(spark, folder):
     path = scratch_path(spark, "rows")
