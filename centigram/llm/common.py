@@ -30,20 +30,28 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(value))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Store df through a reliable checkpoint, so that later steps do not compute it again.
-
-    The folder is the session's `spark.checkpoint.dir`.  Only a local session without one
-    gets a temporary folder.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; only a local session without one gets a temporary one."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Store df through a reliable checkpoint, so that later steps do not compute it again."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def texts(df: DataFrame) -> DataFrame:
     """(doc_id, text) with null texts as empty ones."""
     return df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

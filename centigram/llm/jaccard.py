@@ -436,3 +436,13 @@ def groups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL, cells: i
     return classes.join(of, "sig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The documents without near copies: of each group the row with the least doc_id stays.
+
+    Equal rows are one; rows without a doc_id cannot be told apart and all stay.
+    """
+    heads = groups(docs, percent).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(heads, "doc_id", "left_semi").withColumn("__text", F.xxhash64("text"))
+    return named.dropDuplicates(["doc_id", "__text"]).drop("__text").union(docs.where("doc_id IS NULL"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from centigram.llm import labels as L
 from centigram.llm.common import cut
-from centigram.llm.stats import COUNTS, RATIOS, text_stats
+from centigram.llm.stats import COUNTS, RATIOS, named, text_stats
 
 #: Labelled rows that the learner may read.
 TRAIN_ROWS = 30_000
@@ -156,7 +156,7 @@ def judge(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFra
     results; with no usable label the list is empty and the base rules decide alone; an empty
     table gives an empty result.
     """
-    stats = cut(text_stats(docs).withColumn("base_failed", base_failed()))
+    stats = cut(named(text_stats(docs)).withColumn("base_failed", base_failed()))
     known = L.sample(stats.select("doc_id", *RATIOS), L.one_label(labels, "quality"), rows)
     rules = learn(known[list(RATIOS)].to_numpy(float), known["label"].to_numpy(int) == 0, RATIOS)
     return stats.withColumn("rule", expression(rules)).select(

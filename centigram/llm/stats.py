@@ -8,8 +8,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from centigram.llm.common import batch_of, prepare, raw, texts
+from centigram.llm.common import batch_of, prepare, raw
 
 #: Fixed values of the contract.
 SYMBOLS = b"#*$%&|<>"
@@ -110,21 +111,31 @@ def describe(text: bytes) -> tuple:
     )
 
 
-def text_stats(docs: DataFrame) -> DataFrame:
-    """doc_id, COUNTS (long) and RATIOS (double) of every whole text; null counts as empty."""
+def text_stats(docs: DataFrame, passed: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The passed columns, COUNTS (long) and RATIOS (double) of every whole text.
+
+    Null counts as empty.
+    """
     prepare(docs.sparkSession)
-    key = docs.schema["doc_id"].dataType.simpleString()
-    columns = [f"doc_id {key}", *(f"{c} long" for c in COUNTS), *(f"{c} double" for c in RATIOS)]
+    kept = docs.select(*(F.col(f"`{c}`") for c in passed), F.coalesce("text", F.lit("")).alias("__text"))
+    columns = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in passed]
+    columns += [f"`__{c}` long" for c in COUNTS] + [f"`__{c}` double" for c in RATIOS]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [describe(t) for t in raw(batch.column("text"))]
-            fields = dict(zip(COUNTS + RATIOS, zip(*rows, strict=True), strict=True)) if rows else {c: () for c in COUNTS + RATIOS}
+            rows = [describe(t) for t in raw(batch.column("__text"))]
+            values = [*zip(*rows, strict=True)] if rows else [()] * len(COUNTS + RATIOS)
+            fields = {c: batch.column(c) for c in passed} | {f"__{c}": v for c, v in zip(COUNTS + RATIOS, values, strict=True)}
             schema = pa.schema(
-                [pa.field("doc_id", batch.column("doc_id").type)]
-                + [pa.field(c, pa.int64()) for c in COUNTS]
-                + [pa.field(c, pa.float64()) for c in RATIOS]
+                [pa.field(c, batch.column(c).type) for c in passed]
+                + [pa.field(f"__{c}", pa.int64()) for c in COUNTS]
+                + [pa.field(f"__{c}", pa.float64()) for c in RATIOS]
             )
-            yield batch_of(fields | {"doc_id": batch.column("doc_id")}, schema)
+            yield batch_of(fields, schema)
+
+    return kept.mapInArrow(measure, ", ".join(columns))
+
 
-    return texts(docs).mapInArrow(measure, ", ".join(columns))
+def named(stats: DataFrame) -> DataFrame:
+    """doc_id and the statistics under their plain names."""
+    return stats.select("doc_id", *(F.col(f"__{c}").alias(c) for c in COUNTS + RATIOS))
