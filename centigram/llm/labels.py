@@ -17,6 +17,13 @@ def one_label(labels: DataFrame, column: str) -> DataFrame:
 
 
 def sample(stats: DataFrame, labels: DataFrame, limit: int):
-    """At most `limit` labelled rows, those with the least hash of doc_id, as pandas."""
-    rows = stats.dropDuplicates(["doc_id"]).join(labels, "doc_id")
-    return rows.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(limit).toPandas()
+    """About `limit` labelled rows at most, those whose hash of doc_id is low enough, as pandas.
+
+    The hash thins the rows before the join, so no more than the sample reaches the driver.
+    """
+    total = labels.count()
+    grain = 1 << 30
+    share = min(grain, grain * limit // max(1, total))
+    low = lambda df: df.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(grain)) < share)
+    rows = low(stats).dropDuplicates(["doc_id"]).join(low(labels), "doc_id")
+    return rows.orderBy("doc_id").toPandas()
