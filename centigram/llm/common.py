@@ -7,6 +7,7 @@ on UTF-8 bytes follows the contract without a pattern.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 from typing import Any
@@ -41,8 +42,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Store df through a reliable checkpoint, so that later steps do not compute it again."""
+    """Store df through a reliable checkpoint, so that later steps do not compute it again.
+
+    Shuffle files of steps that are stored by now go when the driver's JVM collects its
+    garbage; asking for that keeps a long job's disk to what its last steps need.
+    """
     shared_folder(df.sparkSession)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.checkpoint()
 
 

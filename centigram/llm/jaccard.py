@@ -18,6 +18,7 @@ and no link between components is lost.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -113,7 +114,7 @@ def scan(docs: DataFrame, cells: int = CELLS) -> DataFrame:
             )
         if seen:
             none = pa.nulls(SLICES)
-            parts = [counts[k * width : (k + 1) * width].tobytes() for k in range(SLICES)]
+            parts = [zlib.compress(counts[k * width : (k + 1) * width].tobytes(), 1) for k in range(SLICES)]
             yield pa.record_batch(
                 [none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())],
                 ["doc_id", "n", "sig", "slice", "counts"],
@@ -128,7 +129,7 @@ def summed(slices: DataFrame, cells: int = CELLS) -> np.ndarray:
     def add(key, table):
         total = np.zeros(cells // SLICES, np.int64)
         for part in table.column("counts").to_pylist():
-            total += np.frombuffer(part, np.int32)
+            total += np.frombuffer(zlib.decompress(part), np.int32)
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
     out = np.zeros(cells, np.int64)
@@ -322,7 +323,7 @@ def fragments(docs: DataFrame, wanted: Callable[[], np.ndarray], count: int = FR
     """(sig, f, hashes): the sorted hashes of each fragment of the classes of wanted documents.
 
     Fragments are equal ranges of the hash, the order's last key, so both members of a pair
-    cut alike.
+    cut alike.  A class may come more than once, each time alike.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,21 +350,31 @@ def fragments(docs: DataFrame, wanted: Callable[[], np.ndarray], count: int = FR
                 yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(fs, pa.int32()), pa.ListArray.from_arrays(ends, flat)], ["sig", "f", "hashes"])
 
     keyed = texts(docs).select(F.xxhash64("doc_id").alias("key"), "text")
-    return keyed.mapInArrow(read, "sig long, f int, hashes array<long>").dropDuplicates(["sig", "f"])
+    return keyed.mapInArrow(read, "sig long, f int, hashes array<long>")
 
 
-def linked(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union, by sums over fragments."""
+def linked(docs: DataFrame, pairs: DataFrame, heads: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) with 100 * intersection >= percent * union, by sums over fragments.
+
+    Texts are read once more, but only those of classes in these pairs are cut into fragments.
+    Both joins deal fragments alike, so Spark shuffles them once.
+    """
+    spark = docs.sparkSession
+    concerned = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    wanted = spark.sparkContext.broadcast(key_filter(heads.join(concerned, "sig").select(F.xxhash64("head").alias("key"))))
+    parts = fragments(docs, lambda: wanted.value)
     left = parts.select(F.col("sig").alias("a"), "f", F.col("hashes").alias("x"))
     right = parts.select(F.col("sig").alias("b"), "f", F.col("hashes").alias("y"))
     overlaps = (
-        pairs.select("a", "b")
-        .join(left, "a")
+        pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("f"))
+        .join(left, ["a", "f"])
         .join(right, ["b", "f"])
+        .groupBy("a", "b", "f")
+        .agg(F.max(F.size(F.array_intersect("x", "y"))).alias("both"))
         .groupBy("a", "b")
-        .agg(F.sum(F.size(F.array_intersect("x", "y"))).alias("both"))
+        .agg(F.sum("both").alias("both"))
     )
-    n = sizes.select("sig", "n")
+    n = heads.select("sig", "n")
     return (
         overlaps.join(n.select(F.col("sig").alias("a"), F.col("n").alias("na")), "a")
         .join(n.select(F.col("sig").alias("b"), F.col("n").alias("nb")), "b")
@@ -416,17 +427,13 @@ def groups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL, cells: i
     pairs = cut(met.where("b IS NOT NULL").select("a", "b").distinct())
     members = cut(met.where("b IS NULL").select(F.col("a").alias("sig"), "h", "n", "rest").distinct())
 
-    concerned = pairs.select(F.explode(F.array("a", "b")).alias("sig")).union(members.select("sig")).distinct()
-    wanted = spark.sparkContext.broadcast(key_filter(heads.join(concerned, "sig").select(F.xxhash64("head").alias("key"))))
-    parts = cut(fragments(docs, lambda: wanted.value))
-
-    links = cut(linked(pairs, parts, heads, percent))
+    links = cut(linked(docs, pairs, heads, percent))
     labels = components(links)
     for part in ROUNDS:
         more = cut(crossing(members, labels, part, percent).join(pairs, ["a", "b"], "left_anti"))
         if more.isEmpty():
             continue
-        links = cut(links.union(linked(more, parts, heads, percent)))
+        links = cut(links.union(linked(docs, more, heads, percent)))
         labels = components(links)
         pairs = pairs.union(more)
     named = heads.join(labels.select(F.col("node").alias("sig"), F.col("component").alias("class")), "sig", "left")
