@@ -320,7 +320,7 @@ def key_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 
 
 def fragments(docs: DataFrame, wanted: Callable[[], np.ndarray], count: int = FRAGMENTS) -> DataFrame:
-    """(sig, f, hashes): the sorted hashes of each fragment of the classes of wanted documents.
+    """(sig, parts): the sorted hashes of each fragment of the classes of wanted documents.
 
     Fragments are equal ranges of the hash, the order's last key, so both members of a pair
     cut alike.  A class may come more than once, each time alike.
@@ -332,25 +332,24 @@ def fragments(docs: DataFrame, wanted: Callable[[], np.ndarray], count: int = FR
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             hit = bits[bits_of(keys, len(bits))].reshape(2, len(keys)).all(axis=0)
             picked = batch.column("text").take(pa.array(np.flatnonzero(hit)))
-            sigs, fs, hashes = [], [], []
+            sigs, hashes = [], []
             for text in raw(picked):
                 h = shingles(text)
                 s = signature(h)
                 if not len(h) or s in seen:
                     continue
                 seen.add(s)
+                sigs.append(s)
                 ends = np.searchsorted(h, (np.arange(1, count, dtype=np.uint64)) * np.uint64((1 << 64) // count))
-                for f, part in enumerate(np.split(h, ends)):
-                    sigs.append(s)
-                    fs.append(f)
-                    hashes.append(part.view(np.int64))
+                hashes += (part.view(np.int64) for part in np.split(h, ends))
             if sigs:
-                flat = pa.array(np.concatenate(hashes))
                 ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in hashes])]), pa.int32())
-                yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(fs, pa.int32()), pa.ListArray.from_arrays(ends, flat)], ["sig", "f", "hashes"])
+                cut_up = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(hashes)))
+                parts = pa.ListArray.from_arrays(pa.array(np.arange(len(sigs) + 1) * count, pa.int32()), cut_up)
+                yield pa.record_batch([pa.array(sigs, pa.int64()), parts], ["sig", "parts"])
 
     keyed = texts(docs).select(F.xxhash64("doc_id").alias("key"), "text")
-    return keyed.mapInArrow(read, "sig long, f int, hashes array<long>")
+    return keyed.mapInArrow(read, "sig long, parts array<array<long>>")
 
 
 def linked(docs: DataFrame, pairs: DataFrame, heads: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -363,16 +362,16 @@ def linked(docs: DataFrame, pairs: DataFrame, heads: DataFrame, percent: int = P
     concerned = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     wanted = spark.sparkContext.broadcast(key_filter(heads.join(concerned, "sig").select(F.xxhash64("head").alias("key"))))
     parts = fragments(docs, lambda: wanted.value)
-    left = parts.select(F.col("sig").alias("a"), "f", F.col("hashes").alias("x"))
-    right = parts.select(F.col("sig").alias("b"), "f", F.col("hashes").alias("y"))
+    left = parts.select(F.col("sig").alias("a"), F.col("parts").alias("x"))
+    right = parts.select(F.col("sig").alias("b"), F.col("parts").alias("y"))
+    partial = F.zip_with("x", "y", lambda p, q: F.size(F.array_intersect(p, q)))
     overlaps = (
-        pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("f"))
-        .join(left, ["a", "f"])
-        .join(right, ["b", "f"])
-        .groupBy("a", "b", "f")
-        .agg(F.max(F.size(F.array_intersect("x", "y"))).alias("both"))
+        pairs.select("a", "b")
+        .join(left, "a")
+        .join(right, "b")
+        .select("a", "b", F.aggregate(partial, F.lit(0), lambda total, one: total + one).alias("both"))
         .groupBy("a", "b")
-        .agg(F.sum("both").alias("both"))
+        .agg(F.max("both").alias("both"))
     )
     n = heads.select("sig", "n")
     return (
