@@ -561,7 +561,7 @@ def etl(spark, folder):
 
 @query
 def word_count_documents(spark, folder):
-    return word_count(table(spark, folder, "documents"), "text")
+    return word_count(text_lines(table(spark, folder, "documents"), "text"))
 
 
 @query

@@ -17,8 +17,6 @@ from centigram.schemas import (
     DEFAULT_K,
     DEFAULT_MAX_ITER,
     DEFAULT_METHOD,
-    DEFAULT_SAMPLE_PERCENT,
-    DEFAULT_SAMPLE_SIZE,
     DEFAULT_SEED,
     FEATURES,
     RAW_PRODUCTS,
@@ -57,8 +55,8 @@ def parser() -> argparse.ArgumentParser:
 
     etl.add_argument("--source", required=True)
     etl.add_argument("--target", required=True)
-    etl.add_argument("--percent", type=int, default=DEFAULT_SAMPLE_PERCENT)
-    etl.add_argument("--limit", type=int, default=DEFAULT_SAMPLE_SIZE)
+    etl.add_argument("--percent", type=int, default=100)
+    etl.add_argument("--limit", type=int, default=0)
     etl.add_argument("--remove-outliers", action="store_true")
 
     words.add_argument("--source", required=True)
@@ -119,7 +117,7 @@ def main(arguments=None) -> None:
         if args.save:
             jobs.save_report(report, args.save)
     report.metrics.show(truncate=False)
-    report.detail.orderBy("cluster", "sample").show(100, truncate=False)
+    report.detail.orderBy("cluster", "sample").show(report.detail.count(), truncate=False)
 
 
 if __name__ == "__main__":

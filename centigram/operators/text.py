@@ -27,9 +27,9 @@ def text_lines(df: DataFrame, column: str = "value") -> DataFrame:
 def word_count(df: DataFrame, column: str = "value") -> DataFrame:
     """(word, count) over single-space tokens of every line; empty tokens are words too.
 
-    A line break ends a word just as a space does, so one split serves both.  Counting
-    starts before the shuffle: a word that fills the corpus is one row per task.
+    Each row is one line, and an empty line is one empty token; put ``text_lines`` before it
+    for whole documents.  Counting starts before the shuffle: a word that fills the corpus is
+    one row per task.
     """
-    words = F.split(F.translate(_without_last_break(), "\n", " "), " ")
-    tokens = _normalized(df, column).select(F.explode(words).alias("word"))
+    tokens = df.select(F.explode(F.split(col(column), " ")).alias("word"))
     return tokens.groupBy("word").agg(F.count(F.lit(1)).alias("count"))

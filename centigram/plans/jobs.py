@@ -21,8 +21,6 @@ from centigram.schemas import (
     DEFAULT_K,
     DEFAULT_MAX_ITER,
     DEFAULT_METHOD,
-    DEFAULT_SAMPLE_PERCENT,
-    DEFAULT_SAMPLE_SIZE,
     DEFAULT_SAMPLES_PER_CLUSTER,
     DEFAULT_SEED,
     FEATURES,
@@ -35,6 +33,7 @@ from centigram.sinks.tables import (
     product_rows,
     write_centers,
     write_results,
+    table_or_none,
     write_word_counts,
 )
 from centigram.sources.products import read_lines, read_products
@@ -155,15 +154,15 @@ def etl(
     source: str,
     target: str,
     fmt: str = "parquet",
-    percent: int = DEFAULT_SAMPLE_PERCENT,
-    limit: int = DEFAULT_SAMPLE_SIZE,
+    percent: int = 100,
+    limit: int = 0,
     features=FEATURES,
     remove_outliers: bool = False,
     **reading,
 ) -> None:
-    """Sample raw products, prepare them and append the new ones to the product table.
+    """Prepare raw products and append the new ones to the product table.
 
-    ``percent=100`` with ``limit=0`` loads everything.
+    Everything is loaded unless ``percent`` or ``limit`` asks for less.
     """
     products = read_products(spark, source, fmt, features, **reading)
     chosen = sample_then_head(products, percent, limit)
@@ -177,10 +176,11 @@ def insert_batch(products: DataFrame, n: int = DEFAULT_BATCH_ROWS, features=FEAT
 
 
 def load_batch(products: DataFrame, target: str, n: int = DEFAULT_BATCH_ROWS) -> int:
-    """Append a small batch to the product table; returns the number of rows added."""
-    batch = stored(insert_batch(products, n))
-    batch.write.mode("append").parquet(target)
-    return batch.count()
+    """Append a small batch of products not stored yet; returns the number of rows added."""
+    earlier = table_or_none(products.sparkSession, target)
+    before = 0 if earlier is None else earlier.count()
+    append_products(head_by_key(prepare_features(products), n), target)
+    return products.sparkSession.read.parquet(target).count() - before
 
 
 def validated_read(table: DataFrame, features=FEATURES) -> DataFrame:

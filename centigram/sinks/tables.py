@@ -1,5 +1,7 @@
 """Stored tables and files."""
 
+from urllib.parse import quote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,15 +65,12 @@ def append_products(df: DataFrame, path: str, once: bool = True, features=FEATUR
 
 
 def write_run(df: DataFrame, path: str, run_id: str, sort_by: str | None = None) -> None:
-    """Write one run's rows under ``run_id=...``, replacing only that run's earlier rows.
+    """Write one run's rows under ``run_id=...``, replacing only that run's earlier rows, also by none.
 
     ``sort_by`` orders each file by its lookup column, without a shuffle.
     """
-    rows = df.withColumn("run_id", F.lit(run_id))
-    if sort_by:
-        rows = rows.sortWithinPartitions(col(sort_by))
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("run_id").parquet(path)
+    rows = df.sortWithinPartitions(col(sort_by)) if sort_by else df
+    rows.write.mode("overwrite").parquet(f"{path}/run_id={quote(run_id, safe='')}")
 
 
 def write_results(df: DataFrame, path: str, run_id: str, id_style: str = "code") -> None:

@@ -278,7 +278,7 @@ def test_word_count_of_a_file(spark, tmp_path):
 def test_empty_tokens_count(spark):
     df = spark.createDataFrame([(" a  b ",), ("",)], "value string")
     counts = {r["word"]: r["count"] for r in word_count(df).collect()}
-    assert counts == {"": 3, "a": 1, "b": 1}
+    assert counts == {"": 4, "a": 1, "b": 1}
 
 
 @pytest.mark.parametrize("text", ["a b\nb\n", "a b\r\nb\r\n", "a\rb b", "a\n\nb b", "\na b", "a\n\n"])
@@ -292,8 +292,11 @@ def test_multi_line_text_counts_like_a_file(spark, tmp_path, text):
     # a blank line is one empty token, in a file as in a column
     tokens = lines.select(F.explode(F.split("value", " ")).alias("word"))
     expected = {r["word"]: r["count"] for r in tokens.groupBy("word").count().collect()}
-    counted = {r["word"]: r["count"] for r in word_count(whole, "text").collect()}
+    counted = {r["word"]: r["count"] for r in word_count(text_lines(whole, "text")).collect()}
     assert counted == expected
+    jobs.count_words(spark, str(tmp_path / "in.txt"), str(tmp_path / "out"))
+    stored = spark.read.csv(str(tmp_path / "out"), schema="word string, count long", nullValue="-", emptyValue="")
+    assert {r["word"] or "": r["count"] for r in stored.collect()} == expected
 
 
 # --- jobs ---
@@ -352,8 +355,18 @@ def test_etl_and_validated_read(spark, products, tmp_path):
 
 def test_load_batch(spark, products, tmp_path):
     assert jobs.load_batch(products, str(tmp_path / "t"), 7) == 7
-    assert jobs.load_batch(products, str(tmp_path / "t")) == 10
-    assert read_table(spark, str(tmp_path / "t")).count() == 17
+    assert jobs.load_batch(products, str(tmp_path / "t")) == 3
+    assert jobs.load_batch(products, str(tmp_path / "t")) == 0
+    assert read_table(spark, str(tmp_path / "t")).count() == 10
+
+
+def test_an_empty_run_replaces_its_earlier_rows(spark, numbers, tmp_path):
+    rows = numbers([("a", 0, 1.0, 2.0), ("b", 1, 3.0, 4.0)])
+    for run in ("x/1", "y"):
+        tables.write_run(rows, str(tmp_path / "t"), run)
+    tables.write_run(rows.limit(0), str(tmp_path / "t"), "x/1")
+    left = read_table(spark, str(tmp_path / "t"))
+    assert {(r["run_id"], r["code"]) for r in left.collect()} == {("y", "a"), ("y", "b")}
 
 
 def test_json_products(spark, products, tmp_path):
