@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalogue.oracles import ORACLES
+from catalogue.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 ROWS_ONLY = {"kmeans_fit_score", "train_report"}
@@ -34,18 +36,19 @@ def table(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     rows = df.collect()
     if name in ROWS_ONLY:
         assert rows
         return
-    result = tables.execute(oracle_sql()[name])
+    result = tables.execute(ORACLES[name])
     columns = [c[0] for c in result.description]
     assert table(df.columns, [tuple(r) for r in rows]) == table(columns, result.fetchall())
 
