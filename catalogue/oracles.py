@@ -134,7 +134,7 @@ ORACLES["prepare_without_outliers"] = from_p(
 )
 ORACLES["any_positive"] = POSITIVE
 ORACLES["validated_read"] = POSITIVE
-ORACLES["json_row_exchange"] = POSITIVE
+ORACLES["json_row_exchange"] = POSITIVE.replace("FROM p WHERE", ", false AS unreadable FROM p WHERE")
 ORACLES["json_responses"] = PREPARED
 ORACLES["complete_cases"] = from_f(
     f"SELECT {COLUMNS} FROM f WHERE {each('{q} IS NOT NULL', ' AND ')}"
@@ -223,6 +223,10 @@ ORACLES["silhouette_by_cluster"] = from_k(
     f"SELECT cluster, count(*) AS size, {r6('avg(s)')} AS silhouette FROM s GROUP BY cluster",
     *SILHOUETTE,
 )
+BY_FLAG = "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"
+ORACLES["silhouette_many_clusters"] = ORACLES["silhouette_by_cluster"].replace(
+    BY_FLAG, "coalesce(carbohydrates, 0)"
+)
 ORACLES["silhouette_overall"] = from_k(f"SELECT {r6('avg(s)')} AS silhouette FROM s", *SILHOUETTE)
 ORACLES["kmeans_invariants"] = from_p(
     """SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS not_nearest, true AS centred,
@@ -342,3 +346,19 @@ SELECT word, count(*) AS count FROM (
     FROM documents WHERE text <> ''))
 GROUP BY word"""
 ORACLES["word_count_job"] = ORACLES["word_count_documents"]
+ORACLES["word_count_blank_lines"] = r"""
+WITH lines AS (
+  SELECT unnest(string_split(regexp_replace(text, '\n$', ''), chr(10))) AS line
+  FROM documents WHERE text <> '')
+SELECT word, count(*) AS count FROM (
+  SELECT unnest(string_split(line, ' ')) AS word FROM lines UNION ALL SELECT '' FROM lines)
+GROUP BY word"""
+ORACLES["etl_full"] = PREPARED
+ORACLES["load_batch_twice"] = ORACLES["insert_batch"]
+ORACLES["write_results_empty_rerun"] = from_k(
+    "SELECT code AS product_id, cluster AS cluster_id, 'a' AS run_id FROM k WHERE cluster <> 0"
+)
+ORACLES["result_rows_int"] = from_k("""
+SELECT run AS run_id, cluster AS cluster_id, count(*) AS results,
+  CASE WHEN run = 'number' THEN count(*) ELSE 0 END AS numbers
+FROM k, (VALUES ('text'), ('number')) runs(run) GROUP BY run, cluster""")

@@ -310,6 +310,13 @@ def silhouette_by_cluster(spark, folder):
     return rounded(scores, ["silhouette"])
 
 
+@query
+def silhouette_many_clusters(spark, folder):
+    """A cluster for every value of the carbohydrates, 0 to 50."""
+    rows = prepared_products(spark, folder).withColumn("cluster", col("carbohydrates").cast("int"))
+    return rounded(evaluation.silhouette_by_cluster(rows, k=51), ["silhouette"])
+
+
 @query
 def silhouette_overall(spark, folder):
     by_cluster = evaluation.silhouette_by_cluster(clustered_products(spark, folder), k=4)
@@ -449,7 +456,21 @@ def run_metrics(spark, folder):
 
 @query
 def result_rows(spark, folder):
-    return sinks.result_rows(clustered_products(spark, folder)).drop("created_at")
+    return sinks.result_rows(clustered_products(spark, folder)).drop("created_at", "product_key")
+
+
+@query
+def result_rows_int(spark, folder):
+    """Two runs of different key styles in one table: text ids, and numbers only in one."""
+    path = scratch_path(spark, "results")
+    rows = clustered_products(spark, folder)
+    sinks.write_results(rows, path, "text", "code")
+    sinks.write_results(rows, path, "number", "int")
+    stored = read_table(spark, path)
+    same = F.col("product_id") == F.col("product_key").cast("string")
+    return stored.groupBy("run_id", "cluster_id").agg(
+        F.count(F.lit(1)).alias("results"), F.count_if(same).alias("numbers")
+    )
 
 
 @query
@@ -470,8 +491,10 @@ def product_id_styles(spark, folder):
 
 @query
 def json_row_exchange(spark, folder):
+    """Every row as JSON and back, with a flag that no row sets."""
     rows = jobs.validated_rows(prepared_products(spark, folder))
-    return rows_from_json(rows, flat_products()).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    parsed = rows_from_json(rows, flat_products())
+    return parsed.withColumn("unreadable", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
 
 
 @query
@@ -538,7 +561,19 @@ def write_results(spark, folder):
     sinks.write_results(rows, path, "a")
     sinks.write_results(rows.filter("cluster = 1"), path, "b")
     sinks.write_results(rows, path, "a")
-    return read_table(spark, path).drop("created_at")
+    return read_table(spark, path).drop("created_at", "product_key")
+
+
+@query
+def write_results_empty_rerun(spark, folder):
+    """Two runs, then the first again without its cluster 0, then the second with no rows."""
+    path = scratch_path(spark, "results")
+    rows = clustered_products(spark, folder)
+    for run in ("a", "b"):
+        sinks.write_results(rows, path, run)
+    sinks.write_results(rows.filter("cluster <> 0"), path, "a")
+    sinks.write_results(rows.filter("cluster < 0"), path, "b")
+    return read_table(spark, path).drop("created_at", "product_key")
 
 
 @query
@@ -559,6 +594,25 @@ def etl(spark, folder):
     return read_table(spark, target).drop("created_at")
 
 
+@query
+def etl_full(spark, folder):
+    """The whole load, twice, without any argument: every product once."""
+    source, target = (scratch_path(spark, n) for n in ("products", "product-table"))
+    nested_products(spark, folder).write.parquet(source)
+    for _ in range(2):
+        jobs.etl(spark, source, target)
+    return read_table(spark, target).drop("created_at")
+
+
+@query
+def load_batch_twice(spark, folder):
+    """The same small batch twice: its products are stored once."""
+    target = scratch_path(spark, "product-table")
+    for _ in range(2):
+        jobs.load_batch(nested_products(spark, folder), target)
+    return read_table(spark, target).drop("created_at")
+
+
 @query
 def word_count_documents(spark, folder):
     return word_count(text_lines(table(spark, folder, "documents"), "text"))
@@ -566,8 +620,19 @@ def word_count_documents(spark, folder):
 
 @query
 def word_count_job(spark, folder):
+    return counted_by_job(spark, text_lines(table(spark, folder, "documents"), "text"))
+
+
+@query
+def word_count_blank_lines(spark, folder):
+    """Every line of every document followed by a blank one."""
+    lines = text_lines(table(spark, folder, "documents"), "text")
+    return counted_by_job(spark, lines.select(F.concat("value", F.lit("\n")).alias("value")))
+
+
+def counted_by_job(spark: SparkSession, lines: DataFrame) -> DataFrame:
     source, target = (scratch_path(spark, n) for n in ("lines", "counts"))
-    text_lines(table(spark, folder, "documents"), "text").write.text(source)
+    lines.write.text(source)
     jobs.count_words(spark, source, target)
     counts = spark.read.schema("word string, count bigint").csv(target)
     return counts.select(F.coalesce("word", F.lit("")).alias("word"), "count")

@@ -46,6 +46,17 @@ def unpivot_row(row: DataFrame, label: str, entries: dict[str, dict[str, Column]
     )
 
 
+def kept_rows(df: DataFrame, rule: Column) -> DataFrame:
+    """Rows that meet ``rule``, which reads the columns as they are.
+
+    A plain filter would move below the projection that computes the columns and repeat it,
+    nested lookups included; a generator's output stays above.  For the same reason nothing is
+    pushed into the scan of a table with flat columns.
+    """
+    kept = df.select("*", F.explode(F.array(rule)).alias("_kept")).filter("_kept")
+    return kept.select(*[col(c) for c in df.columns])
+
+
 def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
     """``df`` with the columns of a one-row table (global statistics) on every row.
 
@@ -71,24 +82,17 @@ def bounded(groups: DataFrame, limit: int = MAX_GROUPS) -> DataFrame:
     )
 
 
-def cluster_row(groups: DataFrame, k: int, cluster: str) -> DataFrame:
-    """A table with one row per cluster as one wide row: ``_<value>_<id>`` for ids 0..k-1.
+def cluster_array(groups: DataFrame, k: int, cluster: str, name: str) -> DataFrame:
+    """A table with one row per cluster as one row: an array ``name`` of at most ``k`` structs.
 
-    With ``with_row`` every row can see every cluster without a join.  A missing id gives
-    NULLs; an id outside 0..k-1 fails the query.
+    With ``with_row`` every row can see every cluster without a join, and the plan has the same
+    size for every ``k``.  A missing id has no entry; an id outside 0..k-1 fails the query.
     """
-    values = [c for c in groups.columns if c != cluster]
-    fields = [
-        F.max(F.when(col(cluster) == i, col(v))).alias(f"_{v}_{i}")
-        for i in range(k)
-        for v in values
-    ]
-    stray = F.count_if(F.coalesce(~col(cluster).between(0, k - 1), F.lit(True)))
-    wide = groups.agg(*fields, stray.alias("_stray"))
+    valid = F.coalesce(col(cluster).between(0, k - 1), F.lit(False))
+    entry = F.struct(*[col(c) for c in groups.columns])
+    packed = groups.agg(
+        F.array_sort(F.collect_list(F.when(valid, entry))).alias(name),
+        F.count_if(~valid).alias("_stray"),
+    )
     error = F.raise_error(F.lit(f"cluster id outside 0..{k - 1}")).cast("boolean")
-    return wide.filter(F.when(F.col("_stray") == 0, True).otherwise(error)).drop("_stray")
-
-
-def smallest(columns: list[Column]) -> Column:
-    """Smallest non-null of any number of columns."""
-    return F.least(*columns) if len(columns) > 1 else columns[0]
+    return packed.filter(F.when(F.col("_stray") == 0, True).otherwise(error)).drop("_stray")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from centigram.functions.columns import bounded, col
+from centigram.functions.columns import col
 from centigram.schemas import CENTERS_MATRIX, CLUSTER, VECTORS
 
 CORRUPT = "_corrupt_record"
@@ -74,7 +74,7 @@ def centers_to_json(centers: DataFrame, features) -> DataFrame:
         F.transform(ordered, lambda c: c["center"]).alias("centers"),
         F.array(*[F.lit(f) for f in features]).alias("featureNames"),
     )
-    return bounded(wide).agg(F.to_json(matrix).alias("value"))
+    return wide.agg(F.to_json(matrix).alias("value"))
 
 
 def centers_from_json(lines: DataFrame, column: str = "value") -> DataFrame:

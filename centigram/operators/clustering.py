@@ -5,10 +5,10 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import cluster_row, col, smallest, with_row
+from centigram.functions.columns import cluster_array, col, with_row
 from centigram.operators.scaling import assembler_stage, scaler_stage
 from centigram.schemas import (
     CENTERS,
@@ -124,8 +124,8 @@ def assign_to_centers(
 ) -> DataFrame:
     """Add ``cluster`` (nearest of the ``k`` long centres, ties to the lowest id) and ``distance``.
 
-    The centres reach the rows as one scalar and the distances are plain arithmetic, so
-    the table is neither joined nor shuffled.
+    The centres reach the rows as one scalar array, so the table is neither joined nor
+    shuffled and the plan does not grow with ``k``.
     """
     wide = centers.groupBy(CLUSTER).agg(
         *[
@@ -133,26 +133,24 @@ def assign_to_centers(
             for i, f in enumerate(features)
         ]
     )
-    squared = {}
-    for c in range(k):
+
+    def candidate(c: Column) -> Column:
         total = F.lit(0.0)
         for i, f in enumerate(features):
-            difference = col(f) - F.col(f"_m{i}_{c}")
+            difference = col(f) - c[f"m{i}"]
             total = total + difference * difference
-        squared[f"_d{c}"] = total
-    least = F.col("_least")
-    # Latest case first: the lowest id ends up outermost and wins a tie.
-    nearest = F.lit(None).cast("int")
-    for c in reversed(range(k)):
-        nearest = F.when(F.col(f"_d{c}") == least, c).otherwise(nearest)
+        return F.struct(total.alias("squared"), c[CLUSTER].alias("id"))
+
+    candidates = F.filter(
+        F.transform("_centers", candidate), lambda x: x["squared"].isNotNull()
+    )
     rows = df.drop(CLUSTER)
     return (
-        with_row(rows, cluster_row(wide, k, CLUSTER))
-        .withColumns(squared)
-        .withColumn("_least", smallest([F.col(name) for name in squared]))
+        with_row(rows, cluster_array(wide, k, CLUSTER, "_centers"))
+        .withColumn("_nearest", F.array_min(candidates))  # the lowest id wins a tie
         .select(
             *[col(c) for c in rows.columns],
-            nearest.alias(CLUSTER),
-            F.sqrt(least).alias("distance"),
+            F.col("_nearest.id").cast("int").alias(CLUSTER),
+            F.sqrt("_nearest.squared").alias("distance"),
         )
     )

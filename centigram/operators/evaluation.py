@@ -7,7 +7,7 @@ count, coordinate sums and sum of squared norms, so no pair of rows is ever form
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import cluster_row, col, smallest, with_row
+from centigram.functions.columns import cluster_array, col, with_row
 from centigram.schemas import CLUSTER, DEFAULT_K, FEATURES
 
 
@@ -30,21 +30,20 @@ def silhouette_rows(
     df: DataFrame, k: int = DEFAULT_K, features=FEATURES, cluster: str = CLUSTER
 ) -> DataFrame:
     """``df`` plus ``silhouette``: NULL if only one cluster has rows, 0 for a lone member."""
-    moments = cluster_row(cluster_moments(df, features, cluster), k, "cluster")
+    moments = cluster_array(cluster_moments(df, features, cluster), k, "cluster", "_clusters")
     own = col(cluster)
-    distances = {}
-    for c in range(k):
+
+    def distance(c: Column) -> Column:
+        """Mean squared distance to all rows of a cluster."""
         dot = F.lit(0.0)
         for i, f in enumerate(features):
-            dot = dot + col(f) * F.col(f"_m{i}_{c}")
-        distances[f"_d{c}"] = F.col("_norm") + F.col(f"_spread_{c}") - dot * 2
+            dot = dot + col(f) * c[f"m{i}"]
+        return F.col("_norm") + c["spread"] - dot * 2
 
-    inner, outer = F.lit(None).cast("double"), []
-    for c in range(k):
-        distance, n = F.col(f"_d{c}"), F.col(f"_n_{c}")
-        # The row itself is among its cluster's n rows, at distance 0.
-        inner = F.when((own == c) & (n > 1), distance * n / (n - 1)).otherwise(inner)
-        outer.append(F.when(own != c, distance))
+    # The row itself is among its cluster's n rows, at distance 0.
+    mine = F.filter("_clusters", lambda c: (c["cluster"] == own) & (c["n"] > 1))
+    inner = F.transform(mine, lambda c: distance(c) * c["n"] / (c["n"] - 1))
+    others = F.filter("_clusters", lambda c: c["cluster"] != own)
     a, b = F.col("_a"), F.col("_b")
     score = (
         F.when(b.isNull(), F.lit(None).cast("double"))
@@ -54,8 +53,7 @@ def silhouette_rows(
     )
     return (
         with_row(df.withColumn("_norm", _squared_norm(features)), moments)
-        .withColumns(distances)
-        .withColumns({"_a": inner, "_b": smallest(outer)})
+        .withColumns({"_a": F.get(inner, F.lit(0)), "_b": F.array_min(F.transform(others, distance))})
         .select(*[col(c) for c in df.columns], score.alias("silhouette"))
     )
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import all_of, any_of, col, present, unpivot_row, with_row
+from centigram.functions.columns import all_of, any_of, col, kept_rows, present, unpivot_row, with_row
 from centigram.schemas import DEFAULT_FILL_RATE, DEFAULT_OUTLIER_THRESHOLD, FEATURES
 
 
@@ -60,12 +60,15 @@ def _within(features, threshold: float, stat: Callable[[str], Column] = F.col) -
 
 
 def any_positive(df: DataFrame, features=FEATURES) -> DataFrame:
-    return df.filter(any_positive_rule(df, features))
+    return kept_rows(df, any_positive_rule(df, features))
 
 
 def complete_cases(df: DataFrame, features=FEATURES) -> DataFrame:
+    """Rows with every available feature filled; NaN does not count as filled."""
     available = present(df, features)
-    return df.dropna(how="any", subset=available) if available else df
+    nan = {f: F.coalesce(F.isnan(col(f).try_cast("double")), F.lit(False)) for f in available}
+    filled = all_of(col(f).isNotNull() & ~nan[f] for f in available)
+    return kept_rows(df, filled) if available else df
 
 
 def zscore_filter(

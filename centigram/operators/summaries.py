@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import MAX_GROUPS, bounded, col, present
+from centigram.functions.columns import MAX_GROUPS, bounded, col, present, with_row
 from centigram.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles
 from centigram.operators.sampling import first_per_group
 from centigram.schemas import (
@@ -32,9 +32,11 @@ def cluster_sizes(df: DataFrame, k: int | None = None, cluster: str = CLUSTER) -
 
 def cluster_share(sizes: DataFrame, cluster: str = CLUSTER) -> DataFrame:
     """Add ``share``: per cent of all rows, two decimals.  ``sizes`` has one row per cluster."""
-    total = F.sum("size").over(Window.partitionBy(F.lit(0)))
-    share = F.when(total > 0, F.round(F.col("size") / total * 100, 2)).otherwise(F.lit(0.0))
-    return bounded(sizes).select(cluster, "size", share.alias("share"))
+    total = sizes.agg(F.sum("size").alias("_total"))
+    share = F.round(F.col("size") / F.nullif("_total", F.lit(0)) * 100, 2)
+    return with_row(sizes, total).select(
+        cluster, "size", F.coalesce(share, F.lit(0.0)).alias("share")
+    )
 
 
 def cluster_distinct(df: DataFrame, cluster: str = CLUSTER) -> DataFrame:
@@ -190,7 +192,7 @@ def run_metrics(
 ) -> DataFrame:
     """One row: success, message, cluster_count, silhouette_score and sizes by cluster id."""
     entry = F.struct(F.col(cluster).cast("string").alias("id"), F.col("size"))
-    metrics = bounded(sizes).agg(
+    metrics = sizes.agg(
         F.lit(True).alias("success"),
         F.lit(message).alias("message"),
         F.count(F.lit(1)).alias("cluster_count"),

@@ -5,17 +5,6 @@ from pyspark.sql import types as T
 # Measurements used for segmentation, in reporting order.
 FEATURES = ("energy-kcal", "fat", "carbohydrates", "proteins", "sugars")
 
-# Flat attributes that may accompany the measurements.
-OTHER_FEATURES = (
-    "completeness",
-    "nova_group",
-    "ecoscore_score",
-    "nutriscore_score",
-    "ingredients_n",
-    "additives_n",
-    "scans_n",
-)
-
 KEY = "code"
 NAME = "product_name"
 NESTED = "nutriments"
@@ -86,6 +75,7 @@ STORED_RESULTS = T.StructType(
         T.StructField("product_id", T.StringType()),
         T.StructField("cluster_id", T.IntegerType()),
         T.StructField("created_at", T.TimestampType()),
+        T.StructField("product_key", T.LongType()),
     ]
 )
 

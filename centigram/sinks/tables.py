@@ -31,11 +31,18 @@ def product_rows(df: DataFrame, features=FEATURES) -> DataFrame:
 
 
 def result_rows(df: DataFrame, id_style: str = "code") -> DataFrame:
-    """(product_id, cluster_id, created_at)."""
+    """(product_id, cluster_id, created_at, product_key).
+
+    ``product_id`` is text in every style, so runs of different styles share a table;
+    ``product_key`` is the number of a numeric style, else NULL.
+    """
+    key = product_id(df, id_style)
+    number = F.lit(None) if id_style == "code" else key
     return df.select(
-        product_id(df, id_style).alias("product_id"),
+        key.cast("string").alias("product_id"),
         col(CLUSTER).cast("int").alias("cluster_id"),
         F.current_timestamp().alias("created_at"),
+        number.cast("bigint").alias("product_key"),
     )
 
 
@@ -51,12 +58,16 @@ def center_rows(centers: DataFrame) -> DataFrame:
 
 def new_rows(df: DataFrame, existing: DataFrame, key: str = KEY) -> DataFrame:
     """Rows whose key is not stored yet; rows without a key are always new."""
-    keys = existing.select(col(key).alias("_key")).distinct()
+    keys = existing.select(col(key).alias("_key"))
     return df.join(keys, df[key] == keys["_key"], "left_anti")
 
 
 def append_products(df: DataFrame, path: str, once: bool = True, features=FEATURES) -> None:
-    """Append product rows; with ``once`` a repeated load adds nothing."""
+    """Append product rows; with ``once`` a repeated load adds nothing.
+
+    Each append reads the key column of the whole table.  Rows are compared with the stored
+    table only: a code that comes twice in one load is stored twice.
+    """
     rows = product_rows(df, features)
     existing = table_or_none(df.sparkSession, path) if once else None
     if existing is not None:

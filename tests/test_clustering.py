@@ -163,3 +163,17 @@ def test_one_cluster_has_no_silhouette(numbers, k):
     by_cluster = evaluation.silhouette_by_cluster(df, k, XY)
     assert by_cluster.first()["silhouette"] is None
     assert evaluation.silhouette_overall(by_cluster).first()["silhouette"] is None
+
+
+def test_plans_do_not_grow_with_the_clusters(spark, numbers):
+    df = numbers([("a", 0, 1.0, 1.0), ("b", 1, 2.0, 2.0)])
+    centers = spark.createDataFrame([(0, "x", 1.0), (0, "y", 1.0)], CENTERS)
+
+    def size(df):
+        return len(df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+    for make in (
+        lambda k: evaluation.silhouette_by_cluster(df, k, XY),
+        lambda k: clustering.assign_to_centers(df, centers, k, XY),
+    ):
+        assert size(make(5)) == size(make(300))

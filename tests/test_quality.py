@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from centigram.operators import quality
+from centigram.operators.nested import prepare_features
 
 
 @pytest.fixture
@@ -82,3 +83,17 @@ def test_observed_counts_ride_along(pairs):
     df, seen = quality.observed(pairs((None, 1.0), (2.0, 3.0)), "counts", ("a", "b"))
     df.collect()
     assert seen.get == {"rows": 2, "a_nulls": 1, "b_nulls": 0}
+
+
+def test_nan_is_not_a_complete_case(pairs):
+    df = pairs((float("nan"), 1.0), (2.0, 1.0))
+    assert [r["a"] for r in quality.complete_cases(df, ("a", "b")).collect()] == [2.0]
+
+
+@pytest.mark.parametrize("keep", [quality.any_positive, quality.complete_cases])
+def test_filters_do_not_repeat_the_lookups(raw, keep):
+    def lookups(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("array_position(")
+
+    prepared = prepare_features(raw(("a", None, None)))
+    assert lookups(keep(prepared)) == lookups(prepared) > 0

@@ -213,7 +213,7 @@ def test_runs_replace_themselves_only(spark, tmp_path):
     tables.write_results(df.limit(10), path, "b")
     tables.write_results(df.limit(20), path, "a")
     stored = read_table(spark, path)
-    assert types(stored.schema)[:3] == types(STORED_RESULTS)
+    assert types(stored.schema)[:4] == types(STORED_RESULTS)
     sizes = {r["run_id"]: r["count"] for r in stored.groupBy("run_id").count().collect()}
     assert sizes == {"a": 20, "b": 10}
 
@@ -360,6 +360,15 @@ def test_load_batch(spark, products, tmp_path):
     assert read_table(spark, str(tmp_path / "t")).count() == 10
 
 
+def test_key_styles_share_a_table(spark, numbers, tmp_path):
+    rows = numbers([("a", 0, 1.0, 2.0), ("b", 1, 3.0, 4.0)])
+    for style in ("code", "int", "long"):
+        tables.write_results(rows, str(tmp_path / "t"), style, style)
+    stored = read_table(spark, str(tmp_path / "t"))
+    assert stored.filter("product_key IS NULL").select("run_id", "product_id").distinct().count() == 2
+    assert stored.filter("product_id = CAST(product_key AS STRING)").count() == 4
+
+
 def test_an_empty_run_replaces_its_earlier_rows(spark, numbers, tmp_path):
     rows = numbers([("a", 0, 1.0, 2.0), ("b", 1, 3.0, 4.0)])
     for run in ("x/1", "y"):

@@ -106,3 +106,11 @@ def test_run_metrics(spark, rows):
     row = summaries.run_metrics(summaries.cluster_sizes(rows, k=3), silhouette).first()
     assert row["success"] and row["cluster_count"] == 3 and row["silhouette_score"] == 0.5
     assert row["cluster_sizes"] == {"0": 60, "1": 31, "2": 0}
+
+
+def test_any_number_of_clusters(spark):
+    sizes = spark.range(10_050).select(F.col("id").cast("int").alias("cluster"), F.lit(1).alias("size"))
+    silhouette = spark.createDataFrame([(0.5,)], "silhouette double")
+    assert summaries.cluster_share(sizes).agg(F.sum("size")).first()[0] == 10_050
+    assert summaries.run_metrics(sizes, silhouette).first()["cluster_count"] == 10_050
+    assert summaries.cluster_share(sizes.limit(0)).count() == 0
