@@ -134,6 +134,9 @@ ORACLES["prepare_without_outliers"] = from_p(
 )
 ORACLES["any_positive"] = POSITIVE
 ORACLES["validated_read"] = POSITIVE
+ORACLES["prepare_well_filled"] = from_p(
+    'SELECT code, product_name, "energy-kcal", proteins, sugars FROM p'
+)
 ORACLES["json_row_exchange"] = POSITIVE.replace("FROM p WHERE", ", false AS unreadable FROM p WHERE")
 ORACLES["json_responses"] = PREPARED
 ORACLES["complete_cases"] = from_f(

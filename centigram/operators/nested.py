@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from centigram.functions.columns import col, present
 from centigram.functions.measurements import first_text, measured
-from centigram.operators.quality import zscore_filter
+from centigram.operators.quality import well_filled, zscore_filter
 from centigram.schemas import DEFAULT_OUTLIER_THRESHOLD, FEATURES, KEY, NAME, NESTED
 
 PREFERENCES = ("flat", "nested", "row")
@@ -61,9 +61,18 @@ def prepare_features(
     remove_outliers: bool = False,
     outlier_threshold: float = DEFAULT_OUTLIER_THRESHOLD,
     keep: tuple = (),
+    min_fill: float | None = None,
 ) -> DataFrame:
-    """Extract, fill, optionally drop outliers; ``keep`` carries extra columns along."""
-    flat = fill_nulls(extract_features(df, features, prefer, keep), features)
+    """Extract, fill, optionally drop outliers; ``keep`` carries extra columns along.
+
+    With ``min_fill`` only features with at least that share of filled rows stay, for which the
+    input is read once more.
+    """
+    flat = extract_features(df, features, prefer, keep)
+    if min_fill is not None:
+        wanted = well_filled(flat, features, min_fill)
+        flat = flat.select(*[col(c) for c in flat.columns if c not in features or c in wanted])
+    flat = fill_nulls(flat, features)
     return zscore_filter(flat, features, outlier_threshold) if remove_outliers else flat
 
 

@@ -143,3 +143,9 @@ def test_only_needed_leaves_are_scanned(spark, tmp_path):
     assert "name:string" in schema or "..." in schema
     assert "unit" not in schema and "other" not in schema and "lang" not in schema
     assert prepared.agg(F.sum("fat")).first()[0] == 1.0
+
+
+def test_features_with_too_few_values_go(spark):
+    df = spark.createDataFrame([("a", 1.0, None), ("b", 2.0, 3.0)], "code string, fat double, sugars double")
+    assert prepare_features(df, ("fat", "sugars"), min_fill=0.6).columns == ["code", "fat"]
+    assert prepare_features(df, ("fat", "sugars"), min_fill=0.5).columns == ["code", "fat", "sugars"]
