@@ -7,7 +7,12 @@ three spellings of one name and a duplicate entry whose first occurrence must wi
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from centigram.functions.columns import col
 from centigram.operators.nested import prepare_features
+from centigram.schemas import FEATURES
+
+# Distance between two groups of ``separated_products`` in every feature.
+APART = 10_000
 
 CODE = "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
 
@@ -62,3 +67,10 @@ def clustered_products(spark: SparkSession, folder: str) -> DataFrame:
     flag = F.col("l_returnflag")
     cluster = F.when(flag == "A", 0).when(flag == "N", 1).otherwise(2)
     return prepared.withColumn("cluster", cluster).drop("l_returnflag")
+
+
+def separated_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Products with flat columns in three groups so far apart that k-means must find them."""
+    rows = clustered_products(spark, folder)
+    moved = {f: col(f) + F.col("cluster") * APART for f in FEATURES}
+    return rows.withColumns(moved).drop("cluster")

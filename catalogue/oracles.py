@@ -4,7 +4,8 @@ The flat values ``f`` are written without any array function, so they check the
 lookup independently.
 """
 
-from centigram.schemas import FEATURES
+from catalogue.inputs import APART
+from centigram.schemas import FEATURES, RUN_MESSAGE
 
 ORACLES = {}
 
@@ -365,3 +366,36 @@ ORACLES["result_rows_int"] = from_k("""
 SELECT run AS run_id, cluster AS cluster_id, count(*) AS results,
   CASE WHEN run = 'number' THEN count(*) ELSE 0 END AS numbers
 FROM k, (VALUES ('text'), ('number')) runs(run) GROUP BY run, cluster""")
+
+# --- three groups far apart, numbered by their first code ---
+APART_CTE = [
+    f"""g AS (SELECT code, product_name, {each(f'{{q}} + cluster * {APART} AS {{q}}')}, cluster AS flag
+      FROM k)""",
+    """numbers AS (SELECT flag, CAST(row_number() OVER (ORDER BY min(code)) - 1 AS INTEGER) AS cluster
+      FROM g GROUP BY flag)""",
+    "a AS (SELECT g.* EXCLUDE (flag), cluster FROM g JOIN numbers USING (flag))",
+]
+APART_SCALED = [
+    f"m AS (SELECT {each('avg({q}) AS mean{i}, stddev_samp({q}) AS sd{i}')} FROM a)",
+    f"""z AS (SELECT code, cluster, {each('({q} - mean{i}) / sd{i} AS {q}')} FROM a, m)""",
+]
+ORACLES["kmeans_fit_score"] = from_k("SELECT code, cluster FROM a", *APART_CTE)
+ORACLES["train_report"] = from_k(
+    f"""SELECT cluster, size, share, {each('"center_{f}"')}, rank AS sample, code, product_name,
+      {each('CAST({q} AS VARCHAR) AS {q}')}
+    FROM (SELECT cluster, count(*) AS size, round(count(*) / (SELECT count(*) FROM z) * 100, 2) AS share,
+        {each('round(avg({q}), 4) AS "center_{f}"')} FROM z GROUP BY cluster)
+    JOIN (SELECT code, coalesce(product_name, 'N/A') AS product_name, {each('{q}')}, cluster,
+        CAST(row_number() OVER (PARTITION BY cluster ORDER BY code, product_name) AS INTEGER) AS rank
+      FROM a) USING (cluster)
+    WHERE rank <= 5""",
+    *APART_CTE,
+    *APART_SCALED,
+)
+ORACLES["train_report_metrics"] = from_k(
+    f"""SELECT true AS success, '{RUN_MESSAGE}' AS message, CAST(3 AS BIGINT) AS cluster_count,
+      (SELECT {r6('avg(s)')} FROM s) AS silhouette_score""",
+    *APART_CTE,
+    *APART_SCALED,
+    *(part.replace("FROM k", "FROM z") for part in SILHOUETTE),
+)

@@ -4,7 +4,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalogue.inputs import clustered_products, nested_products, prepared_products, table
+from catalogue.inputs import (
+    clustered_products,
+    nested_products,
+    prepared_products,
+    separated_products,
+    table,
+)
 from centigram.functions.columns import col
 from centigram.functions.json_rows import (
     CORRUPT,
@@ -329,11 +335,20 @@ def silhouette_overall(spark, folder):
     return rounded(evaluation.silhouette_overall(by_cluster), ["silhouette"])
 
 
+def by_first_code(rows: DataFrame, scored: DataFrame) -> DataFrame:
+    """``rows`` with the clusters of ``scored`` renumbered by their lowest code."""
+    first = scored.groupBy("cluster").agg(F.min("code").alias("first"))
+    ids = first.agg(F.array_sort(F.collect_list("first")).alias("firsts")).scalar()
+    number = (F.array_position(ids, F.col("first")) - 1).cast("int")
+    names = first.select("cluster", number.alias("number"))
+    return rows.join(names, "cluster").drop("cluster").withColumnRenamed("number", "cluster")
+
+
 @query
 def kmeans_fit_score(spark, folder):
-    prepared = stored(prepared_products(spark, folder))
-    model = clustering.fit(prepared)
-    return clustering.score(model, prepared).select("code", "cluster")
+    prepared = stored(prepare_features(separated_products(spark, folder)))
+    scored = clustering.score(clustering.fit(prepared, k=3), prepared).select("code", "cluster")
+    return by_first_code(scored, scored)
 
 
 @query
@@ -358,7 +373,17 @@ def kmeans_invariants(spark, folder):
 
 @query
 def train_report(spark, folder):
-    return jobs.train_report(nested_products(spark, folder)).detail
+    """The report of three groups far apart: shares, centres in scaled units, samples."""
+    report = jobs.train_report(separated_products(spark, folder), k=3)
+    return by_first_code(report.detail, report.scored)
+
+
+@query
+def train_report_metrics(spark, folder):
+    """Cluster count and silhouette of the same run."""
+    report = jobs.train_report(separated_products(spark, folder), k=3)
+    metrics = report.metrics.select("success", "message", "cluster_count", "silhouette_score")
+    return rounded(metrics, ["silhouette_score"])
 
 
 @query
