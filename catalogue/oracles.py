@@ -90,6 +90,7 @@ for name in (
     ORACLES[name] = PREPARED
 
 ORACLES["head_rows"] = from_f(f"SELECT {COLUMNS} FROM f ORDER BY code LIMIT 1000")
+ORACLES["head_rows_large"] = from_f(f"SELECT {COLUMNS} FROM f ORDER BY code LIMIT 5000")
 ORACLES["hash_sample_rows"] = from_f(f"SELECT {COLUMNS} FROM f WHERE {BUCKET} < 10")
 ORACLES["hash_sample_limit"] = from_f(
     f"SELECT {COLUMNS} FROM f WHERE {BUCKET} < 10 ORDER BY code LIMIT 500"
@@ -266,7 +267,7 @@ BOX = """box AS (
     quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
     quantile_cont(value, 0.75) AS q3
   FROM long GROUP BY cluster, feature)"""
-ORACLES["distribution_by_cluster"] = from_k(
+BOX_ROWS = (
     f"""SELECT cluster, feature, any_value(n) AS n, any_value(box.min) AS min,
       {r6('any_value(q1)')} AS q1, {r6('any_value(median)')} AS median,
       {r6('any_value(q3)')} AS q3, any_value(box.max) AS max,
@@ -276,10 +277,9 @@ ORACLES["distribution_by_cluster"] = from_k(
         AS whisker_high,
       CAST(count(*) FILTER (value < q1 - (q3 - q1) * 1.5 OR value > q3 + (q3 - q1) * 1.5)
         AS BIGINT) AS outliers
-    FROM long JOIN box USING (cluster, feature) GROUP BY cluster, feature""",
-    LONG,
-    BOX,
+    FROM long JOIN box USING (cluster, feature) GROUP BY cluster, feature"""
 )
+ORACLES["distribution_by_cluster"] = from_k(BOX_ROWS, LONG, BOX)
 ORACLES["density_2d_by_cluster"] = from_k(
     """SELECT cluster, CAST(least(floor(("energy-kcal" - x0) / wx), 49) AS BIGINT) AS bx,
       CAST(least(floor((fat - y0) / wy), 49) AS BIGINT) AS "by", count(*) AS count
@@ -399,3 +399,4 @@ ORACLES["train_report_metrics"] = from_k(
     *APART_SCALED,
     *(part.replace("FROM k", "FROM z") for part in SILHOUETTE),
 )
+ORACLES["saved_report"] = from_k(BOX_ROWS, *APART_CTE, LONG.replace("FROM k", "FROM a"), BOX)

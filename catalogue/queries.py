@@ -1,5 +1,8 @@
 """One callable per query: (spark, folder of the tables) -> DataFrame."""
 
+import functools
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,8 +51,21 @@ from centigram.sources.products import read_products, read_table
 QUERIES = {}
 
 
+def local_scratch(spark: SparkSession) -> None:
+    """Give a local session without a checkpoint folder a temporary one."""
+    context = spark.sparkContext
+    unset = context.getCheckpointDir() is None and spark.conf.get("spark.checkpoint.dir", None) is None
+    if unset and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="centigram-"))
+
+
 def query(function):
-    QUERIES[function.__name__] = function
+    @functools.wraps(function)
+    def run(spark, folder):
+        local_scratch(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
     return function
 
 
@@ -104,7 +120,7 @@ def table_scan(spark, folder):
 
 @query
 def head_rows(spark, folder):
-    return extract_features(head_by_key(nested_products(spark, folder), 1000))
+    return head_by_key(flat(spark, folder), 1000)
 
 
 @query
@@ -114,7 +130,7 @@ def hash_sample_rows(spark, folder):
 
 @query
 def hash_sample_limit(spark, folder):
-    return extract_features(sample_then_head(nested_products(spark, folder), 10, 500))
+    return sample_then_head(flat(spark, folder), 10, 500)
 
 
 @query
@@ -378,6 +394,16 @@ def train_report(spark, folder):
     return by_first_code(report.detail, report.scored)
 
 
+@query
+def saved_report(spark, folder):
+    """The box plots of the same run, read back from the saved report."""
+    path = scratch_path(spark, "report")
+    report = jobs.train_report(separated_products(spark, folder), k=3)
+    jobs.save_report(report, path)
+    box = by_first_code(read_table(spark, f"{path}/distribution"), report.scored)
+    return rounded(box, ["q1", "median", "q3", "whisker_low", "whisker_high"])
+
+
 @query
 def train_report_metrics(spark, folder):
     """Cluster count and silhouette of the same run."""
@@ -443,6 +469,12 @@ def density_2d_by_cluster(spark, folder):
     return summaries.density_2d_by_cluster(rows, "energy-kcal", "fat", bins=50)
 
 
+@query
+def head_rows_large(spark, folder):
+    """More rows than a map task prunes to: stored by range, ranked in each range."""
+    return head_by_key(flat(spark, folder), 5000)
+
+
 @query
 def cluster_means(spark, folder):
     return rounded(summaries.cluster_means(clustered_products(spark, folder)), FEATURES)

@@ -10,7 +10,7 @@ Session settings come from spark-submit; nothing here overrides them.
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from centigram.plans import jobs
 from centigram.schemas import (
@@ -22,7 +22,8 @@ from centigram.schemas import (
     RAW_PRODUCTS,
     flat_products,
 )
-from centigram.sources.products import read_products, sample_products
+from centigram.sources.exchange import read_json_rows
+from centigram.sources.products import read_products, read_table, sample_products
 
 
 def parser() -> argparse.ArgumentParser:
@@ -30,11 +31,13 @@ def parser() -> argparse.ArgumentParser:
     commands = top.add_subparsers(dest="command", required=True)
     train = commands.add_parser("train", help="fit a model and print its report")
     score = commands.add_parser("score", help="score a batch with a saved model")
-    etl = commands.add_parser("etl", help="sample, prepare and append products")
+    etl = commands.add_parser("etl", help="prepare and append products")
     words = commands.add_parser("count-words", help="count words of text files")
 
+    files = ("parquet", "csv", "json")
     for command in (train, score, etl):
-        command.add_argument("--format", default="parquet", choices=("parquet", "csv", "json"))
+        formats = files if command is etl else (*files, "catalog", "json-rows")
+        command.add_argument("--format", default="parquet", choices=formats)
         command.add_argument(
             "--features", default=",".join(FEATURES), type=lambda s: tuple(s.split(","))
         )
@@ -43,14 +46,19 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--method", default=DEFAULT_METHOD)
         command.add_argument("--max-iter", type=int, default=DEFAULT_MAX_ITER)
         command.add_argument("--seed", type=int, default=DEFAULT_SEED)
-
-    source = train.add_mutually_exclusive_group(required=True)
-    source.add_argument("--source")
-    source.add_argument("--sample", action="store_true", help="use the built-in smoke rows")
-    train.add_argument("--save", help="folder for the model and its metrics")
+        command.add_argument("--partitions", type=int, help="tasks of a k-means iteration")
+        command.add_argument("--json", help="folder for scored rows and centres as JSON")
+        source = command.add_mutually_exclusive_group(required=True)
+        source.add_argument("--source", help="path, or table name with --format catalog")
+        source.add_argument("--sample", action="store_true", help="use the built-in smoke rows")
+    for command in (train, score, etl, words):
+        command.add_argument("--checkpoint-dir", help="shared folder for scratch tables")
+
+    train.add_argument("--save", help="folder for the model and the tables of the report")
     train.add_argument("--remove-outliers", action="store_true")
+    train.add_argument("--min-fill", type=float, help="use only features filled this often")
 
-    for name in ("source", "model", "results", "centers", "run-id"):
+    for name in ("model", "results", "centers", "run-id"):
         score.add_argument(f"--{name}", required=True)
 
     etl.add_argument("--source", required=True)
@@ -70,9 +78,21 @@ def reading(args) -> dict:
     return {"schema": schemas[args.format]} if args.format in schemas else {}
 
 
+def products_of(spark: SparkSession, args) -> DataFrame:
+    if args.sample:
+        return sample_products(spark, args.features)
+    if args.format == "catalog":
+        return read_table(spark, args.source, "catalog")
+    if args.format == "json-rows":
+        return read_json_rows(spark, args.source, flat_products(args.features))
+    return read_products(spark, args.source, args.format, args.features, **reading(args))
+
+
 def main(arguments=None) -> None:
     args = parser().parse_args(arguments)
     spark = SparkSession.builder.appName("centigram").getOrCreate()
+    if args.checkpoint_dir:
+        spark.sparkContext.setCheckpointDir(args.checkpoint_dir)
     if args.command == "count-words":
         jobs.count_words(spark, args.source, args.target)
         return
@@ -94,11 +114,9 @@ def main(arguments=None) -> None:
         "method": args.method,
         "max_iter": args.max_iter,
         "seed": args.seed,
+        "partitions": args.partitions,
     }
-    if args.command == "train" and args.sample:
-        products = sample_products(spark, args.features)
-    else:
-        products = read_products(spark, args.source, args.format, args.features, **reading(args))
+    products = products_of(spark, args)
     if args.command == "score":
         report = jobs.score_batch(
             spark,
@@ -112,12 +130,19 @@ def main(arguments=None) -> None:
         )
     else:
         report = jobs.train_report(
-            products, args.features, remove_outliers=args.remove_outliers, **training
+            products,
+            args.features,
+            remove_outliers=args.remove_outliers,
+            min_fill=args.min_fill,
+            **training,
         )
         if args.save:
             jobs.save_report(report, args.save)
+    if args.json:
+        jobs.export_json(report, args.json)
     report.metrics.show(truncate=False)
     report.detail.orderBy("cluster", "sample").show(report.detail.count(), truncate=False)
+    report.close()
 
 
 if __name__ == "__main__":

@@ -19,7 +19,6 @@ from centigram.schemas import (
     DEFAULT_SEED,
     FEATURES,
 )
-from centigram.sinks.scratch import shared_folder
 
 
 def weighted_points(df: DataFrame, features=FEATURES, partitions: int | None = None) -> DataFrame:
@@ -48,13 +47,13 @@ def fit(
 ) -> PipelineModel:
     """Assembler, scaler and k-means fitted together, so new rows land in the same space.
 
-    The scaler sees every row.  K-means iterates over the weighted distinct points, which
-    are checkpointed: an iteration never reaches back to the source.
+    The scaler sees every row.  K-means iterates over the weighted distinct points, which the
+    estimator keeps in executor storage; a lost one is computed again from the shuffle or
+    ``df``, so pass a stored table.  ``partitions`` bounds the points of one task.
     """
-    shared_folder(df.sparkSession)
     assembler = assembler_stage(features)
     scaler = scaler_stage(method).fit(assembler.transform(df))
-    points = weighted_points(df, features, partitions).checkpoint()
+    points = weighted_points(df, features, partitions)
     kmeans = KMeans(
         k=k,
         maxIter=max_iter,

@@ -164,3 +164,29 @@ def exact_quantiles(
         for j, place in enumerate(places)
     ]
     return found.select(*part, "n", F.array(*quantiles).alias("quantiles"))
+
+
+def approximate_quantiles(
+    df: DataFrame,
+    probabilities,
+    features=FEATURES,
+    group: str | None = None,
+    accuracy: int = DEFAULT_ACCURACY,
+) -> DataFrame:
+    """The columns of ``exact_quantiles`` from one mergeable sketch: one pass, one shuffle.
+
+    Each quantile is a value of the group whose rank is off by at most 1 / ``accuracy`` of it.
+    """
+    features, probabilities = present(df, features), [float(p) for p in probabilities]
+    sketches, entries = [], []
+    for i, f in enumerate(features):
+        value = col(f)
+        sketches += [
+            F.count(value).alias(f"n{i}"),
+            F.percentile_approx(value, probabilities, accuracy).alias(f"q{i}"),
+        ]
+        quantiles = F.col(f"q{i}").cast("array<double>").alias("quantiles")
+        entries.append(F.struct(F.lit(f).alias("feature"), F.col(f"n{i}").alias("n"), quantiles))
+    keys = [col(group).alias("group")] if group else []
+    grouped = df.groupBy(*keys).agg(*sketches)
+    return grouped.select(*["group" for _ in keys], F.inline(F.array(*entries))).filter("n > 0")

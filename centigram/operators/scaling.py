@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from centigram.functions.columns import col, with_row
-from centigram.operators.quantiles import exact_quantiles
+from centigram.operators.quantiles import approximate_quantiles, exact_quantiles
 from centigram.schemas import DEFAULT_METHOD, FEATURES
 
 METHODS = ("standard", "minmax", "maxabs", "robust")
@@ -41,10 +41,11 @@ def scaler_stage(method: str = DEFAULT_METHOD):
     raise ValueError(f"scaling method {method!r} is not one of {METHODS}")
 
 
-def _parameters(df: DataFrame, features, method: str) -> DataFrame:
+def _parameters(df: DataFrame, features, method: str, exact: bool) -> DataFrame:
     """One row: centre ``_center<i>`` and width ``_width<i>`` per feature."""
     if method == "robust":
-        quartiles = exact_quantiles(df, (0.25, 0.5, 0.75), features)
+        quantiles = exact_quantiles if exact else approximate_quantiles
+        quartiles = quantiles(df, (0.25, 0.5, 0.75), features)
         q = [
             F.max(F.when(F.col("feature") == f, F.col("quantiles"))).alias(f"q{i}")
             for i, f in enumerate(features)
@@ -69,10 +70,16 @@ def _parameters(df: DataFrame, features, method: str) -> DataFrame:
 
 
 def scale_columns(
-    df: DataFrame, features=FEATURES, method: str = DEFAULT_METHOD, prefix: str = "scaled_"
+    df: DataFrame,
+    features=FEATURES,
+    method: str = DEFAULT_METHOD,
+    prefix: str = "scaled_",
+    exact: bool = True,
 ) -> DataFrame:
     """Add ``<prefix><feature>`` columns; the parameters come from one aggregate row.
 
+    ``exact=False`` lets the robust method take its quartiles from a sketch.
+
     A column without spread becomes 0 (0.5 for min-max).  NULL stays NULL.
     """
     flat = F.lit(0.5 if method == "minmax" else 0.0)
@@ -82,7 +89,7 @@ def scale_columns(
         usable = width.isNotNull() & (width != 0)
         value = F.when(usable, (col(f) - center) / width).otherwise(flat)
         scaled.append(F.when(col(f).isNotNull(), value).alias(prefix + f))
-    fitted = with_row(df, _parameters(df, features, method))
+    fitted = with_row(df, _parameters(df, features, method, exact))
     return fitted.select(*[col(c) for c in df.columns], *scaled)
 
 

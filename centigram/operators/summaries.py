@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from centigram.functions.columns import MAX_GROUPS, bounded, col, present, with_row
-from centigram.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles
+from centigram.operators.quantiles import DEFAULT_ACCURACY, approximate_quantiles, exact_quantiles
 from centigram.operators.sampling import first_per_group
 from centigram.schemas import (
     CLUSTER,
@@ -48,9 +48,10 @@ def cluster_samples(
     n: int = DEFAULT_SAMPLES_PER_CLUSTER,
     cluster: str = CLUSTER,
     key: str = KEY,
+    path: str | None = None,
 ) -> DataFrame:
-    """First ``n`` rows of each cluster by key, without vector columns, in one job."""
-    return first_per_group(df.drop(*VECTORS), cluster, n, key)
+    """First ``n`` rows of each cluster by key, without vector columns; see first_per_group."""
+    return first_per_group(df.drop(*VECTORS), cluster, n, key, path)
 
 
 def cluster_means(df: DataFrame, features=FEATURES, cluster: str = CLUSTER) -> DataFrame:
@@ -78,17 +79,20 @@ def distribution_by_cluster(
     cluster: str = CLUSTER,
     accuracy: int = DEFAULT_ACCURACY,
     group_limit: int | None = MAX_GROUPS,
+    exact: bool = True,
 ) -> DataFrame:
     """Box-plot table: n, min, quartiles, max, whiskers and outlier count per cluster and feature.
 
-    Quartiles are exact.  Whiskers are the outermost values within 1.5 interquartile
+    Quartiles are exact, or from ``approximate_quantiles`` with ``exact=False``.  Whiskers are the outermost values within 1.5 interquartile
     ranges of the box, and stop at the box if there are none beyond it.  ``group_limit``
     is that of ``exact_quantiles``.
     """
     features = present(df, features)
-    boxes = exact_quantiles(
-        df, (0.25, 0.5, 0.75), features, cluster, accuracy, group_limit
-    )
+    quartiles = (0.25, 0.5, 0.75)
+    if exact:
+        boxes = exact_quantiles(df, quartiles, features, cluster, accuracy, group_limit)
+    else:
+        boxes = approximate_quantiles(df, quartiles, features, cluster, accuracy)
     # One row per cluster again, to widen the rows without multiplying them.
     wide = boxes.groupBy("group").agg(
         *[

@@ -3,16 +3,16 @@
 The caller owns the session; a job never stops it.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from centigram.functions.json_rows import rows_to_json
+from centigram.functions.json_rows import centers_to_json, rows_to_json
 from centigram.operators import clustering, evaluation, summaries
-from centigram.operators.nested import prepare_features
+from centigram.operators.nested import extract_features, prepare_features
 from centigram.operators.quality import any_positive
-from centigram.operators.sampling import head_by_key, sample_then_head
+from centigram.operators.sampling import hash_sample, head_by_key
 from centigram.operators.scaling import vector_columns
 from centigram.operators.text import word_count
 from centigram.schemas import (
@@ -27,13 +27,14 @@ from centigram.schemas import (
     KEY,
     NAME,
 )
-from centigram.sinks.scratch import stored
+from centigram.sinks.scratch import remove, scratch_path, stored
 from centigram.sinks.tables import (
     append_products,
     product_rows,
+    table_or_none,
     write_centers,
+    write_json_rows,
     write_results,
-    table_or_none,
     write_word_counts,
 )
 from centigram.sources.products import read_lines, read_products
@@ -41,7 +42,7 @@ from centigram.sources.products import read_lines, read_products
 
 @dataclass
 class Report:
-    """Everything one clustering run produces, as DataFrames."""
+    """Everything one clustering run produces, as DataFrames over its scored table."""
 
     model: PipelineModel
     scored: DataFrame
@@ -55,6 +56,13 @@ class Report:
     center_table: DataFrame
     distribution: DataFrame
     density: DataFrame | None
+    features: tuple = FEATURES
+    scratch: list[str] = field(default_factory=list)
+
+    def close(self) -> None:
+        """Delete the scratch tables behind the report; its DataFrames end with them."""
+        for path in self.scratch:
+            remove(self.scored.sparkSession, path)
 
 
 def describe(
@@ -64,19 +72,23 @@ def describe(
     samples_per_cluster: int = DEFAULT_SAMPLES_PER_CLUSTER,
     scored_path: str | None = None,
 ) -> Report:
-    """Score ``prepared`` once into a stored table and derive every summary from that table."""
+    """Score ``prepared`` once into a stored table and derive every summary from that table.
+
+    Without ``scored_path`` the tables are scratch, which ``close`` on the report deletes.
+    """
     spark = prepared.sparkSession
+    path, ranges = scored_path or scratch_path(spark, "scored"), scratch_path(spark, "samples")
     scaled = [f"scaled_{f}" for f in features]
     names = [c for c in (KEY, NAME) if c in prepared.columns]
     columns = vector_columns(clustering.score(model, prepared), features)
-    scored = stored(columns.select(*names, *features, *scaled, CLUSTER), scored_path)
+    scored = stored(columns.select(*names, *features, *scaled, CLUSTER), path)
 
     k = clustering.model_size(model)
     centers = clustering.model_centers(spark, model, features)
     sizes = summaries.cluster_sizes(scored, k)
     shares = summaries.cluster_share(sizes)
     samples = summaries.cluster_samples(
-        scored.select(*names, *features, CLUSTER), samples_per_cluster
+        scored.select(*names, *features, CLUSTER), samples_per_cluster, path=ranges
     )
     silhouettes = evaluation.silhouette_by_cluster(scored, k, scaled)
     overall = evaluation.silhouette_overall(silhouettes)
@@ -95,13 +107,44 @@ def describe(
         density=summaries.density_2d_by_cluster(scored, *features[:2])
         if len(features) > 1
         else None,
+        features=tuple(features),
+        scratch=[ranges] if scored_path else [path, ranges],
     )
 
 
+REPORT_TABLES = (
+    "centers",
+    "sizes",
+    "shares",
+    "samples",
+    "silhouettes",
+    "detail",
+    "center_table",
+    "distribution",
+    "density",
+)
+
+
 def save_report(report: Report, path: str) -> None:
-    """The model under ``path``/model and the run metrics as JSON under ``path``/metrics."""
+    """The model, the run metrics as JSON, and every table of the report as Parquet.
+
+    Each under its own name in ``path``; what an earlier report left there is replaced.
+    """
     clustering.save_model(report.model, f"{path}/model")
     report.metrics.write.mode("overwrite").json(f"{path}/metrics")
+    for name in REPORT_TABLES:
+        table = getattr(report, name)
+        if table is None:
+            remove(report.scored.sparkSession, f"{path}/{name}")
+        else:
+            table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def export_json(report: Report, path: str) -> None:
+    """Scored rows as JSON lines under ``path``/rows, the centre matrix under ``path``/centers."""
+    write_json_rows(report.scored, f"{path}/rows")
+    matrix = centers_to_json(report.centers, report.features)
+    matrix.write.mode("overwrite").text(f"{path}/centers")
 
 
 def train_report(
@@ -115,11 +158,22 @@ def train_report(
     samples_per_cluster: int = DEFAULT_SAMPLES_PER_CLUSTER,
     partitions: int | None = None,
     scored_path: str | None = None,
+    min_fill: float | None = None,
 ) -> Report:
-    """Prepare raw products, fit, score and summarise."""
-    prepared = stored(prepare_features(products, features, remove_outliers=remove_outliers))
-    model = clustering.fit(prepared, features, k, method, max_iter, seed, partitions)
-    return describe(model, prepared, features, samples_per_cluster, scored_path)
+    """Prepare raw products, fit, score and summarise.
+
+    With ``min_fill`` the run uses only the features that are filled in that share of the rows.
+    """
+    spark = products.sparkSession
+    rows = prepare_features(products, features, remove_outliers=remove_outliers, min_fill=min_fill)
+    features = tuple(f for f in features if min_fill is None or f in rows.columns)
+    path = scratch_path(spark, "prepared")
+    try:
+        prepared = stored(rows, path)
+        model = clustering.fit(prepared, features, k, method, max_iter, seed, partitions)
+        return describe(model, prepared, features, samples_per_cluster, scored_path)
+    finally:
+        remove(spark, path)
 
 
 def score_batch(
@@ -134,16 +188,20 @@ def score_batch(
     **training,
 ) -> Report:
     """Score a batch with the saved model (trained on it if there is none) and store the run."""
-    prepared = prepare_features(products, features)
+    rows, path = prepare_features(products, features), scratch_path(spark, "prepared")
+    prepared = rows
 
     def train() -> PipelineModel:
         nonlocal prepared
         # Training reads the batch several times; scoring alone reads it once.
-        prepared = stored(prepared)
+        prepared = stored(rows, path)
         return clustering.fit(prepared, features, **training)
 
-    model = clustering.load_or_fit(spark, model_path, train)
-    report = describe(model, prepared, features)
+    try:
+        model = clustering.load_or_fit(spark, model_path, train)
+        report = describe(model, prepared, features)
+    finally:
+        remove(spark, path)
     write_results(report.scored, results_path, run_id, id_style)
     write_centers(report.centers, centers_path, run_id)
     return report
@@ -165,9 +223,14 @@ def etl(
     Everything is loaded unless ``percent`` or ``limit`` asks for less.
     """
     products = read_products(spark, source, fmt, features, **reading)
-    chosen = sample_then_head(products, percent, limit)
-    prepared = prepare_features(chosen, features, "nested", remove_outliers)
-    append_products(prepared, target, features=features)
+    # Extracted first, so that choosing the first rows does not read and sort nested fields.
+    flat = extract_features(hash_sample(products, percent), features, "nested")
+    ranges = scratch_path(spark, "ranges")
+    chosen = head_by_key(flat, limit, path=ranges)
+    append_products(
+        prepare_features(chosen, features, remove_outliers=remove_outliers), target, features=features
+    )
+    remove(spark, ranges)
 
 
 def insert_batch(products: DataFrame, n: int = DEFAULT_BATCH_ROWS, features=FEATURES) -> DataFrame:

@@ -1,20 +1,17 @@
 """The shared folder for intermediate tables and checkpoints."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only on a local master."""
+    """The session's checkpoint folder; a session without one cannot store anything."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="centigram-")
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
@@ -27,9 +24,15 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """``df`` written once as Parquet and read back.
 
     Later passes read only the columns they need, and a lost executor costs a re-read
-    instead of a recomputation.
+    instead of a recomputation.  Whoever needs the table no longer removes its path.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, "table")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``stored`` wrote; nothing happens if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -11,6 +11,7 @@ from centigram.functions.json_rows import rows_to_json
 from centigram.functions.keys import product_id
 from centigram.operators.sampling import head_by_key
 from centigram.schemas import CLUSTER, DEFAULT_EXTRACT_ROWS, FEATURES, KEY, NAME
+from centigram.sinks.scratch import remove, scratch_path
 from centigram.sources.products import sample_products
 
 
@@ -119,8 +120,12 @@ def bounded_extract(
     df: DataFrame, path: str, n: int = DEFAULT_EXTRACT_ROWS, key: str | None = None
 ) -> None:
     """First ``n`` rows as zstd Parquet (in key order if a key is given), empty input included."""
-    rows = head_by_key(df, n, key) if key else df.limit(n)
+    spark = df.sparkSession
+    ranges = scratch_path(spark, "ranges") if key else None
+    rows = head_by_key(df, n, key, ranges) if key else df.limit(n)
     rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    if ranges:
+        remove(spark, ranges)
 
 
 def seed_if_empty(spark: SparkSession, path: str, features=FEATURES) -> bool:

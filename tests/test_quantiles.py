@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from centigram.operators.quantiles import exact_quantiles
+from centigram.operators.quantiles import approximate_quantiles, exact_quantiles
 
 PROBABILITIES = (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0)
 
@@ -74,3 +74,18 @@ def test_too_many_groups_fail_loudly(spark):
     with pytest.raises(Exception, match="more than 5 groups"):
         exact_quantiles(df, (0.5,), ("v",), "cluster", group_limit=5).collect()
     assert exact_quantiles(df, (0.5,), ("v",), "cluster", group_limit=None).count() == 20
+
+
+@pytest.mark.parametrize("group", [None, "cluster"])
+def test_approximate_ranks_are_near(data, group):
+    accuracy = 200
+    rows = approximate_quantiles(data, PROBABILITIES, ("tail", "hot", "gaps"), group, accuracy)
+    frame = data.toPandas()
+    for row in rows.collect():
+        part = frame[frame[group] == row["group"]] if group else frame
+        values = np.sort(part[row["feature"]].dropna().to_numpy())
+        assert row["n"] == len(values)
+        for p, q in zip(PROBABILITIES, row["quantiles"]):
+            low, high = np.searchsorted(values, q, "left"), np.searchsorted(values, q, "right")
+            slack = len(values) / accuracy + 1
+            assert low - slack <= p * len(values) <= high + slack

@@ -1,6 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from centigram.operators import sampling
+from centigram.operators.nested import extract_features
+from centigram.sources.products import read_products
 
 
 def test_head_by_key(spark):
@@ -48,9 +51,60 @@ def test_first_per_group_with_a_hot_group(spark):
             assert [c for _, c in got] == codes[:n]
 
 
+def test_ranges_keep_equal_rows_and_missing_groups(spark, tmp_path):
+    # half of all rows are copies of one row; a third has no group
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, "same").otherwise(F.format_string("%05d", "id")).alias("code"),
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.nullif(F.col("id") % 3, F.lit(0))).alias("cluster"),
+        F.lit(1.0).alias("a`b"),
+    ).repartition(5)
+    rows = sampling.first_per_group(df, "cluster", 1800, path=str(tmp_path / "r")).collect()
+    expected = {}
+    for r in df.orderBy("code").collect():
+        expected.setdefault(r["cluster"], []).append(r["code"])
+    assert set(expected) == {None, 1, 2}
+    for cluster, codes in expected.items():
+        got = sorted((r["rank"], r["code"]) for r in rows if r["cluster"] == cluster)
+        assert got == list(enumerate(codes[:1800], 1))
+    head = sampling.head_by_key(df, 3500)
+    assert head.columns == df.columns
+    assert sorted(r["code"] for r in head.collect()) == sorted(sum(expected.values(), []))[:3500]
+
+
+@pytest.mark.parametrize("n", [5, 5000])
+def test_first_rows_of_an_empty_table(spark, n):
+    df = spark.createDataFrame([], "code string, cluster int")
+    assert sampling.head_by_key(df, n).collect() == []
+    assert sampling.first_per_group(df, "cluster", n).collect() == []
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_small_rank_is_pruned_before_the_shuffle(spark):
     df = spark.range(100).select(
         F.col("id").cast("string").alias("code"), (F.col("id") % 3).alias("cluster")
     )
-    plan = sampling.first_per_group(df, "cluster", 5)._jdf.queryExecution().executedPlan()
-    assert "WindowGroupLimit" in plan.toString()
+    # every task, then every slice of tasks, then the group
+    for rows in (sampling.first_per_group(df, "cluster", 5), sampling.head_by_key(df, 5)):
+        plan = executed(rows)
+        assert "WindowGroupLimit" in plan and "_slice" in plan
+
+
+def test_large_ranks_never_gather_a_group(spark):
+    df = spark.range(5000).select(
+        F.format_string("%05d", "id").alias("code"), (F.col("id") % 2).alias("cluster")
+    )
+    for rows in (sampling.first_per_group(df, "cluster", 1500), sampling.head_by_key(df, 1500)):
+        plan = executed(rows)
+        # only counts per range are cumulated over a group
+        ranked = [x for x in plan.splitlines() if "row_number()" in x and "Window" in x]
+        assert ranked and all("_range" in x for x in ranked)
+
+
+def test_head_reads_only_extracted_fields(spark, raw, tmp_path):
+    raw(("1", ["a"], [("fat", 1.0)])).write.parquet(str(tmp_path / "p"))
+    products = read_products(spark, str(tmp_path / "p"))
+    scan = executed(sampling.head_by_key(extract_features(products), 10)).split("ReadSchema:")[1]
+    assert "text:string" in scan and "lang" not in scan

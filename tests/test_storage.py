@@ -1,4 +1,5 @@
 import glob
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -9,11 +10,13 @@ from pyspark.sql import types as T
 from centigram.__main__ import main
 from centigram.functions.json_rows import (
     CORRUPT,
+    centers_from_json,
     rows_from_json,
     rows_from_responses,
     rows_to_json,
 )
 from centigram.functions.keys import product_id
+from centigram.operators.nested import prepare_features
 from centigram.operators.text import text_lines, word_count
 from centigram.plans import jobs
 from centigram.schemas import (
@@ -385,10 +388,43 @@ def test_json_products(spark, products, tmp_path):
 
 
 def test_save_report(spark, products, tmp_path):
-    jobs.save_report(jobs.train_report(products, k=2), str(tmp_path / "saved"))
+    report = jobs.train_report(products, k=2)
+    jobs.save_report(report, str(tmp_path / "saved"))
     metrics = spark.read.json(str(tmp_path / "saved" / "metrics")).first()
     assert metrics["success"] and metrics["cluster_count"] == 2
     assert spark.read.text(str(tmp_path / "saved" / "model" / "metadata")).count() == 1
+    for name in jobs.REPORT_TABLES:
+        stored, table = read_table(spark, str(tmp_path / "saved" / name)), getattr(report, name)
+        assert stored.columns == table.columns and stored.exceptAll(table).isEmpty()
+    jobs.export_json(report, str(tmp_path / "json"))
+    assert spark.read.text(str(tmp_path / "json" / "rows")).count() == 200
+    centers = centers_from_json(spark.read.text(str(tmp_path / "json" / "centers")))
+    assert centers.exceptAll(report.centers).isEmpty() and centers.count() == 10
+
+
+def folders(spark):
+    place = Path(scratch.shared_folder(spark).removeprefix("file:"))
+    return {p.name for p in place.iterdir()} if place.exists() else set()
+
+
+def test_a_closed_report_leaves_no_scratch_table(spark, products, tmp_path):
+    before = folders(spark)
+    report = jobs.train_report(products, k=2, min_fill=0.5)
+    assert report.features == ("energy-kcal", "fat", "sugars")
+    assert folders(spark) > before
+    report.close()
+    assert folders(spark) == before
+    tables.bounded_extract(products, str(tmp_path / "e"), 2000, "code")
+    products.write.parquet(str(tmp_path / "s"))
+    jobs.etl(spark, str(tmp_path / "s"), str(tmp_path / "t"), limit=1500)
+    assert read_table(spark, str(tmp_path / "t")).count() == 200
+    assert folders(spark) == before
+
+
+def test_a_full_load_keeps_rows_without_a_key(spark, raw, tmp_path):
+    raw((None, ["a"], [("fat", 1.0)]), ("1", ["b"], None)).write.parquet(str(tmp_path / "s"))
+    jobs.etl(spark, str(tmp_path / "s"), str(tmp_path / "t"))
+    assert read_table(spark, str(tmp_path / "t")).count() == 2
 
 
 def test_responses(spark):
@@ -418,6 +454,14 @@ def test_command_line(spark, products, tmp_path, capsys):
         + [x for n, p in paths.items() for x in (f"--{n}", p)]
     )
     assert read_table(spark, paths["results"]).count() == 200
+    rows = str(tmp_path / "rows")
+    tables.write_json_rows(prepare_features(products), rows)
+    again = ["score", "--model", str(tmp_path / "saved" / "model"), "--run-id", "r"]
+    again += [x for n, p in paths.items() for x in (f"--{n}", p)]
+    main([*again, "--source", rows, "--format", "json-rows", "--json", str(tmp_path / "json")])
+    assert spark.read.text(str(tmp_path / "json" / "rows")).count() == 200
+    main([*again, "--sample"])
+    assert read_table(spark, paths["results"]).count() == 5
     main(["etl", "--source", source, "--target", str(tmp_path / "t"), "--percent", "100"])
     assert read_table(spark, str(tmp_path / "t")).count() == 200
     sample_products(spark).write.csv(str(tmp_path / "c"), sep="\t", header=True)
