@@ -226,11 +226,12 @@ def etl(
     # Extracted first, so that choosing the first rows does not read and sort nested fields.
     flat = extract_features(hash_sample(products, percent), features, "nested")
     ranges = scratch_path(spark, "ranges")
-    chosen = head_by_key(flat, limit, path=ranges)
-    append_products(
-        prepare_features(chosen, features, remove_outliers=remove_outliers), target, features=features
-    )
-    remove(spark, ranges)
+    try:
+        chosen = head_by_key(flat, limit, path=ranges)
+        prepared = prepare_features(chosen, features, remove_outliers=remove_outliers)
+        append_products(prepared, target, features=features)
+    finally:
+        remove(spark, ranges)
 
 
 def insert_batch(products: DataFrame, n: int = DEFAULT_BATCH_ROWS, features=FEATURES) -> DataFrame:

@@ -121,10 +121,11 @@ def bounded_extract(
 ) -> None:
     """First ``n`` rows as zstd Parquet (in key order if a key is given), empty input included."""
     spark = df.sparkSession
-    ranges = scratch_path(spark, "ranges") if key else None
-    rows = head_by_key(df, n, key, ranges) if key else df.limit(n)
-    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    if ranges:
+    ranges = scratch_path(spark, "ranges")
+    try:
+        rows = head_by_key(df, n, key, ranges) if key else df.limit(n)
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    finally:
         remove(spark, ranges)
 
 
