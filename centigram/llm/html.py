@@ -4,7 +4,10 @@ Every node of a page's tree has its characters per tag, adjusted for links: text
 counts for little.  A node's density sum adds up its children's densities; the node with the
 largest sum holds the article.  The least density on its path to the body is the threshold:
 what hangs off that path and is at least so dense belongs to the article too.  Elements that
-say what they are (navigation, forms, adverts, comments and the like) are left out.
+say what they are by tag, role or being hidden are left out.  A class or id that sounds like
+no article (advert, comments, share) only lowers a block's standing: its density counts by
+half, and by less the shorter its text outside links, in sums and against the threshold, and
+within the article it must still reach a quarter of the article's density.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
+HIDING = re.compile(r"(?:^|;)\s*display\s*:\s*none\b")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template iframe object svg canvas audio video head title textarea".split())
@@ -36,15 +40,18 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split()
 )
 APART = frozenset("nav footer aside form button select menu dialog fieldset".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-#: Words of a class or id that mark an element as no part of the article.
+#: Words of a class or id that lower a block's standing.
 APART_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense alert banner breadcrumb breadcrumbs comment comments consent cookie"
     " cookies discussion disqus foot footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices"
     " overlay pager pagination popup promo promotion recommended related replies reply respond search share sharing sidebar signup"
     " social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Characters outside links at which a marked block's standing is halved once more.
+SHORT = 100
 #: What an opening tag closes, and where looking for it ends.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -61,33 +68,38 @@ PARAGRAPH_ENDS = frozenset(
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "apart", "chars", "tags", "link_chars", "link_tags", "density", "special")
+    __slots__ = ("tag", "parent", "items", "apart", "chars", "tags", "link_chars", "link_tags", "density", "standing", "special", "marked", "within_marked")
 
     def __init__(self, tag: str, parent: Node | None, apart: bool) -> None:
         self.tag, self.parent, self.apart = tag, parent, apart
         self.items: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
-        self.density = 0.0
-        self.special = False
+        self.density = self.standing = 0.0
+        self.special = self.marked = self.within_marked = False
 
 
-def says_apart(tag: str, attributes: str, inside_main: bool) -> tuple[bool, bool]:
-    """(certainly no article text, probably none) by tag and attributes."""
+def attributes_of(text: str) -> dict[str, str]:
+    """Values by lower-case name; the first of a repeated name stands, a bare name has none."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def says_apart(tag: str, attributes: str, inside_main: bool) -> tuple[bool, bool, bool]:
+    """(certainly no article text, none unless it holds the article, of lower standing) by tag and attributes."""
     if tag in SILENT or tag in APART or (tag == "header" and not inside_main):
-        return True, False
+        return True, False, False
     if tag in MAIN or tag in ("html", "body") or not attributes:
-        return False, False
-    maybe = False
-    for name, *values in ATTRIBUTE.findall(attributes):
-        value = "".join(values).lower()
-        name = name.lower()
-        if name == "hidden" or (name == "style" and "display:none" in value.replace(" ", "")):
-            return True, False
-        if name == "role":
-            maybe |= value in ROLES
-        elif name in ("class", "id"):
-            maybe |= not APART_WORDS.isdisjoint(re.split(r"[^a-z]+", value))
-    return False, maybe
+        return False, False, False
+    named = attributes_of(attributes)
+    if "hidden" in named or named.get("aria-hidden", "").strip().lower() == "true" or HIDING.search(named.get("style", "").lower()):
+        return True, False, False
+    special = named.get("role", "").strip().lower() in ROLES
+    marked = False
+    if tag not in INLINE and tag not in HEADINGS:
+        marked = any(not APART_WORDS.isdisjoint(re.split(r"[^a-z]+", named.get(x, "").lower())) for x in ("class", "id"))
+    return False, special, marked
 
 
 def parse(page: str) -> tuple[Node, list[Node]]:
@@ -131,9 +143,9 @@ def parse(page: str) -> tuple[Node, list[Node]]:
                 node = node.parent
             if found is not None and found.parent is not None:
                 here = found.parent
-        apart, special = says_apart(tag, m["attributes"], inside > 0)
+        apart, special, marked = says_apart(tag, m["attributes"], inside > 0)
         node = Node(tag, here, apart)
-        node.special = special
+        node.special, node.marked = special, marked
         here.items.append(node)
         nodes.append(node)
         if tag in RAW and not m["attributes"].rstrip().endswith("/"):
@@ -163,6 +175,7 @@ def measure(nodes: list[Node]) -> None:
             node.link_chars = node.chars
         if main:
             holds_main.add(id(node))
+            node.marked = False
         elif node.special:
             node.apart = True
     body = next((n for n in nodes if n.tag == "body"), nodes[0])
@@ -174,19 +187,24 @@ def measure(nodes: list[Node]) -> None:
         free = max(1, c - node.link_chars)
         base = math.log(math.log(c * node.link_chars / free + ratio * c + math.e) + 1e-9)
         links = c / max(1, node.link_chars) * t / max(1, node.link_tags)
-        node.density = c / t * (math.log(max(links, 1e-9)) / base if base > 1e-6 else 1.0)
+        node.density = node.standing = c / t * (math.log(max(links, 1e-9)) / base if base > 1e-6 else 1.0)
+        if node.marked:
+            free = c - node.link_chars
+            node.standing *= free / (free + SHORT) / 2
     for node in nodes:
-        if node.parent is not None and node.parent.apart:
-            node.apart = True
+        node.within_marked = node.marked
+        if node.parent is not None:
+            node.apart |= node.parent.apart
+            node.within_marked |= node.parent.within_marked
 
 
 def chosen(root: Node, nodes: list[Node]) -> set[int]:
-    """Nodes whose whole subtrees are the article."""
+    """Nodes whose subtrees are the article; marked blocks of too low a standing become apart."""
     best, most = None, -math.inf
     for node in nodes:
-        if node.apart or node.tag in VOID or not node.chars:
+        if node.apart or node.within_marked or node.tag in VOID or not node.chars:
             continue
-        own = sum(x.density for x in node.items if isinstance(x, Node) and not x.apart)
+        own = sum(x.standing for x in node.items if isinstance(x, Node) and not x.apart)
         loose = sum(len(x.strip()) for x in node.items if isinstance(x, str))
         total = own + loose
         if total > most:
@@ -201,11 +219,14 @@ def chosen(root: Node, nodes: list[Node]) -> set[int]:
     if within:  # the page itself says how far the article reaches
         path = path[within[-1] :]
     threshold = min((n.density for n in path if n.tag != "html"), default=0.0)
+    for node in nodes:
+        if node.marked and node.standing < path[0].density / 4:
+            node.apart = True
     picked = {id(path[0])}
     if not within:
         for below, above in zip(path, path[1:], strict=False):
             for item in above.items:
-                if isinstance(item, Node) and item is not below and not item.apart and item.chars and (item.density >= threshold or item.tag == "h1"):
+                if isinstance(item, Node) and item is not below and not item.apart and item.chars and (item.standing >= threshold or item.tag == "h1"):
                     picked.add(id(item))
     return picked
 

@@ -171,3 +171,34 @@ def test_rules_and_ranking_separate_what_can_be_separated():
 )
 def test_main_text(page, text):
     assert html.main_text(page) == text
+
+
+LONG = "A sentence of the article that runs on for long enough to be read as prose, with a clause or two in it."
+
+
+@pytest.mark.parametrize(
+    "inside, kept",
+    [
+        ('<p>See <a href="/travel/hidden-valley">the valley</a> now.</p>', "See the valley now."),
+        ('<p>See <a href="/view?id=comments">the view</a> now.</p>', "See the view now."),
+        ('<p title="A hidden gem">A gem.</p>', "A gem."),
+        ('<p data-note="style=display:none" data-id=comments>Plain.</p>', "Plain."),
+        ('<div aria-hidden="false">Shown.</div>', "Shown."),
+        (f'<section id="discussion"><h2>Discussion</h2><p>{LONG}</p><p>{LONG}</p></section>', f"Discussion {LONG} {LONG}"),
+        ('<h2 class="share header">Market share</h2>', "Market share"),
+        ('<p>The <span class="ad">word</span> stays.</p>', "The word stays."),
+        ('<div aria-hidden="true">Gone.</div>', ""),
+        ("<p hidden>Gone.</p>", ""),
+        ("<p class=x hidden=until-found>Gone.</p>", ""),
+        ('<p style="color: red; DISPLAY : none">Gone.</p>', ""),
+        ('<div role="navigation">Gone.</div>', ""),
+        ('<div class="comments"><h3>Comments</h3><div class="comment"><a href=u>Bob</a> <span>1 May</span><p>Nice!</p><a href=r>Reply</a></div></div>', ""),
+    ],
+)
+def test_attributes_drop_only_what_they_say(inside, kept):
+    page = f"<body><nav><a href=x>Menu</a></nav><article><h1>T</h1><p>{LONG}</p><p>{LONG}</p>{inside}<p>End.</p></article></body>"
+    assert html.main_text(page) == " ".join(f"T {LONG} {LONG} {kept} End.".split())
+
+
+def test_a_marked_page_is_read():
+    assert html.main_text(f"<body><div class=widget><p>{LONG}</p><p>{LONG}</p></div><p>short</p></body>").startswith(f"{LONG} {LONG}")
