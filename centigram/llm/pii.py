@@ -4,13 +4,15 @@ The patterns find the base spans, which always stay and are the labels.  The mod
 character classes in overlapping windows; emissions of overlapping windows are blended by how
 central a character is, and one Viterbi pass per run of windows reconciles them.  A span must
 hold a digit or an at sign, so windows without either cannot hold one and are not read.  A
-decoded span is added if it overlaps no pattern match of its kind, passing or failing, and
-has the digits or signs that its kind needs.
+decoded span grows by the base spans of its kind that it meets.  It is added if it has the
+digits or signs that its kind needs and meets no base span, or those of its kind only and adds
+letters or digits to them; it may hold pattern matches that failed, and cuts no number in two.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -37,6 +39,8 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 SIGN = re.compile("[0-9@]")
 DIGIT = re.compile("[0-9]")
+#: Between the numbers of an added ip: a dot, in brackets or with blanks, or the word.
+DOT = re.compile(r" ?(?:\[\.\]|\(\.\)|\[dot\]|\(dot\)|\.) ?", re.I)
 Span = tuple[int, int, int]
 
 
@@ -323,26 +327,56 @@ def plausible(kind: int, piece: str) -> bool:
     if kind == 0:
         return "@" in piece[1:-1] and "." in piece and not re.search(r"\s", piece)
     if kind == 1:
-        return bool(re.fullmatch(r"[0-9]+(\.[0-9]+){3}", piece))
+        return address(piece)
     if kind == 2:
         return 14 <= n <= 19 and luhn(digits_of(piece)) and not re.search("[A-Za-z]", piece)
     return 10 <= n <= 15 and not re.search(r"[^0-9+ ().\-]", piece)
 
 
+def address(piece: str) -> bool:
+    """Four numbers up to 255 in any dotted writing, or a version 6 address that holds a digit."""
+    if ":" in piece:
+        try:
+            ipaddress.IPv6Address(piece)
+        except ValueError:
+            return False
+        return bool(DIGIT.search(piece))
+    parts = DOT.split(piece)
+    return len(parts) == 4 and all(re.fullmatch("[0-9]+", x) and small(x) for x in parts)
+
+
+def wider(text: str, span: Span, base: Span) -> bool:
+    """Whether a span holds a base span of its kind and letters or digits beyond it."""
+    s, k, e = span
+    b, j, t = base
+    if j != k or not s <= b <= t <= e:
+        return False
+    beyond = text[s:b] + text[t:e]
+    if k == 0 and re.search(r"[@,;:<>()\[\]\"=/|\\]", beyond):
+        return False
+    return any(x.isalnum() for x in beyond)
+
+
+def splits_number(text: str, s: int, e: int) -> bool:
+    return bool((s and DIGIT.match(text[s - 1]) and DIGIT.match(text[s])) or (e < len(text) and DIGIT.match(text[e - 1]) and DIGIT.match(text[e])))
+
+
 def find(p: dict[str, np.ndarray], rows: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, added spans) of each text."""
     out = []
     for text, own in zip(rows, decoded(p, rows), strict=True):
-        base, failed = candidates(text)
-        taken = base + failed
+        base, _ = candidates(text)
         added: list[Span] = []
         for s, k, e in own:
             while s < e and text[s].isspace():
                 s += 1
             while e > s and (text[e - 1].isspace() or text[e - 1] in ",;:"):
                 e -= 1
-            clash = any(s < t and b < e and (j == k or (b, j, t) in base) for b, j, t in taken)
-            if s < e and not clash and plausible(k, text[s:e]):
+            for b, j, t in base:
+                if j == k and s < t and b < e:
+                    s, e = min(s, b), max(e, t)
+            clash = any(s < t and b < e and not wider(text, (s, k, e), (b, j, t)) for b, j, t in base)
+            if s < e and not clash and not splits_number(text, s, e) and plausible(k, text[s:e]):
                 added.append((s, k, e))
         out.append((base, added))
     return out

@@ -202,3 +202,42 @@ def test_attributes_drop_only_what_they_say(inside, kept):
 
 def test_a_marked_page_is_read():
     assert html.main_text(f"<body><div class=widget><p>{LONG}</p><p>{LONG}</p></div><p>short</p></body>").startswith(f"{LONG} {LONG}")
+
+
+@pytest.mark.parametrize(
+    "text, kind, piece, added",
+    [
+        ("mail müller@web.de now", 0, "müller@web.de", True),
+        ("see mailto:a@b.co now", 0, "mailto:a@b.co", False),
+        ("see (a@b.co) now", 0, "(a@b.co)", False),
+        ("see a@b.co'c@d.co now", 0, "a@b.co'c@d.co", False),
+        ("host 2001:db8::17 up", 1, "2001:db8::17", True),
+        ("host 10[.]0[.]0[.]7 up", 1, "10[.]0[.]0[.]7", True),
+        ("host 10 . 0 . 0 . 7 up", 1, "10 . 0 . 0 . 7", True),
+        ("host 300.1.2.3 up", 1, "300.1.2.3", False),
+        ("host 10[.]0[.]0[.]700 up", 1, "10[.]0[.]0[.]700", False),
+        ("at 12:30:45 up", 1, "12:30:45", False),
+        ("card 4111.1111.1111.1111 ok", 2, "4111.1111.1111.1111", True),
+        ("card 4111/1111/1111/1111 ok", 2, "4111/1111/1111/1111", True),
+        ("card 4111  1111  1111  1111 ok", 2, "4111  1111  1111  1111", True),
+        ("card 4111 1111 1111 1111 12/27", 2, "4111 1111 1111 1111", True),
+        ("card 4111.1111.1111.1112 ok", 2, "4111.1111.1111.1112", False),
+        ("number 41111111111111110000000 ok", 2, "4111111111111111", False),
+        ("call +1 743 555 3824 20260105 ok", 3, "+1 743 555 3824", True),
+        ("call +1 (743) 555-3824) ok", 3, "+1 (743) 555-3824)", False),
+    ],
+)
+def test_added_spans(monkeypatch, text, kind, piece, added):
+    s = text.index(piece)
+    span = (s, kind, s + len(piece))
+    monkeypatch.setattr(pii, "decoded", lambda p, rows: [[span] for _ in rows])
+    [(base, more)] = pii.find({}, [text])
+    assert base == pii.candidates(text)[0]
+    assert more == ([span] if added else [])
+
+
+def test_an_added_span_grows_by_the_base_span_that_it_meets(monkeypatch):
+    monkeypatch.setattr(pii, "decoded", lambda p, rows: [[(0, 0, len("müller@web."))]])
+    assert pii.find({}, ["müller@web.de now"]) == [([(2, 0, 13)], [(0, 0, 13)])]
+    monkeypatch.setattr(pii, "decoded", lambda p, rows: [[(0, 0, len("a@web."))]])
+    assert pii.find({}, ["a@web.de now"]) == [([(0, 0, 8)], [])]
