@@ -4,6 +4,8 @@ A message is (conv_id, turn, role, text).  Its text is plain, or a JSON object:
 an assistant's may hold `tool_calls`, a list of {id, name, arguments}; a tool's names the
 `tool_call_id` that it answers; a system's may hold `tools`, a list of {name, parameters} whose
 parameters are a JSON schema.  An argument {"$result": id} uses the result of another call.
+Name, arguments and parameters may also lie in an entry's `function`.  All other keys, and
+entries that are no objects, pass through to the canonical JSON.
 
 Calls and results meet by a hash join on conversation and identifier.  A result comes after
 its call and a call after the results that it uses: a message's place is the latest turn among
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from centigram.llm.common import cut, prepare
 
 CALL = "struct<id:string,name:string,arguments:string>"
-PARSED = f"body string, calls array<{CALL}>, tools array<struct<name:string,parameters:string>>, answers string, uses array<string>"
+PARSED = f"json string, calls array<{CALL}>, tools array<struct<name:string,parameters:string>>, answers string, uses array<string>"
 #: Names of JSON schema types.
 TYPES = {
     "string": (str,),
@@ -75,25 +77,55 @@ def text_of(value: Any) -> str | None:
     return None if value is None else str(value)
 
 
+def lifted(entry: dict, names: tuple[str, ...]) -> dict:
+    """The entry with these names taken out of its `function` where it has none itself."""
+    inner = entry.get("function")
+    found = {k: inner[k] for k in names if k in inner and k not in entry} if isinstance(inner, dict) else {}
+    if not found:
+        return entry
+    rest = {k: v for k, v in inner.items() if k not in found}
+    return {k: v for k, v in entry.items() if k != "function"} | ({"function": rest} if rest else {}) | found
+
+
+def call_of(entry: dict) -> dict:
+    """A call with its id, name and arguments, null if missing, arguments in text as the object that they write."""
+    entry = {"id": None, "name": None, "arguments": None} | lifted(entry, ("name", "arguments"))
+    if isinstance(entry["arguments"], str):
+        inside = loaded(entry["arguments"])
+        entry["arguments"] = entry["arguments"] if inside is None else inside
+    return entry
+
+
+def linked(role: str, value: dict) -> dict:
+    """The message's object under the role of its row; another role of its own is kept beside."""
+    body = {"content": None} | value | {"role": role}
+    if value.get("role", role) != role:
+        name = "text_role"
+        while name in value:
+            name += "_"
+        body[name] = value["role"]
+    return body
+
+
 def parsed(role: str | None, text: str | None) -> tuple:
-    """(body without calls and tools, calls, tools, answered identifier, used identifiers)."""
+    """(canonical JSON, calls, tools, answered identifier, used identifiers)."""
     value = loaded(text)
     calls, tools, answers, uses = [], [], None, []
     body: dict[str, Any] = {"content": text, "role": role}
     if value is not None and role == "assistant" and "tool_calls" in value:
-        for x in entries(value["tool_calls"]):
-            arguments = x.get("arguments")
-            if isinstance(arguments, str):
-                arguments = loaded(arguments) or arguments
-            uses += used(arguments)
-            calls.append({"id": text_of(x.get("id")), "name": text_of(x.get("name")), "arguments": canonical(arguments)})
-        body["content"] = value.get("content")
+        body = linked(role, value)
+        if isinstance(value["tool_calls"], list):
+            body["tool_calls"] = [call_of(x) if isinstance(x, dict) else x for x in value["tool_calls"]]
+        for x in entries(body["tool_calls"]):
+            uses += used(x["arguments"])
+            calls.append({"id": text_of(x["id"]), "name": text_of(x["name"]), "arguments": canonical(x["arguments"])})
     elif value is not None and role == "tool" and "tool_call_id" in value:
         answers = text_of(value["tool_call_id"])
-        body |= {"content": value.get("content"), "tool_call_id": answers}
+        body = linked(role, value)
     elif value is not None and role == "system" and "tools" in value:
-        tools = [{"name": text_of(x.get("name")), "parameters": canonical(x.get("parameters"))} for x in entries(value["tools"])]
-        body |= {"content": value.get("content"), "tools": value["tools"]}
+        found = (lifted(x, ("name", "parameters")) for x in entries(value["tools"]))
+        tools = [{"name": text_of(x.get("name")), "parameters": canonical(x.get("parameters"))} for x in found]
+        body = linked(role, value)
     return canonical(body), calls, tools, answers, sorted(set(uses))
 
 
@@ -120,6 +152,7 @@ def conforms(value: Any, schema: Any) -> bool:
 
 
 def read(messages: DataFrame) -> DataFrame:
+    """The parsed messages; row tells them apart once they are stored."""
     kinds = {c: messages.schema[c].dataType.simpleString() for c in ("conv_id", "turn")}
     call = pa.struct([("id", pa.string()), ("name", pa.string()), ("arguments", pa.string())])
     tool = pa.struct([("name", pa.string()), ("parameters", pa.string())])
@@ -127,15 +160,16 @@ def read(messages: DataFrame) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [parsed(r, t) for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)]
-            body, calls, tools, answers, uses = zip(*rows, strict=True) if rows else ((),) * 5
-            arrays = [pa.array(body, pa.string()), pa.array(calls, pa.list_(call)), pa.array(tools, pa.list_(tool)), pa.array(answers, pa.string()), pa.array(uses, pa.list_(pa.string()))]
+            written, calls, tools, answers, uses = zip(*rows, strict=True) if rows else ((),) * 5
+            arrays = [pa.array(written, pa.string()), pa.array(calls, pa.list_(call)), pa.array(tools, pa.list_(tool)), pa.array(answers, pa.string()), pa.array(uses, pa.list_(pa.string()))]
             yield pa.record_batch(
                 [batch.column("conv_id"), batch.column("turn"), batch.column("role"), *arrays],
-                ["conv_id", "turn", "role", "body", "calls", "tools", "answers", "uses"],
+                ["conv_id", "turn", "role", "json", "calls", "tools", "answers", "uses"],
             )
 
     columns = messages.select("conv_id", "turn", "role", "text")
-    return columns.mapInArrow(each, f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, role string, {PARSED}")
+    rows = columns.mapInArrow(each, f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, role string, {PARSED}")
+    return rows.withColumn("row", F.monotonically_increasing_id())
 
 
 def checked(calls: DataFrame) -> DataFrame:
@@ -155,30 +189,29 @@ def checked(calls: DataFrame) -> DataFrame:
 
 
 def places(needs: DataFrame) -> DataFrame:
-    """(conv_id, turn, place_turn, place_depth, cyclic) of the messages that depend on others.
+    """(row, place_turn, place_depth, cyclic) of the messages that depend on others.
 
     A depth above the conversation's number of dependencies proves a cycle; such messages stop
     moving and say so.
     """
-    key = ["conv_id", "turn"]
     most = needs.groupBy("conv_id").agg(F.count(F.lit(1)).alias("most"))
     now = cut(
-        needs.select(*key).union(needs.select("conv_id", F.col("after").alias("turn"))).distinct()
+        needs.select("conv_id", "row", "turn").union(needs.select("conv_id", F.col("after").alias("row"), F.col("after_turn").alias("turn"))).distinct()
         .join(most, "conv_id")
-        .select(*key, "most", F.col("turn").alias("place_turn"), F.lit(0).cast("long").alias("place_depth"))
+        .select("row", "most", F.col("turn").alias("place_turn"), F.lit(0).cast("long").alias("place_depth"))
     )
     while True:
-        before = now.select("conv_id", F.col("turn").alias("after"), F.struct("place_turn", (F.col("place_depth") + 1).alias("d")).alias("p"))
-        pushed = needs.join(before, ["conv_id", "after"]).groupBy(*key).agg(F.max("p").alias("p"))
+        before = now.select(F.col("row").alias("after"), F.struct("place_turn", (F.col("place_depth") + 1).alias("d")).alias("p"))
+        pushed = needs.join(before, "after").groupBy("row").agg(F.max("p").alias("p"))
         own = F.struct("place_turn", F.col("place_depth").alias("d"))
         moved = cut(
-            now.join(pushed, key, "left")
+            now.join(pushed, "row", "left")
             .withColumn("q", F.when(F.col("place_depth") > F.col("most"), own).otherwise(F.greatest(own, F.coalesce("p", own))))
-            .select(*key, "most", F.col("q.place_turn").alias("place_turn"), F.col("q.d").alias("place_depth"), (F.col("q") > own).alias("moved"))
+            .select("row", "most", F.col("q.place_turn").alias("place_turn"), F.col("q.d").alias("place_depth"), (F.col("q") > own).alias("moved"))
         )
         now = moved.drop("moved")
         if moved.where("moved").isEmpty():
-            return now.select(*key, "place_turn", "place_depth", (F.col("place_depth") > F.col("most")).alias("cyclic"))
+            return now.select("row", "place_turn", "place_depth", (F.col("place_depth") > F.col("most")).alias("cyclic"))
 
 
 def link(messages: DataFrame) -> DataFrame:
@@ -187,56 +220,51 @@ def link(messages: DataFrame) -> DataFrame:
     place_turn and place_depth order a conversation topologically; n_calls, n_answered and
     n_invalid count the message's calls; orphan marks a result without its call.  Text that is
     no such JSON is content as it is, also null or empty; a null role or identifier links with
-    nothing.  If an identifier or a tool's name repeats in a conversation the earliest stands;
-    repeated rows give repeated results.  An empty table gives an empty result.
+    nothing; a null turn links without ordering.  If an identifier or a tool's name repeats in a
+    conversation the earliest stands, a null turn last; repeated rows give repeated results.  An empty table gives an empty result.
     """
     prepare(messages.sparkSession)
     rows = cut(read(messages))
-    key = ["conv_id", "turn"]
-    calls = rows.select(*key, "body", F.posexplode("calls").alias("k", "call")).select(*key, "body", "k", "call.*")
+    key = ["row", "conv_id", "turn"]
+    earliest = F.struct(F.col("turn").isNull().alias("none"), "turn", F.xxhash64("json").alias("h"), "row")
+    calls = rows.select(*key, "json", F.explode("calls").alias("call")).select(*key, "json", "call.*")
     tools = (
         rows.select("conv_id", F.explode("tools").alias("t"), "turn")
         .groupBy("conv_id", F.col("t.name").alias("name"))
-        .agg(F.min_by("t.parameters", F.struct("turn", "t.parameters")).alias("parameters"))
+        .agg(F.min_by("t.parameters", F.struct(F.col("turn").isNull().alias("none"), "turn", "t.parameters")).alias("parameters"))
     )
-    answered = rows.where("answers IS NOT NULL").groupBy("conv_id", F.col("answers").alias("id")).agg(F.min("turn").alias("answer_turn"))
-    called = calls.where("id IS NOT NULL").groupBy("conv_id", "id").agg(F.min("turn").alias("call_turn"))
-    full = checked(calls.join(tools, ["conv_id", "name"], "left").join(answered, ["conv_id", "id"], "left"))
-    per = (
-        full.dropDuplicates([*key, "body", "k", "id", "name", "arguments"])
-        .groupBy(*key, "body")
-        .agg(
-            F.count(F.lit(1)).alias("n_calls"),
-            F.count("answer_turn").alias("n_answered"),
-            F.count(F.when(~F.col("valid"), 1)).alias("n_invalid"),
-            F.array_sort(F.collect_list(F.struct("k", "id", "name", "arguments"))).alias("listed"),
-        )
+    first = lambda df, name: df.groupBy("conv_id", "id").agg(F.min(earliest).alias(name))
+    answered = first(rows.where("answers IS NOT NULL").withColumn("id", F.col("answers")), "answer")
+    called = first(calls.where("id IS NOT NULL"), "called")
+    full = checked(calls.drop("json").join(tools, ["conv_id", "name"], "left").join(answered, ["conv_id", "id"], "left"))
+    per = full.groupBy("row").agg(
+        F.count(F.lit(1)).alias("n_calls"),
+        F.count("answer").alias("n_answered"),
+        F.count(F.when(~F.col("valid"), 1)).alias("n_invalid"),
     )
-    answering = rows.where("answers IS NOT NULL").select(*key, F.col("answers").alias("id")).join(called, ["conv_id", "id"]).select(*key, F.col("call_turn").alias("after"))
-    using = rows.select(*key, F.explode("uses").alias("id")).join(answered, ["conv_id", "id"]).select(*key, F.col("answer_turn").alias("after"))
-    needs = cut(answering.union(using).where("turn IS NOT NULL AND after IS NOT NULL").distinct())
     told = (
-        rows.select(*key, "role", "body", "answers")
-        .join(per, [*key, "body"], "left")
-        .join(called.withColumnRenamed("id", "answers"), ["conv_id", "answers"], "left")
+        rows.select(*key, "role", "json", F.col("answers").alias("id"))
+        .join(per, "row", "left")
+        .join(called, ["conv_id", "id"], "left")
     )
+    answering = told.where("called IS NOT NULL").select(*key, F.col("called.row").alias("after"), F.col("called.turn").alias("after_turn"))
+    using = rows.select(*key, F.explode("uses").alias("id")).join(answered, ["conv_id", "id"]).select(*key, F.col("answer.row").alias("after"), F.col("answer.turn").alias("after_turn"))
+    needs = cut(answering.union(using).where("turn IS NOT NULL AND after_turn IS NOT NULL").distinct())
     if not needs.isEmpty():
-        told = told.join(places(needs), key, "left")
+        told = told.join(places(needs), "row", "left")
     else:
         told = told.withColumns({"place_turn": F.col("turn"), "place_depth": F.lit(0).cast("long"), "cyclic": F.lit(False)})
-    quoted = lambda c: F.when(c.isNull(), F.lit("null")).otherwise(F.regexp_replace(F.to_json(F.array(c)), r"^\[(?s:(.*))\]$", "$1"))
-    one = lambda c: F.concat(F.lit('{"arguments":'), c["arguments"], F.lit(',"id":'), quoted(c["id"]), F.lit(',"name":'), quoted(c["name"]), F.lit("}"))
-    listed = F.concat(F.expr("substring(body, 1, length(body) - 1)"), F.lit(',"tool_calls":['), F.array_join(F.transform("listed", one), ","), F.lit("]}"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     return told.select(
-        *key,
+        "conv_id",
+        "turn",
         "role",
         F.coalesce("place_turn", "turn").alias("place_turn"),
         F.coalesce("place_depth", F.lit(0).cast("long")).alias("place_depth"),
         zero("n_calls"),
         zero("n_answered"),
         zero("n_invalid"),
-        (F.col("answers").isNotNull() & F.col("call_turn").isNull()).alias("orphan"),
+        (F.col("id").isNotNull() & F.col("called").isNull()).alias("orphan"),
         F.coalesce("cyclic", F.lit(False)).alias("cyclic"),
-        F.when(F.col("listed").isNotNull(), listed).otherwise(F.col("body")).alias("json"),
+        "json",
     )

@@ -169,6 +169,92 @@ def test_chat(spark):
     assert chat.link(df.limit(0)).count() == 0
 
 
+def plain_link(rows):
+    """The linker over a list of (conv_id, turn, role, object or text), one conversation's messages at a time."""
+    late = lambda t: (t is None, t or 0)
+    out, places = [], {}
+
+    def calls_of(k):
+        role, x = rows[k][2], rows[k][3]
+        found = x.get("tool_calls") if role == "assistant" and isinstance(x, dict) else None
+        flat = [c | c.get("function", {}) for c in found or [] if isinstance(c, dict)]
+        for c in flat:
+            if isinstance(c.get("arguments"), str) and c["arguments"].startswith("{"):
+                c["arguments"] = json.loads(c["arguments"])
+        return flat
+
+    def answers(k):
+        return rows[k][3].get("tool_call_id") if rows[k][2] == "tool" and isinstance(rows[k][3], dict) else None
+
+    def first(k, holds):
+        near = [j for j in range(len(rows)) if rows[k][0] is not None and rows[j][0] == rows[k][0] and holds(j)]
+        return min(near, key=lambda j: late(rows[j][1]), default=None)
+
+    def needs(k):
+        found = []
+        if answers(k) is not None:
+            found.append(first(k, lambda j: any(c.get("id") == answers(k) for c in calls_of(j))))
+        for c in calls_of(k):
+            for v in c["arguments"].values() if isinstance(c.get("arguments"), dict) else ():
+                if isinstance(v, dict) and set(v) == {"$result"}:
+                    found.append(first(k, lambda j, v=v: answers(j) == v["$result"]))
+        return [j for j in found if j is not None and rows[j][1] is not None]
+
+    def place(k):
+        if k not in places:
+            own = (rows[k][1], 0)
+            places[k] = own if own[0] is None else max([own, *((place(j)[0], place(j)[1] + 1) for j in needs(k))])
+        return places[k]
+
+    for k, (conv, turn, role, _) in enumerate(rows):
+        calls = calls_of(k)
+        done = sum(c.get("id") is not None and first(k, lambda j, c=c: answers(j) == c["id"]) is not None for c in calls)
+        lost = answers(k) is not None and first(k, lambda j: any(c.get("id") == answers(k) for c in calls_of(j))) is None
+        out.append((conv, turn, role, *place(k), len(calls), done, lost))
+    return out
+
+
+def test_chat_against_a_plain_linker(spark):
+    call = lambda i, **more: {"id": i, "name": "f", "arguments": {"n": i}} | more
+    rows = [
+        (1, 0, "user", "hi"),
+        (1, 1, "assistant", {"content": "same", "tool_calls": [call("a"), call("b")]}),
+        (1, 1, "assistant", {"content": "same", "tool_calls": [call("c", arguments={"x": {"$result": "a"}})]}),
+        (1, 1, "user", "at the same turn"),
+        (1, 1, "tool", {"tool_call_id": "a", "content": "A", "name": "f", "status": 0}),
+        (1, 1, "tool", {"tool_call_id": "c", "content": "C"}),
+        (1, 0, "tool", {"tool_call_id": "b"}),
+        (1, None, "assistant", {"content": None, "tool_calls": [call("d")], "refusal": "no"}),
+        (1, 4, "tool", {"tool_call_id": "d"}),
+        (1, None, "tool", {"tool_call_id": "z"}),
+        (None, 2, "assistant", {"content": "x", "tool_calls": [call("a")]}),
+        (None, 3, "tool", {"tool_call_id": "a"}),
+        (None, None, "assistant", {"content": "x", "tool_calls": [call("q"), "no object", None]}),
+        (2, 1, "assistant", {"tool_calls": [{"id": "a", "type": "function", "function": {"name": "g", "arguments": '{"k": 1}', "strict": True}}]}),
+        (2, 0, "tool", {"tool_call_id": "a"}),
+        (2, 2, "assistant", {"tool_calls": [call("e", arguments="{}"), call("f", arguments="none")], "role": "helper"}),
+        (2, 2, "assistant", {"tool_calls": []}),
+        (2, 3, None, None),
+    ]
+    rows += rows[1:3]
+    text = lambda x: json.dumps(x) if isinstance(x, dict) else x
+    df = spark.createDataFrame([(c, t, r, text(x)) for c, t, r, x in rows], "conv_id long, turn long, role string, text string")
+    got = chat.link(df.repartition(3)).collect()
+    fields = ("conv_id", "turn", "role", "place_turn", "place_depth", "n_calls", "n_answered", "orphan")
+    assert Counter(tuple(r[f] for f in fields) for r in got) == Counter(plain_link(rows))
+    said = Counter((r.conv_id, r.turn, r.json) for r in got)
+    wrap = {"id": "a", "type": "function", "name": "g", "arguments": {"k": 1}, "function": {"strict": True}}
+    changed = {
+        13: {"content": None, "tool_calls": [wrap]},
+        15: {"content": None, "tool_calls": [call("e", arguments={}), call("f", arguments="none")], "text_role": "helper"},
+    }
+    want = Counter()
+    for k, (conv, turn, role, x) in enumerate(rows):
+        body = {"content": None} | changed.get(k, x) if isinstance(x, dict) else {"content": x}
+        want[conv, turn, chat.canonical(body | {"role": role})] += 1
+    assert said == want
+
+
 def test_pipeline_stages(spark):
     docs = table(spark, SMALL, "documents")
     first = {r.doc_id for r in ranking.classify(docs, table(spark, SMALL, "labels")).where("predicted = 1").collect()}
