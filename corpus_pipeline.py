@@ -51,7 +51,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("bpe_codec", encode_texts),
 ]
 
-#: Scores, spans and draws are not SQL; the tests compare with a plain version instead.
+#: Scores, spans and draws are not SQL; the tests compare the second stage with a plain version,
+#: the first with its operator and the whole run's columns only.
 ORACLE_SQL = None
 
 
