@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centigram.llm import bpe, chat, html, jaccard, mixing, neighbours, pii, ranking, rules, scoring
+from centigram.llm import bpe, chat, grammar, html, jaccard, merkle, mixing, negatives, neighbours, oracles, pii, ranking, rules, scoring
 
 #: Folder of the public tokenizers' files; their module tells it where it can be imported.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -68,6 +68,18 @@ def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return grammar.digests(table(spark, folder, "documents"), tokenizer_path())
+
+
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified(table(spark, folder, "documents"))
+
+
+def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mine(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing_sources": mixing_sources,
     "op2_lm_scoring": lm_scoring,
@@ -79,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": ngram_jaccard_join,
     "op9_html_extraction": html_extraction,
     "op10_embedding_near_dedup": embedding_near_dedup,
+    "op11_token_files": token_files,
+    "op12_merkle_manifest": merkle_manifest,
+    "op13_hard_negatives": hard_negatives,
 }
 
 #: Shingles, overlaps and reachable documents, as the contract states them.
@@ -112,4 +127,9 @@ SELECT conv_id, turn, role, turn AS place_turn, CAST(0 AS BIGINT) AS place_depth
 FROM conversations
 """
 
-ORACLES: dict[str, str] = {"op4_chat_formatting": CHAT, "op8_ngram_jaccard_join": JACCARD}
+ORACLES: dict[str, str] = {
+    "op4_chat_formatting": CHAT,
+    "op8_ngram_jaccard_join": JACCARD,
+    "op12_merkle_manifest": oracles.manifest(),
+    "op13_hard_negatives": oracles.HARD_NEGATIVES,
+}
