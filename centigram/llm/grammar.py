@@ -52,7 +52,7 @@ RANGES = 20_000
 #: a round that shortens the shard by less than one in so many symbols is the last.
 LEAST = 16
 SHARE = 8
-GAIN = 1024
+GAIN = 256
 #: Cells of the table that counts pairs before they are told apart.
 CELLS = 18
 #: An index of so many shards or fewer is broadcast (about 40 bytes each).
@@ -235,7 +235,7 @@ def tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, _ = get()
         for batch in batches:
-            rows = [np.append(np.frombuffer(encoder.encode(t), "<u4").astype(kind), end) for t in batch.column("text").to_pylist()]
+            rows = [np.append(np.frombuffer(encoder.span(t), "<u4").astype(kind), end) for t in batch.column("text").to_pylist()]
             schema = pa.schema([pa.field("doc_id", batch.column("doc_id").type), pa.field("n", pa.int64()), pa.field("ids", pa.binary())])
             yield batch_of({"doc_id": batch.column("doc_id"), "n": [len(r) for r in rows], "ids": [r.tobytes() for r in rows]}, schema)
 
