@@ -400,3 +400,12 @@ ORACLES["train_report_metrics"] = from_k(
     *(part.replace("FROM k", "FROM z") for part in SILHOUETTE),
 )
 ORACLES["saved_report"] = from_k(BOX_ROWS, *APART_CTE, LONG.replace("FROM k", "FROM a"), BOX)
+ORACLES["score_reduced_model"] = from_k(
+    "SELECT code, cluster, 'energy-kcal,proteins,sugars' AS features FROM a", *APART_CTE
+)
+ORACLES["score_permuted_features"] = from_k(
+    f"SELECT cluster, feature, {r6('avg(value)')} AS value FROM long GROUP BY cluster, feature",
+    *APART_CTE,
+    *APART_SCALED,
+    LONG.replace("FROM k", "FROM z"),
+)

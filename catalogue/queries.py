@@ -427,6 +427,42 @@ def score_batch(spark, folder):
     )
 
 
+def separated_run(spark, products, model, **scoring) -> tuple[DataFrame, DataFrame]:
+    """Score three groups far apart; results and centres as stored, numbered by first code."""
+    results, centers = scratch_path(spark, "results"), scratch_path(spark, "centers")
+    jobs.score_batch(spark, products, model, results, centers, "run", **scoring).close()
+    scored = read_table(spark, results).selectExpr("product_id AS code", "cluster_id AS cluster")
+    named = read_table(spark, centers).selectExpr(
+        "cluster_id AS cluster", "feature_name AS feature", "feature_value AS value"
+    )
+    return by_first_code(scored, scored), by_first_code(named, scored)
+
+
+@query
+def score_reduced_model(spark, folder):
+    """A model trained on well-filled features only scores complete products by default arguments."""
+    model, whole = scratch_path(spark, "model"), separated_products(spark, folder)
+    some = F.crc32(F.col("code").cast("binary")) % 4 != 0
+    gaps = whole.withColumns({f: F.when(some, F.col(f)) for f in ("fat", "carbohydrates")})
+    report = jobs.train_report(gaps, k=3, min_fill=0.9)
+    clustering.save_model(report.model, model)
+    report.close()
+    scored, centers = separated_run(spark, whole, model)
+    read = centers.groupBy("cluster").agg(F.array_join(F.sort_array(F.collect_list("feature")), ",").alias("features"))
+    return scored.join(read, "cluster")
+
+
+@query
+def score_permuted_features(spark, folder):
+    """Stored centres of a batch whose caller names the model's features in another order."""
+    model, products = scratch_path(spark, "model"), separated_products(spark, folder)
+    report = jobs.train_report(products, k=3)
+    clustering.save_model(report.model, model)
+    report.close()
+    _, centers = separated_run(spark, products, model, features=tuple(reversed(FEATURES)))
+    return rounded(centers, ["value"])
+
+
 # --- summaries -------------------------------------------------------------------------
 
 

@@ -39,11 +39,18 @@ def parser() -> argparse.ArgumentParser:
         formats = files if command is etl else (*files, "catalog", "json-rows")
         command.add_argument("--format", default="parquet", choices=formats)
         command.add_argument(
-            "--features", default=",".join(FEATURES), type=lambda s: tuple(s.split(","))
+            "--features",
+            # A saved model knows its own; then these are only checked against it.
+            default=None if command is score else FEATURES,
+            type=lambda s: tuple(s.split(",")),
         )
+        command.add_argument("--percent", type=int, default=100, help="share of the keys")
+        command.add_argument("--limit", type=int, default=0, help="first rows in key order")
+        command.add_argument("--remove-outliers", action="store_true")
     for command in (train, score):
         command.add_argument("--k", type=int, default=DEFAULT_K)
-        command.add_argument("--method", default=DEFAULT_METHOD)
+        command.add_argument("--method", default=None if command is score else DEFAULT_METHOD)
+        command.add_argument("--min-fill", type=float, help="use only features filled this often")
         command.add_argument("--max-iter", type=int, default=DEFAULT_MAX_ITER)
         command.add_argument("--seed", type=int, default=DEFAULT_SEED)
         command.add_argument("--partitions", type=int, help="tasks of a k-means iteration")
@@ -55,17 +62,13 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--checkpoint-dir", help="shared folder for scratch tables")
 
     train.add_argument("--save", help="folder for the model and the tables of the report")
-    train.add_argument("--remove-outliers", action="store_true")
-    train.add_argument("--min-fill", type=float, help="use only features filled this often")
 
     for name in ("model", "results", "centers", "run-id"):
         score.add_argument(f"--{name}", required=True)
+    score.add_argument("--id-style", default="code", choices=("code", "int", "long"))
 
     etl.add_argument("--source", required=True)
     etl.add_argument("--target", required=True)
-    etl.add_argument("--percent", type=int, default=100)
-    etl.add_argument("--limit", type=int, default=0)
-    etl.add_argument("--remove-outliers", action="store_true")
 
     words.add_argument("--source", required=True)
     words.add_argument("--target", required=True)
@@ -74,18 +77,19 @@ def parser() -> argparse.ArgumentParser:
 
 def reading(args) -> dict:
     """Explicit schemas for the formats that carry none."""
-    schemas = {"csv": flat_products(args.features), "json": RAW_PRODUCTS}
+    schemas = {"csv": flat_products(args.features or FEATURES), "json": RAW_PRODUCTS}
     return {"schema": schemas[args.format]} if args.format in schemas else {}
 
 
 def products_of(spark: SparkSession, args) -> DataFrame:
+    features = args.features or FEATURES
     if args.sample:
-        return sample_products(spark, args.features)
+        return sample_products(spark, features)
     if args.format == "catalog":
         return read_table(spark, args.source, "catalog")
     if args.format == "json-rows":
-        return read_json_rows(spark, args.source, flat_products(args.features))
-    return read_products(spark, args.source, args.format, args.features, **reading(args))
+        return read_json_rows(spark, args.source, flat_products(features))
+    return read_products(spark, args.source, args.format, features, **reading(args))
 
 
 def main(arguments=None) -> None:
@@ -115,6 +119,10 @@ def main(arguments=None) -> None:
         "max_iter": args.max_iter,
         "seed": args.seed,
         "partitions": args.partitions,
+        "remove_outliers": args.remove_outliers,
+        "min_fill": args.min_fill,
+        "percent": args.percent,
+        "limit": args.limit,
     }
     products = products_of(spark, args)
     if args.command == "score":
@@ -126,16 +134,11 @@ def main(arguments=None) -> None:
             args.centers,
             args.run_id,
             args.features,
+            args.id_style,
             **training,
         )
     else:
-        report = jobs.train_report(
-            products,
-            args.features,
-            remove_outliers=args.remove_outliers,
-            min_fill=args.min_fill,
-            **training,
-        )
+        report = jobs.train_report(products, args.features, **training)
         if args.save:
             jobs.save_report(report, args.save)
     if args.json:

@@ -1,10 +1,18 @@
 """K-means: fit, persist, score, and assignment to stored centres."""
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.feature import (
+    MaxAbsScalerModel,
+    MinMaxScalerModel,
+    RobustScalerModel,
+    StandardScalerModel,
+    VectorAssembler,
+)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +29,45 @@ from centigram.schemas import (
 )
 
 
+SCALER_MODELS = {
+    StandardScalerModel: "standard",
+    MinMaxScalerModel: "minmax",
+    MaxAbsScalerModel: "maxabs",
+    RobustScalerModel: "robust",
+}
+
+
+@dataclass(frozen=True)
+class Signature:
+    """What a fitted model reads and in which order, how it scales, and how many centres it has."""
+
+    features: tuple[str, ...]
+    method: str
+    size: int
+
+    def accepts(self, features=None, method: str | None = None) -> None:
+        """Raise unless a caller's features (in any order) and method are the model's."""
+        if features is not None and sorted(features) != sorted(self.features):
+            raise ValueError(
+                f"the model was fitted on {list(self.features)}, not on {list(features)}"
+            )
+        if method is not None and method != self.method:
+            raise ValueError(f"the model scales by {self.method!r}, not by {method!r}")
+
+
+def signature(model: PipelineModel) -> Signature:
+    """Read from the model's own stages, so a saved model carries it wherever it is loaded."""
+    stages = model.stages
+    if len(stages) != 3 or not isinstance(stages[0], VectorAssembler):
+        raise ValueError("not a model of assembler, scaler and k-means")
+    if type(stages[1]) not in SCALER_MODELS or not isinstance(stages[2], KMeansModel):
+        raise ValueError("not a model of assembler, scaler and k-means")
+    features, centers = tuple(stages[0].getInputCols()), stages[2].clusterCenters()
+    if any(len(center) != len(features) for center in centers):
+        raise ValueError(f"the model's centres do not have its {len(features)} features")
+    return Signature(features, SCALER_MODELS[type(stages[1])], len(centers))
+
+
 def weighted_points(df: DataFrame, features=FEATURES, partitions: int | None = None) -> DataFrame:
     """Distinct measurement vectors with ``weight`` = number of rows, in a fixed layout.
 
@@ -69,16 +116,23 @@ def fit(
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add ``features``, ``scaled_features`` and the integer ``cluster``."""
+    """Add ``features``, ``scaled_features`` and the integer ``cluster``.
+
+    The model takes its columns by name; which others there are and in which order is no matter.
+    """
+    absent = [f for f in signature(model).features if f not in df.columns]
+    if absent:
+        raise ValueError(f"the rows have no column for the model's features {absent}")
     return model.transform(df).withColumn(CLUSTER, col(CLUSTER).cast("int"))
 
 
-def model_centers(spark: SparkSession, model: PipelineModel, features=FEATURES) -> DataFrame:
+def model_centers(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """The model's centres as (cluster, feature, value), in scaled units, clusters from 0."""
+    features = signature(model).features
     rows = [
         (i, f, float(v))
         for i, center in enumerate(model.stages[-1].clusterCenters())
-        for f, v in zip(features, center)
+        for f, v in zip(features, center, strict=True)
     ]
     return spark.createDataFrame(rows, CENTERS)
 

@@ -3,13 +3,13 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import all_of, col
+from centigram.functions.columns import col
 from centigram.functions.keys import hash_percent
+from centigram.operators.selection import Cuts
 from centigram.schemas import DEFAULT_SAMPLE_PERCENT, KEY
-from centigram.sinks.scratch import scratch_path
 
-# Up to this rank Spark drops the rest before a shuffle.
-PRUNED_RANK = 1000
+# Rows of a group that may meet in one task before slices of the tasks merge theirs.
+GATHERED = 1_000_000
 
 
 def order_columns(df: DataFrame, key: str):
@@ -17,59 +17,33 @@ def order_columns(df: DataFrame, key: str):
     return [col(key), *[col(c) for c in df.columns if c != key]]
 
 
-def _pruned(df: DataFrame, parts, order, n: int) -> DataFrame:
-    """A superset of the first ``n`` rows of each part, at most ``n`` per part and slice of tasks.
-
-    Every map task drops its other rows before the shuffle; what is left of a part meets in as
-    many tasks as the session has shuffle partitions.
-    """
+def _sliced(df: DataFrame, parts, order, n: int) -> DataFrame:
+    """A superset of the first ``n`` rows of each part, at most ``n`` per part and slice of tasks."""
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = df.withColumn("_slice", F.spark_partition_id() % slices)
     place = F.row_number().over(Window.partitionBy(*parts, "_slice").orderBy(*order))
     return sliced.withColumn("_place", place).filter(F.col("_place") <= n).drop("_slice", "_place")
 
 
-def _ranked_by_range(df: DataFrame, groups, order, n: int, path: str | None) -> DataFrame:
-    """The first ``n`` rows of each group with their ``rank``, no group in one task.
+def _candidates(df: DataFrame, groups: list[str], key: str, order, n: int) -> DataFrame:
+    """Rows up to the cut of their group; if many share the key where it falls, of slices their first."""
+    cuts = Cuts(df, groups, key, n)
+    rows = cuts.apply(df)
+    if any(kept > GATHERED for kept in cuts.kept.values()):
+        rows = _sliced(rows, [col(g) for g in groups], order, n)
+    return rows
 
-    The rows are stored once, a folder for each range of (group, order).  Counts per group and
-    range tell where a range starts in its group; only ranges that start before ``n`` are read
-    again, each ranked by itself.  Rows equal in every column may fall into several ranges.
-    """
-    spark = df.sparkSession
-    parts = [col(g) for g in groups]
-    path = path or scratch_path(spark, "ranges")
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    ranges = numbered.repartitionByRange(*parts, *order, "_row").drop("_row")
-    ranges = ranges.withColumn("_range", F.spark_partition_id())
-    ranges.write.mode("overwrite").partitionBy("_range").parquet(path)
-    laid = spark.read.schema(ranges.schema).parquet(path)
-
-    sizes = laid.groupBy(*parts, "_range").agg(F.count(F.lit(1)).alias("_size"))
-    ahead = Window.partitionBy(*parts).orderBy("_range")  # a row for each range of the group
-    before = F.sum("_size").over(ahead) - F.col("_size")
-    starts = sizes.withColumn("_before", before).filter(F.col("_before") < n).drop("_size")
-    starts = starts.withColumnsRenamed({"_range": "_wanted", **{g: f"_{g}" for g in groups}})
-    same = [laid[f"`{g}`"].eqNullSafe(starts[f"`_{g}`"]) for g in groups]
-    rows = laid.join(starts, all_of([laid["_range"] == starts["_wanted"], *same]))
-    place = F.row_number().over(Window.partitionBy(*parts, "_range").orderBy(*order))
-    rank = (F.col("_before") + place).cast("int").alias("rank")
-    return rows.select(*[col(c) for c in df.columns], rank).filter(F.col("rank") <= n)
-
-
-def head_by_key(df: DataFrame, n: int, key: str = KEY, path: str | None = None) -> DataFrame:
+
+def head_by_key(df: DataFrame, n: int, key: str = KEY) -> DataFrame:
     """First ``n`` rows in key order; zero or a negative number keeps all rows.
 
-    Extract before taking a head: every column of ``df`` breaks ties and is read.  Up to
-    PRUNED_RANK rows the work is lazy and merges in two steps; beyond, the rows are stored by
-    range under ``path`` (a scratch table if not given).
+    Two passes over the key find where these rows end, for any ``n``; only rows up to there are
+    read whole, and only they are sorted.  Every column of ``df`` breaks ties.
     """
     if n <= 0:
         return df
     order = order_columns(df, key)
-    if n <= PRUNED_RANK:
-        return _pruned(df, [], order, n).orderBy(*order).limit(n)
-    return _ranked_by_range(df, [], order, n, path).drop("rank")
+    return _candidates(df, [], key, order, n).orderBy(*order).limit(n)
 
 
 def hash_sample(df: DataFrame, percent: int = DEFAULT_SAMPLE_PERCENT, key: str = KEY) -> DataFrame:
@@ -91,18 +65,13 @@ def sample_then_head(df: DataFrame, percent: int, n: int, key: str = KEY) -> Dat
     return head_by_key(hash_sample(df, percent, key), n, key)
 
 
-def first_per_group(
-    df: DataFrame, group: str, n: int, key: str = KEY, path: str | None = None
-) -> DataFrame:
+def first_per_group(df: DataFrame, group: str, n: int, key: str = KEY) -> DataFrame:
     """First ``n`` rows of each group in key order, with their ``rank``.
 
-    Up to PRUNED_RANK rows every map task keeps its own first ``n`` of each group, slices of
-    the tasks merge theirs, then the slices meet.  Beyond that the rows are stored by range
-    (under ``path``, or as a scratch table), and a group's rows never meet.
+    As in ``head_by_key``, passes over group and key find where each large group's first rows
+    end; the others are small enough to be ranked as they are.
     """
     order = order_columns(df.drop(group), key)
-    if n > PRUNED_RANK:
-        return _ranked_by_range(df, [group], order, n, path)
-    rows = _pruned(df, [col(group)], order, n)
+    rows = _candidates(df, [group], key, order, n)
     rank = F.row_number().over(Window.partitionBy(col(group)).orderBy(*order))
     return rows.withColumn("rank", rank).filter(F.col("rank") <= n)

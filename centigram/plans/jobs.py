@@ -68,27 +68,28 @@ class Report:
 def describe(
     model: PipelineModel,
     prepared: DataFrame,
-    features=FEATURES,
     samples_per_cluster: int = DEFAULT_SAMPLES_PER_CLUSTER,
     scored_path: str | None = None,
 ) -> Report:
     """Score ``prepared`` once into a stored table and derive every summary from that table.
 
-    Without ``scored_path`` the tables are scratch, which ``close`` on the report deletes.
+    Features and their order are the model's.  Without ``scored_path`` the tables are scratch, which ``close`` on the report deletes.
     """
     spark = prepared.sparkSession
-    path, ranges = scored_path or scratch_path(spark, "scored"), scratch_path(spark, "samples")
+    signed = clustering.signature(model)
+    features = signed.features
+    path = scored_path or scratch_path(spark, "scored")
     scaled = [f"scaled_{f}" for f in features]
     names = [c for c in (KEY, NAME) if c in prepared.columns]
     columns = vector_columns(clustering.score(model, prepared), features)
     scored = stored(columns.select(*names, *features, *scaled, CLUSTER), path)
 
-    k = clustering.model_size(model)
-    centers = clustering.model_centers(spark, model, features)
+    k = signed.size
+    centers = clustering.model_centers(spark, model)
     sizes = summaries.cluster_sizes(scored, k)
     shares = summaries.cluster_share(sizes)
     samples = summaries.cluster_samples(
-        scored.select(*names, *features, CLUSTER), samples_per_cluster, path=ranges
+        scored.select(*names, *features, CLUSTER), samples_per_cluster
     )
     silhouettes = evaluation.silhouette_by_cluster(scored, k, scaled)
     overall = evaluation.silhouette_overall(silhouettes)
@@ -108,7 +109,7 @@ def describe(
         if len(features) > 1
         else None,
         features=tuple(features),
-        scratch=[ranges] if scored_path else [path, ranges],
+        scratch=[] if scored_path else [path],
     )
 
 
@@ -147,6 +148,18 @@ def export_json(report: Report, path: str) -> None:
     matrix.write.mode("overwrite").text(f"{path}/centers")
 
 
+def chosen(products: DataFrame, features, percent: int, limit: int) -> DataFrame:
+    """A hash sample of the products, of it the first ``limit`` in key order; all by default.
+
+    With a limit the features are extracted first, so that choosing does not read and sort
+    nested fields.
+    """
+    sampled = hash_sample(products, percent)
+    if limit <= 0:
+        return sampled
+    return head_by_key(extract_features(sampled, features), limit)
+
+
 def train_report(
     products: DataFrame,
     features=FEATURES,
@@ -159,19 +172,23 @@ def train_report(
     partitions: int | None = None,
     scored_path: str | None = None,
     min_fill: float | None = None,
+    percent: int = 100,
+    limit: int = 0,
 ) -> Report:
     """Prepare raw products, fit, score and summarise.
 
-    With ``min_fill`` the run uses only the features that are filled in that share of the rows.
+    With ``min_fill`` the run uses only the features that are filled in that share of the rows;
+    the model knows which.  ``percent`` and ``limit`` choose products as in ``etl``.
     """
     spark = products.sparkSession
-    rows = prepare_features(products, features, remove_outliers=remove_outliers, min_fill=min_fill)
-    features = tuple(f for f in features if min_fill is None or f in rows.columns)
     path = scratch_path(spark, "prepared")
     try:
+        some = chosen(products, features, percent, limit)
+        rows = prepare_features(some, features, remove_outliers=remove_outliers, min_fill=min_fill)
+        features = tuple(f for f in features if min_fill is None or f in rows.columns)
         prepared = stored(rows, path)
         model = clustering.fit(prepared, features, k, method, max_iter, seed, partitions)
-        return describe(model, prepared, features, samples_per_cluster, scored_path)
+        return describe(model, prepared, samples_per_cluster, scored_path)
     finally:
         remove(spark, path)
 
@@ -183,23 +200,42 @@ def score_batch(
     results_path: str,
     centers_path: str,
     run_id: str,
-    features=FEATURES,
+    features=None,
     id_style: str = "code",
+    method: str | None = None,
+    remove_outliers: bool = False,
+    min_fill: float | None = None,
+    percent: int = 100,
+    limit: int = 0,
     **training,
 ) -> Report:
-    """Score a batch with the saved model (trained on it if there is none) and store the run."""
-    rows, path = prepare_features(products, features), scratch_path(spark, "prepared")
-    prepared = rows
-
-    def train() -> PipelineModel:
-        nonlocal prepared
-        # Training reads the batch several times; scoring alone reads it once.
-        prepared = stored(rows, path)
-        return clustering.fit(prepared, features, **training)
+    """Score a batch with the saved model (trained on it if there is none) and store the run.
 
+    The saved model says which features it reads, in which order, and how it scales.  ``features``
+    (in any order) and ``method`` are only checked against it; a batch that cannot give a
+    feature is an error.  Without a model they are what training uses, as do ``min_fill`` and the
+    other training arguments.  ``percent``, ``limit`` and ``remove_outliers`` choose rows in both.
+    """
+    path = scratch_path(spark, "prepared")
     try:
-        model = clustering.load_or_fit(spark, model_path, train)
-        report = describe(model, prepared, features)
+        model = clustering.load_or_fit(spark, model_path)
+        if model is None:
+            wanted = tuple(features or FEATURES)
+            some = chosen(products, wanted, percent, limit)
+            rows = prepare_features(some, wanted, remove_outliers=remove_outliers, min_fill=min_fill)
+            # Training reads the batch several times; scoring alone reads it once.
+            prepared = stored(rows, path)
+            found = tuple(f for f in wanted if min_fill is None or f in rows.columns)
+            training["method"] = method or DEFAULT_METHOD
+            model = clustering.load_or_fit(
+                spark, model_path, lambda: clustering.fit(prepared, found, **training)
+            )
+        else:
+            signed = clustering.signature(model)
+            signed.accepts(features, method)
+            some = chosen(products, signed.features, percent, limit)
+            prepared = prepare_features(some, signed.features, remove_outliers=remove_outliers)
+        report = describe(model, prepared)
     finally:
         remove(spark, path)
     write_results(report.scored, results_path, run_id, id_style)
@@ -223,15 +259,9 @@ def etl(
     Everything is loaded unless ``percent`` or ``limit`` asks for less.
     """
     products = read_products(spark, source, fmt, features, **reading)
-    # Extracted first, so that choosing the first rows does not read and sort nested fields.
-    flat = extract_features(hash_sample(products, percent), features, "nested")
-    ranges = scratch_path(spark, "ranges")
-    try:
-        chosen = head_by_key(flat, limit, path=ranges)
-        prepared = prepare_features(chosen, features, remove_outliers=remove_outliers)
-        append_products(prepared, target, features=features)
-    finally:
-        remove(spark, ranges)
+    rows = chosen(extract_features(products, features, "nested"), features, percent, limit)
+    prepared = prepare_features(rows, features, remove_outliers=remove_outliers)
+    append_products(prepared, target, features=features)
 
 
 def insert_batch(products: DataFrame, n: int = DEFAULT_BATCH_ROWS, features=FEATURES) -> DataFrame:

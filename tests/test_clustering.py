@@ -43,7 +43,7 @@ def test_size_weighted_centers_average_to_zero(spark, blobs):
     model = clustering.fit(blobs, XY, k=3)
     scored = clustering.score(model, blobs)
     sizes = summaries.cluster_sizes(scored, 3)
-    centers = clustering.model_centers(spark, model, XY)
+    centers = clustering.model_centers(spark, model)
     weighted = centers.join(sizes, "cluster").groupBy("feature").agg(
         (F.sum(F.col("value") * F.col("size")) / F.sum("size")).alias("m")
     )
@@ -53,7 +53,7 @@ def test_size_weighted_centers_average_to_zero(spark, blobs):
 def test_every_row_is_at_its_nearest_center(spark, blobs):
     model = clustering.fit(blobs, XY, k=3)
     scored = vector_columns(clustering.score(model, blobs), XY)
-    centers = clustering.model_centers(spark, model, XY)
+    centers = clustering.model_centers(spark, model)
     renamed = centers.withColumn("feature", F.concat(F.lit("scaled_"), "feature"))
     again = clustering.assign_to_centers(
         scored.withColumn("fitted", F.col("cluster")), renamed, 3, ("scaled_x", "scaled_y")

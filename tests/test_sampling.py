@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from centigram.operators import sampling
+from centigram.operators import sampling, selection
 from centigram.operators.nested import extract_features
+from centigram.operators.selection import Cuts
 from centigram.sources.products import read_products
 
 
@@ -51,14 +52,14 @@ def test_first_per_group_with_a_hot_group(spark):
             assert [c for _, c in got] == codes[:n]
 
 
-def test_ranges_keep_equal_rows_and_missing_groups(spark, tmp_path):
+def test_cuts_keep_equal_rows_and_missing_groups(spark):
     # half of all rows are copies of one row; a third has no group
     df = spark.range(6000).select(
         F.when(F.col("id") % 2 == 0, "same").otherwise(F.format_string("%05d", "id")).alias("code"),
         F.when(F.col("id") % 2 == 0, 1).otherwise(F.nullif(F.col("id") % 3, F.lit(0))).alias("cluster"),
         F.lit(1.0).alias("a`b"),
     ).repartition(5)
-    rows = sampling.first_per_group(df, "cluster", 1800, path=str(tmp_path / "r")).collect()
+    rows = sampling.first_per_group(df, "cluster", 1800).collect()
     expected = {}
     for r in df.orderBy("code").collect():
         expected.setdefault(r["cluster"], []).append(r["code"])
@@ -82,25 +83,63 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_rank_is_pruned_before_the_shuffle(spark):
-    df = spark.range(100).select(
-        F.col("id").cast("string").alias("code"), (F.col("id") % 3).alias("cluster")
+@pytest.mark.parametrize("n", [5, 1500])
+def test_first_rows_copy_nothing_and_sort_only_what_lies_up_to_the_cut(spark, n, monkeypatch):
+    df = spark.range(200_000).select(
+        F.format_string("%07d", 199_999 - F.col("id")).alias("code"), (F.col("id") % 2).alias("cluster")
     )
-    # every task, then every slice of tasks, then the group
-    for rows in (sampling.first_per_group(df, "cluster", 5), sampling.head_by_key(df, 5)):
+    monkeypatch.setattr(type(df.write), "save", None)
+    monkeypatch.setattr(type(df.write), "parquet", None)
+    head, groups = sampling.head_by_key(df, n), sampling.first_per_group(df, "cluster", n)
+    for rows in (head, groups):
         plan = executed(rows)
-        assert "WindowGroupLimit" in plan and "_slice" in plan
+        assert "<=" in plan.split("Filter", 1)[1] and "_slice" not in plan
+    assert [r["code"] for r in head.collect()] == [f"{k:07d}" for k in range(n)]
+    assert groups.count() == 2 * n
+    cuts = Cuts(df, ["cluster"], "code", n)
+    assert all(n <= kept <= 8 * n + 400 for kept in cuts.kept.values()) and len(cuts.kept) == 2
 
 
-def test_large_ranks_never_gather_a_group(spark):
-    df = spark.range(5000).select(
-        F.format_string("%05d", "id").alias("code"), (F.col("id") % 2).alias("cluster")
+def test_a_key_that_many_rows_share_is_merged_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "GATHERED", 1000)
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 < 2, "b").otherwise(F.format_string("c%05d", "id")).alias("code"),
+        F.format_string("%05d", "id").alias("tie"),
     )
-    for rows in (sampling.first_per_group(df, "cluster", 1500), sampling.head_by_key(df, 1500)):
-        plan = executed(rows)
-        # only counts per range are cumulated over a group
-        ranked = [x for x in plan.splitlines() if "row_number()" in x and "Window" in x]
-        assert ranked and all("_range" in x for x in ranked)
+    df = df.union(spark.createDataFrame([("a", "x"), (None, "y")], "code string, tie string"))
+    head = sampling.head_by_key(df, 7)
+    assert "_slice" in executed(head)
+    assert [tuple(r) for r in head.collect()] == [
+        (None, "y"), ("a", "x"), *(("b", f"{k:05d}") for k in (0, 1, 3, 4, 6)),
+    ]
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 3])
+def test_cuts_of_any_key_type_lose_no_row(spark, monkeypatch, accuracy):
+    # a coarse sketch proposes poor cuts, which the counts mend
+    monkeypatch.setattr(selection, "ACCURACY", accuracy)
+    monkeypatch.setattr(selection, "ROOMY", 10)
+    base = spark.range(3000).withColumn("x", F.pmod(F.xxhash64("id"), F.lit(1000)))
+    keys = {
+        "text": F.concat(F.lit("same beginning "), F.format_string("%04d", "x")),
+        "short": F.when(F.col("x") > 20, F.col("x").cast("string")),
+        "number": F.when(F.col("x") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("x") - 500.5),
+        "whole": F.col("x") - 500,
+        "day": F.date_add(F.lit("1969-12-01").cast("date"), F.col("x").cast("int")),
+        "time": F.timestamp_micros(F.col("x") * 77 - 10_000),
+        "exact": F.col("x").cast("decimal(20,3)") / 7,
+        "list": F.array("x"),
+    }
+    df = base.select("id", (F.col("id") % 2 == 0).alias("g"), *[c.alias(n) for n, c in keys.items()])
+    for key in keys:
+        some = df.select(key, "id", "g")
+        for n in (1, 40, 2999):
+            want = [r["id"] for r in some.orderBy(key, "id").limit(n).collect()]
+            assert [r["id"] for r in sampling.head_by_key(some, n, key).collect()] == want
+        ranked = sampling.first_per_group(some, "g", 40, key).collect()
+        for g in (True, False):
+            want = [r["id"] for r in some.filter(F.col("g") == g).orderBy(key, "id").limit(40).collect()]
+            assert [r["id"] for r in sorted(ranked, key=lambda r: r["rank"]) if r["g"] == g] == want
 
 
 def test_head_reads_only_extracted_fields(spark, raw, tmp_path):

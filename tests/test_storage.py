@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,7 @@ from centigram.functions.json_rows import (
     rows_to_json,
 )
 from centigram.functions.keys import product_id
+from centigram.operators import clustering
 from centigram.operators.nested import prepare_features
 from centigram.operators.text import text_lines, word_count
 from centigram.plans import jobs
@@ -342,6 +344,50 @@ def test_score_batch_reuses_the_model(spark, products, tmp_path):
     assert read_table(spark, centers).count() == 30
 
 
+def test_a_saved_model_scores_by_its_own_features(spark, products, tmp_path):
+    report = jobs.train_report(products, ("sugars", "fat"), k=3, method="minmax")
+    model = str(tmp_path / "m")
+    clustering.save_model(report.model, model)
+    signed = clustering.signature(PipelineModel.load(model))
+    assert signed == clustering.Signature(("sugars", "fat"), "minmax", 3)
+    places = [str(tmp_path / n) for n in "rc"]
+    want = sorted(map(tuple, report.centers.collect()))
+    for run, features in (("default", None), ("permuted", ("fat", "sugars"))):
+        scored = jobs.score_batch(spark, products, model, *places, run, features=features)
+        assert sorted(map(tuple, scored.centers.collect())) == want
+        assert scored.features == ("sugars", "fat")
+    runs = read_table(spark, places[0]).groupBy("product_id").agg(F.count_distinct("cluster_id").alias("n"))
+    assert runs.filter("n > 1").isEmpty()
+    for wrong in ({"features": ("fat",)}, {"features": ("fat", "salt")}, {"method": "standard"}):
+        with pytest.raises(ValueError, match="the model"):
+            jobs.score_batch(spark, products, model, *places, "wrong", **wrong)
+    with pytest.raises(ValueError, match="sugars"):
+        clustering.score(report.model, report.scored.select("code", "fat"))
+
+
+def test_a_model_of_other_stages_has_no_signature(spark, products):
+    report = jobs.train_report(products, k=2)
+    with pytest.raises(ValueError, match="not a model"):
+        clustering.signature(PipelineModel(stages=report.model.stages[:2]))
+
+
+def test_score_batch_trains_on_well_filled_features(spark, products, tmp_path):
+    places = [str(tmp_path / n) for n in "mrc"]
+    first = jobs.score_batch(spark, products, *places, "a", min_fill=0.5, k=3)
+    again = jobs.score_batch(spark, products, *places, "b")
+    assert first.features == again.features and len(first.features) < len(FEATURES)
+
+
+def test_training_and_scoring_choose_rows(spark, products, tmp_path):
+    places = [str(tmp_path / n) for n in "mrc"]
+    report = jobs.train_report(products, k=2, percent=50, limit=30)
+    assert report.scored.count() == 30
+    assert jobs.score_batch(spark, products, *places, "a", limit=40, k=2).scored.count() == 40
+    assert jobs.score_batch(spark, products, *places, "a", percent=50).scored.count() < 150
+    stored = read_table(spark, places[1])
+    assert stored.count() < 150
+
+
 def test_etl_and_validated_read(spark, products, tmp_path):
     source, target = str(tmp_path / "s"), str(tmp_path / "t")
     products.write.parquet(source)
