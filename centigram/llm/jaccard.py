@@ -6,8 +6,12 @@ common shingles come last.  Two sets with Jaccard similarity at least s share a
 their first n - ceil(s n) + 1 in any common order.  Those prefixes, few of which hold common
 shingles, are the candidate index: every class that shares a prefix shingle meets there.
 
-Candidates are settled exactly: the order is cut into fragments, every class has one sorted
-array of hashes per fragment, overlaps are counted fragment by fragment and summed per pair.
+Candidates are settled by vertical partitioning.  The order is cut into fragments of about
+equal weight, rarest shingles first, and every class has a row for each fragment.  Fragment by
+fragment, the two rows of every open pair meet and their partial overlap is added to the pair's sum.
+A pair leaves as soon as what is left of the smaller set cannot make the sum large enough; most
+unlike pairs go after the first fragment, so the later ones are joined for few.  Pairs whose
+sum over all fragments passes are links.
 
 Members of one prefix list do not all pair off.  First each is compared with a few leaders of
 the list and its neighbours by size, and the links found are joined to components.  Then only
@@ -18,6 +22,7 @@ and no link between components is lost.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -27,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from centigram.llm.common import components, cut, mix64, prepare, raw, texts
+from centigram.llm.common import components, cut, discard, mix64, prepare, raw, shared_folder, texts
 
 WORDS = 5
 PERCENT = 80
@@ -155,7 +160,7 @@ def salts(sketch: np.ndarray, hot: int = HOT_ROWS) -> np.ndarray:
     return np.clip(-(-over // hot), 1, 30_000).astype(np.uint16)
 
 
-def prefixes(docs: DataFrame, order: Callable[[], tuple[np.ndarray, np.ndarray]], percent: int = PERCENT) -> DataFrame:
+def prefixes(docs: DataFrame, order: Callable[[], tuple], percent: int = PERCENT) -> DataFrame:
     """(h, salt, sig, n, pos) for the prefix shingles of every class with words; a task tells a class once.
 
     The salt is 0 for a whole list, else the list's part from 1.
@@ -163,7 +168,7 @@ def prefixes(docs: DataFrame, order: Callable[[], tuple[np.ndarray, np.ndarray]]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = Shingler(), set()
-        full, parts = order()
+        full, parts, _ = order()
         for batch in batches:
             hs, sigs, ns, times, deals = [], [], [], [], []
             for text in raw(batch.column("text")):
@@ -319,20 +324,45 @@ def key_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return np.unpackbits(np.frombuffer(b"".join(rows[k] for k in range(SLICES)), np.uint8))[:bits].astype(bool)
 
 
-def fragments(docs: DataFrame, wanted: Callable[[], np.ndarray], count: int = FRAGMENTS) -> DataFrame:
-    """(sig, parts): the sorted hashes of each fragment of the classes of wanted documents.
+def boundaries(sketch: np.ndarray, count: int = FRAGMENTS) -> tuple[np.ndarray, np.ndarray]:
+    """Where the order is cut: the rank of fullness and, within it, the hash at which each next fragment begins.
 
-    Fragments are equal ranges of the hash, the order's last key, so both members of a pair
-    cut alike.  A class may come more than once, each time alike.
+    Shingles of one rank spread evenly over their hashes, so fragments weigh alike even if
+    all cells are equally full.
+    """
+    weight = np.bincount(ranks(sketch), weights=sketch, minlength=1)
+    ends = np.cumsum(weight)
+    at = ends[-1] * np.arange(1, count) / count
+    rank = np.searchsorted(ends, at, side="right").clip(max=len(ends) - 1)
+    share = np.clip((at - ends[rank] + weight[rank]) / np.maximum(weight[rank], 1e-9), 0, 1 - 2**-53)
+    return rank.astype(np.int64), (share * 2.0**64).astype(np.uint64)
+
+
+def fragment_of(hashes: np.ndarray, full: np.ndarray, begins: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The fragment of each shingle, from 0 for the rarest."""
+    rank = full[(hashes % np.uint64(len(full))).astype(np.int64)].astype(np.int64)
+    out = np.zeros(len(hashes), np.int64)
+    for r, h in zip(*begins, strict=True):
+        out += (rank > r) | ((rank == r) & (hashes >= h))
+    return out
+
+
+def fragments(docs: DataFrame, wanted: Callable[[], np.ndarray], order: Callable[[], tuple]) -> DataFrame:
+    """(sig, fragment, hashes, later) of the classes of wanted documents: a row per fragment, also for an empty one.
+
+    later is how many of the class's shingles lie in the fragments to come.  A class may come
+    more than once, each time alike.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen, bits = Shingler(), set(), wanted()
+        full, _, begins = order()
+        count = len(begins[0]) + 1
         for batch in batches:
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             hit = bits[bits_of(keys, len(bits))].reshape(2, len(keys)).all(axis=0)
             picked = batch.column("text").take(pa.array(np.flatnonzero(hit)))
-            sigs, hashes = [], []
+            sigs, hashes, sizes = [], [], []
             for text in raw(picked):
                 h = shingles(text)
                 s = signature(h)
@@ -340,46 +370,58 @@ def fragments(docs: DataFrame, wanted: Callable[[], np.ndarray], count: int = FR
                     continue
                 seen.add(s)
                 sigs.append(s)
-                ends = np.searchsorted(h, (np.arange(1, count, dtype=np.uint64)) * np.uint64((1 << 64) // count))
-                hashes += (part.view(np.int64) for part in np.split(h, ends))
+                of = fragment_of(h, full, begins)
+                hashes.append(h[np.argsort(of, kind="stable")])
+                sizes.append(np.bincount(of, minlength=count))
             if sigs:
-                ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in hashes])]), pa.int32())
-                cut_up = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(hashes)))
-                parts = pa.ListArray.from_arrays(pa.array(np.arange(len(sigs) + 1) * count, pa.int32()), cut_up)
-                yield pa.record_batch([pa.array(sigs, pa.int64()), parts], ["sig", "parts"])
+                size = np.stack(sizes)
+                ends = pa.array(np.concatenate([[0], np.cumsum(size.ravel())]), pa.int32())
+                yield pa.record_batch(
+                    [
+                        pa.array(np.repeat(np.array(sigs, np.int64), count)),
+                        pa.array(np.tile(np.arange(count, dtype=np.int32), len(sigs))),
+                        pa.ListArray.from_arrays(ends, pa.array(np.concatenate(hashes).view(np.int64))),
+                        pa.array((size.sum(axis=1, keepdims=True) - np.cumsum(size, axis=1)).ravel().astype(np.int32)),
+                    ],
+                    ["sig", "fragment", "hashes", "later"],
+                )
 
     keyed = texts(docs).select(F.xxhash64("doc_id").alias("key"), "text")
-    return keyed.mapInArrow(read, "sig long, parts array<array<long>>")
+    return keyed.mapInArrow(read, "sig long, fragment int, hashes array<long>, later int")
+
+
+def partial_overlaps(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """pairs with `here`, the overlap in one fragment, and `later_a` and `later_b`."""
+    a = rows.select(F.col("sig").alias("a"), F.col("hashes").alias("x"), F.col("later").alias("later_a"))
+    b = rows.select(F.col("sig").alias("b"), F.col("hashes").alias("y"), F.col("later").alias("later_b"))
+    here = F.size(F.array_intersect("x", "y")).alias("here")
+    met = pairs.join(a, "a").join(b, "b").select(*pairs.columns, here, "later_a", "later_b")
+    # A class that came more than once came alike each time.
+    return met.groupBy(*pairs.columns).agg(*(F.max(c).alias(c) for c in ("here", "later_a", "later_b")))
 
 
-def linked(docs: DataFrame, pairs: DataFrame, heads: DataFrame, percent: int = PERCENT) -> DataFrame:
+def linked(docs: DataFrame, pairs: DataFrame, heads: DataFrame, order: Callable[[], tuple], count: int = FRAGMENTS, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union, by sums over fragments.
 
-    Texts are read once more, but only those of classes in these pairs are cut into fragments.
-    Both joins deal fragments alike, so Spark shuffles them once.
+    Texts are read once more, but only those of classes in these pairs are cut into fragments,
+    which are stored by fragment and deleted at the end.
     """
     spark = docs.sparkSession
     concerned = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     wanted = spark.sparkContext.broadcast(key_filter(heads.join(concerned, "sig").select(F.xxhash64("head").alias("key"))))
-    parts = fragments(docs, lambda: wanted.value)
-    left = parts.select(F.col("sig").alias("a"), F.col("parts").alias("x"))
-    right = parts.select(F.col("sig").alias("b"), F.col("parts").alias("y"))
-    partial = F.zip_with("x", "y", lambda p, q: F.size(F.array_intersect(p, q)))
-    overlaps = (
-        pairs.select("a", "b")
-        .join(left, "a")
-        .join(right, "b")
-        .select("a", "b", F.aggregate(partial, F.lit(0), lambda total, one: total + one).alias("both"))
-        .groupBy("a", "b")
-        .agg(F.max("both").alias("both"))
-    )
+    path = f"{shared_folder(spark)}/fragments-{uuid.uuid4().hex}"
+    fragments(docs, lambda: wanted.value, order).write.option("compression", "none").partitionBy("fragment").parquet(path)
+    stored = spark.read.schema("sig long, hashes array<long>, later int, fragment int").parquet(path)
     n = heads.select("sig", "n")
-    return (
-        overlaps.join(n.select(F.col("sig").alias("a"), F.col("n").alias("na")), "a")
-        .join(n.select(F.col("sig").alias("b"), F.col("n").alias("nb")), "b")
-        .where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both")))
-        .select("a", "b")
-    )
+    total = pairs.select("a", "b").withColumn("both", F.lit(0).cast("long"))
+    total = total.join(n.select(F.col("sig").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("sig").alias("b"), F.col("n").alias("nb")), "b")
+    for k in range(count):
+        partial = partial_overlaps(total, stored.where(F.col("fragment") == k))
+        most = F.col("both") + F.least("later_a", "later_b")
+        summed_up = partial.withColumn("both", F.col("both") + F.col("here"))
+        total = cut(summed_up.where(most * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb", "both"))
+    discard(spark, path)
+    return total.select("a", "b")
 
 
 def crossing(members: DataFrame, labels: DataFrame, part: int = 1, percent: int = PERCENT) -> DataFrame:
@@ -392,7 +434,8 @@ def crossing(members: DataFrame, labels: DataFrame, part: int = 1, percent: int
         "component", F.coalesce("component", "sig")
     )
     per = member.groupBy("h", "component").agg(F.count(F.lit(1)).alias("m"))
-    split = per.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.max_by("component", F.struct("m", "component")).alias("main")).where("kinds > 1")
+    # Stored, so that the join below is between plain tables and Spark can split a long list's partition.
+    split = cut(per.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.max_by("component", F.struct("m", "component")).alias("main")).where("kinds > 1"))
     open_lists = cut(member.join(split.select("h", "main"), "h"))
     few = open_lists.where("component <> main").select("h", F.col("sig").alias("s1"), F.col("n").alias("n1"), F.col("rest").alias("r1"), F.col("component").alias("c1"))
     every = open_lists.select("h", F.col("sig").alias("s2"), F.col("n").alias("n2"), F.col("rest").alias("r2"), F.col("component").alias("c2"))
@@ -419,20 +462,20 @@ def groups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL, cells: i
     found = cut(scan(docs, cells))
     classes = found.where("sig IS NOT NULL").select("doc_id", "n", "sig")
     sketch = summed(found.where("slice IS NOT NULL"), cells)
-    order = spark.sparkContext.broadcast((ranks(sketch), salts(sketch, hot)))  # fixed size
+    order = spark.sparkContext.broadcast((ranks(sketch), salts(sketch, hot), boundaries(sketch)))  # fixed size
     heads = cut(classes.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("head"), F.max("n").alias("n")))
 
     met = cut(lists(prefixes(docs, lambda: order.value, percent), percent, small, hot))
     pairs = cut(met.where("b IS NOT NULL").select("a", "b").distinct())
     members = cut(met.where("b IS NULL").select(F.col("a").alias("sig"), "h", "n", "rest").distinct())
 
-    links = cut(linked(docs, pairs, heads, percent))
+    links = linked(docs, pairs, heads, lambda: order.value, percent=percent)
     labels = components(links)
     for part in ROUNDS:
         more = cut(crossing(members, labels, part, percent).join(pairs, ["a", "b"], "left_anti"))
         if more.isEmpty():
             continue
-        links = cut(links.union(linked(docs, more, heads, percent)))
+        links = cut(links.union(linked(docs, more, heads, lambda: order.value, percent=percent)))
         labels = components(links)
         pairs = pairs.union(more)
     named = heads.join(labels.select(F.col("node").alias("sig"), F.col("component").alias("class")), "sig", "left")

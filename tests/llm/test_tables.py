@@ -4,6 +4,7 @@ import json
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -77,6 +78,39 @@ def test_jaccard_with_long_and_salted_lists(spark):
         assert got == want
 
 
+def test_overlaps_are_sums_over_fragments(spark):
+    docs = table(spark, SMALL, "documents")
+    found = jaccard.scan(docs).cache()
+    sketch = jaccard.summed(found.where("slice IS NOT NULL"))
+    order = (jaccard.ranks(sketch), jaccard.salts(sketch), jaccard.boundaries(sketch))
+    everything = np.ones(jaccard.FILTER_BITS, bool)
+    rows = jaccard.fragments(docs, lambda: everything, lambda: order).collect()
+    sets, weight = {}, Counter()
+    for r in rows:
+        sets.setdefault(r.sig, {})[r.fragment] = (set(r.hashes), r.later)
+        weight[r.fragment] += len(r.hashes)
+    assert set(weight) == set(range(jaccard.FRAGMENTS))
+    assert max(weight.values()) < 2 * min(weight.values())
+    place = {}
+    for fragments in sets.values():
+        assert set(fragments) == set(range(jaccard.FRAGMENTS))
+        for k, (hashes, later) in fragments.items():
+            assert later == sum(len(fragments[j][0]) for j in range(k + 1, jaccard.FRAGMENTS))
+            assert all(place.setdefault(h, k) == k for h in hashes)  # a shingle has one fragment in all sets
+    texts = {jaccard.signature(h): set(h.view(np.int64).tolist()) for h in (jaccard.Shingler()((r.text or "").encode()) for r in docs.collect()) if len(h)}
+    sigs = sorted(texts)
+    pairs = [(a, b) for a, b in zip(sigs, sigs[1:], strict=False)] + [(a, b) for a in sigs[:20] for b in sigs[20:120]]
+    near = [(a, b) for a in sigs for b in sigs if a < b and len(texts[a] & texts[b]) * 180 >= 80 * (len(texts[a]) + len(texts[b]))]
+    asked = spark.createDataFrame(sorted({*pairs, *near}), "a long, b long")
+    for k in range(jaccard.FRAGMENTS):
+        part = spark.createDataFrame([(r.sig, r.hashes, r.later) for r in rows if r.fragment == k], "sig long, hashes array<long>, later int")
+        for r in jaccard.partial_overlaps(asked, part).collect():
+            assert r.here == len(sets[r.a][k][0] & sets[r.b][k][0])
+    heads = found.where("n > 0").groupBy("sig").agg(jaccard.F.min("doc_id").alias("head"), jaccard.F.max("n").alias("n"))
+    links = {(r.a, r.b) for r in jaccard.linked(docs, asked, heads, lambda: order).collect()}
+    assert near and links == set(near)
+
+
 def test_mixing(spark, odd):
     rows = mixing.mix(odd).collect()
     assert len(rows) == odd.count()
