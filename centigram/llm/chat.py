@@ -5,7 +5,13 @@ an assistant's may hold `tool_calls`, a list of {id, name, arguments}; a tool's
 `tool_call_id` that it answers; a system's may hold `tools`, a list of {name, parameters} whose
 parameters are a JSON schema.  An argument {"$result": id} uses the result of another call.
 Name, arguments and parameters may also lie in an entry's `function`.  All other keys, and
-entries that are no objects, pass through to the canonical JSON.
+entries that are no objects, pass through to the canonical JSON.  Text that is no strict JSON,
+or that UTF-8 or JSON cannot hold again (a lone half of a surrogate pair, a number out of
+range, nesting deeper than the parser goes), is plain.
+
+Of a schema these keywords count: type, enum, required, properties, additionalProperties (if
+false) and items; all others are ignored.  true and false are schemas.  A schema in which one of
+these has a value of the wrong kind is malformed and decides nothing.
 
 Calls and results meet by a hash join on conversation and identifier.  A result comes after
 its call and a call after the results that it uses: a message's place is the latest turn among
@@ -17,6 +23,7 @@ long it is.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 from typing import Any
 
@@ -45,12 +52,25 @@ def canonical(value: Any) -> str:
     return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
 
+def strict_number(text: str) -> float:
+    value = float(text)
+    if not math.isfinite(value):
+        raise ValueError("a number out of range")
+    return value
+
+
+def refuse(name: str) -> None:
+    raise ValueError(f"{name} is no JSON")
+
+
 def loaded(text: str | None) -> dict | None:
+    """The object that a text writes, if it can be written again; else None."""
     if not text or not text.lstrip().startswith("{"):
         return None
     try:
-        value = json.loads(text, parse_constant=lambda name: name)
-    except (ValueError, RecursionError):
+        value = json.loads(text, parse_constant=refuse, parse_float=strict_number)
+        canonical(value).encode()
+    except (ValueError, RecursionError):  # also what UTF-8 cannot hold
         return None
     return value if isinstance(value, dict) else None
 
@@ -129,25 +149,71 @@ def parsed(role: str | None, text: str | None) -> tuple:
     return canonical(body), calls, tools, answers, sorted(set(uses))
 
 
-def conforms(value: Any, schema: Any) -> bool:
-    """Whether a value keeps to a schema's type, enum, required, properties and items."""
-    if not isinstance(schema, dict):
-        return True
-    kind = schema.get("type")
-    kinds = [kind] if isinstance(kind, str) else kind or []
-    if kinds and not any(isinstance(value, TYPES.get(k, (object,))) and (k == "boolean" or k not in TYPES or not isinstance(value, bool)) for k in kinds):
-        return False
-    if "enum" in schema and value not in schema["enum"]:
-        return False
-    if isinstance(value, dict):
-        known = schema.get("properties") or {}
-        if any(k not in value for k in schema.get("required") or ()):
+def malformed(schema: Any) -> bool:
+    """Whether a keyword that counts has a value of the wrong kind, at any depth."""
+    todo = [schema]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, bool):
+            continue
+        if not isinstance(x, dict):
+            return True
+        kind = x.get("type", [])
+        kinds = [kind] if isinstance(kind, str) else kind
+        if not isinstance(kinds, list) or any(not isinstance(k, str) or k not in TYPES for k in kinds):
+            return True
+        required = x.get("required", [])
+        if not isinstance(required, list) or any(not isinstance(k, str) for k in required):
+            return True
+        if not isinstance(x.get("enum", []), list) or not isinstance(x.get("properties", {}), dict):
+            return True
+        todo += x.get("properties", {}).values()
+        if "items" in x:
+            todo.append(x["items"])
+    return False
+
+
+def is_kind(value: Any, kind: str) -> bool:
+    """A truth value is no number; a number without a fraction is an integer."""
+    if isinstance(value, bool):
+        return kind == "boolean"
+    return isinstance(value, TYPES[kind]) or (kind == "integer" and isinstance(value, float) and value.is_integer())
+
+
+def same(a: Any, b: Any) -> bool:
+    """Equality as JSON has it: 1 is 1.0 and not true."""
+    numbers = [isinstance(x, (int, float)) and not isinstance(x, bool) for x in (a, b)]
+    return a == b if all(numbers) else canonical(a) == canonical(b)
+
+
+def conforms(value: Any, schema: Any) -> bool | None:
+    """Whether a value keeps to a schema; None if the schema is malformed.
+
+    A property whose value is a reference to another call's result keeps to any schema.
+    """
+    if malformed(schema):
+        return None
+    todo = [(value, schema)]
+    while todo:
+        x, rule = todo.pop()
+        if isinstance(rule, bool):
+            if not rule:
+                return False
+            continue
+        kinds = [rule["type"]] if isinstance(rule.get("type"), str) else rule.get("type", [])
+        if kinds and not any(is_kind(x, k) for k in kinds):
             return False
-        if schema.get("additionalProperties") is False and any(k not in known for k in value):
+        if "enum" in rule and not any(same(x, y) for y in rule["enum"]):
             return False
-        return all(conforms(v, known.get(k)) or (isinstance(v, dict) and set(v) == {"$result"}) for k, v in value.items())
-    if isinstance(value, list):
-        return all(conforms(v, schema.get("items")) for v in value)
+        if isinstance(x, dict):
+            known = rule.get("properties", {})
+            if any(k not in x for k in rule.get("required", [])):
+                return False
+            if rule.get("additionalProperties") is False and any(k not in known for k in x):
+                return False
+            todo += ((v, known[k]) for k, v in x.items() if k in known and not (isinstance(v, dict) and set(v) == {"$result"}))
+        elif isinstance(x, list) and "items" in rule:
+            todo += ((v, rule["items"]) for v in x)
     return True
 
 
@@ -173,14 +239,14 @@ def read(messages: DataFrame) -> DataFrame:
 
 
 def checked(calls: DataFrame) -> DataFrame:
-    """Adds valid: null without a schema, else whether the arguments keep to it."""
+    """Adds valid: null without a schema or with a malformed one, else whether the arguments keep to it."""
     schema = calls.schema
     out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             valid = [
-                None if p is None else conforms(json.loads(a), json.loads(p))
+                None if p in (None, "null") else conforms(json.loads(a), json.loads(p))
                 for a, p in zip(batch.column("arguments").to_pylist(), batch.column("parameters").to_pylist(), strict=True)
             ]
             yield pa.record_batch([*batch.columns, pa.array(valid, pa.bool_())], [*batch.schema.names, "valid"])

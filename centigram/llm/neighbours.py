@@ -276,23 +276,26 @@ def near_duplicates(
 
     Null, zero and not finite vectors, vectors with null components and vectors without a
     label link with nothing, nor do vectors of different lengths.  Equal vectors always link.
-    Rows with a repeated vec_id are vectors of their own and share their component.  An empty
-    table gives an empty result.
+    Rows with a repeated vec_id are vectors of their own, each with the links and the component
+    of its own vector.  A row without a vec_id links with nothing.  An empty table gives an
+    empty result.
     """
     prepare(embeddings.sparkSession)
-    units = cut(usable(embeddings))
+    units = cut(usable(embeddings).withColumn("unit", F.when(F.col("vec_id").isNotNull(), F.col("unit"))))
     classes = cut(
-        units.where("unit IS NOT NULL AND vec_id IS NOT NULL")
+        units.where("unit IS NOT NULL")
         .groupBy("label", "width", "unit")
-        .agg(F.min("vec_id").cast("long").alias("node"), F.count(F.lit(1)).alias("many"))
+        .agg(F.min("vec_id").cast("long").alias("least"), F.count(F.lit(1)).alias("many"))
+        # Named by what it is: a repeated vec_id may stand for several classes.
+        .withColumn("node", F.xxhash64("label", "width", "unit"))
     )
     found = cut(linked(classes, threshold, shard_rows, block_rows))
     counts = found.where("other IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
     labels = components(found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
-    named = (
-        classes.join(counts, "node", "left")
-        .join(labels, "node", "left")
-        .select("label", "width", "unit", (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("links"), F.coalesce("component", "node").alias("head"))
+    members = classes.join(counts, "node", "left").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    heads = members.groupBy("component").agg(F.min("least").alias("head"))
+    named = members.join(heads, "component").select(
+        "label", "width", "unit", (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("links"), "head"
     )
     return (
         units.join(named, ["label", "width", "unit"], "left")

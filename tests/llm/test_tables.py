@@ -170,6 +170,63 @@ def test_pages(spark):
     assert sorted(map(tuple, html.extract(pages).select("page_id", "text", "n_chars").collect())) == [(1, "", 0), (2, "a", 1), (2, "a", 1)]
 
 
+def test_chat_survives_malformed_values(spark):
+    calls = lambda *a: json.dumps({"content": None, "tool_calls": [{"id": f"c{k}", "name": "f", "arguments": x} for k, x in enumerate(a)]})
+    deep = '{"tool_calls":[{"id":"d","name":"f","arguments":' + '{"a":' * 100_000 + "1" + "}" * 100_000 + "}]}"
+    nested = {"x": 1}
+    for _ in range(400):
+        nested = {"a": [nested]}
+    schemas = {
+        1: {"type": "object", "properties": {"n": {"type": "integer"}}, "required": ["n"]},
+        2: {"enum": 5}, 3: {"required": 5}, 4: {"type": 7}, 5: {"type": [["string"]]}, 6: {"properties": []}, 7: False, 8: {"enum": [{"n": 1}]},
+        9: {"properties": {"n": {"type": "integer", "enum": [1]}}}, 10: "text", 11: {"items": 3},
+    }
+    rows = [(c, 0, "system", json.dumps({"tools": [{"name": "f", "parameters": s}]})) for c, s in schemas.items()]
+    rows += [(c, 1, "assistant", calls({"n": 1}, {"n": 1.0}, {"n": True}, {"n": "1"}, nested)) for c in schemas]
+    plain = ['{"tool_calls":[{"id":"\\ud800","name":"f","arguments":{}}]}', '{"tool_calls":[{"id":"a","arguments":{"n":1e999}}]}', '{"tool_calls":[{"id":"a","arguments":NaN}]}', deep, "{", ""]
+    rows += [(99, k, "assistant", t) for k, t in enumerate(plain)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r for r in chat.link(df).collect()}
+    invalid = {c: got[c, 1].n_invalid for c in schemas}
+    # all but two numbers fail 1; malformed schemas decide nothing; false refuses all
+    assert invalid == {1: 3, 2: 0, 3: 0, 4: 0, 5: 0, 6: 0, 7: 5, 8: 4, 9: 2, 10: 0, 11: 0}
+    for k, text in enumerate(plain):
+        assert got[99, k].n_calls == 0 and got[99, k].json == chat.canonical({"content": text, "role": "assistant"})
+    assert chat.conforms(1, {"enum": [True]}) is False and chat.conforms(1.0, {"enum": [1]}) is True and chat.conforms(1.0, {"type": "integer"}) is True
+    assert chat.conforms(1.5, {"type": "integer"}) is False and chat.conforms(True, {"type": "number"}) is False and chat.conforms(1, True) is True
+
+
+def test_vectors_with_repeated_ids(spark):
+    rows = [(1, [0.0, 1.0], 2), (7, [0.0, 1.0], 2), (1, [1.0, 0.0], 3), (8, [1.0, 0.02], 3), (1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (5, [0.1, 1.0], 1), (None, [1.0, 0.0], 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in neighbours.near_duplicates(df).collect())
+    assert got == sorted([("1", 1, "1"), ("7", 1, "1"), ("1", 1, "1"), ("8", 1, "1"), ("1", 0, "1"), ("1", 1, "1"), ("5", 1, "1"), ("None", 0, "None")])
+
+
+def test_vectors_against_all_pairs(spark):
+    """A whole table with planted groups and repeated ids."""
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(6, 16))
+    vectors = np.concatenate([rng.normal(size=(300, 16)), *(b + rng.normal(size=(60, 16)) * s for b, s in zip(base, (0, 0.05, 0.1, 0.2, 0.3, 0.4), strict=True))])
+    rows = [(int(rng.integers(0, 500)), [float(x) for x in v], int(k % 3)) for k, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    near = (unit @ unit.T >= neighbours.THRESHOLD) & (label[:, None] == label[None])
+    np.fill_diagonal(near, False)
+    top = np.arange(len(rows))
+    for _ in rows:
+        lower = np.minimum(top, np.where(near, top[None], len(rows)).min(axis=1))
+        if (lower == top).all():
+            break
+        top = lower
+    ids = np.array([r[0] for r in rows])
+    least = {t: min(ids[top == t]) for t in set(top.tolist())}
+    want = Counter((int(ids[k]), int(near[k].sum()), int(least[int(top[k])])) for k in range(len(rows)))
+    got = Counter((r.vec_id, r.n_links, r.component_id) for r in neighbours.near_duplicates(df, shard_rows=100, block_rows=50).collect())
+    assert near.sum() > 3000 and got == want
+
+
 def test_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
