@@ -195,19 +195,24 @@ class Shard:
         self.rules = unpacked(view[at : at + rule_bytes], 0, 2 * rules, self.bits).astype(np.int64).reshape(rules, 2)
         self.body = view[at + rule_bytes :]
 
-    def ids(self, first: int = 0, stop: int | None = None) -> np.ndarray:
-        """Ids first to stop of the shard; of the documents that they lie in, only symbols that cover them are expanded."""
-        total = int(self.doc_start[-1])
-        stop = total if stop is None else min(stop, total)
-        if first >= stop:
-            return np.zeros(0, "<u4")
-        a = int(np.searchsorted(self.doc_start, first, "right")) - 1
-        b = int(np.searchsorted(self.doc_start, stop, "left"))
-        symbol = unpacked(self.body, int(self.doc_symbol[a]), int(self.doc_symbol[b] - self.doc_symbol[a]), self.bits).astype(np.int64)
+    def whole(self) -> np.ndarray:
+        """All ids.  Where the rules' own expansions are short together, symbols are looked up in them."""
+        total, terminals = int(self.doc_start[-1]), len(self.terminals)
+        if int(self.length[terminals:].sum()) > total:
+            return self.ids()
+        flat = np.concatenate([self.terminals.astype("<u4"), self.expand(np.arange(terminals, len(self.length)))])
+        begins = np.cumsum(self.length) - self.length
+        symbol = unpacked(self.body, 0, self.symbols, self.bits)
         size = self.length[symbol]
-        place = int(self.doc_start[a]) + np.cumsum(size) - size
-        out, terminals = np.zeros(stop - first, "<u4"), len(self.terminals)
-        partly = first > self.doc_start[a] or stop < self.doc_start[b]
+        shift = begins[symbol] - (np.cumsum(size) - size)
+        return flat[np.arange(total) + np.repeat(shift, size)]
+
+    def expand(self, symbol: np.ndarray, place: np.ndarray | None = None, first: int = 0, stop: int | None = None) -> np.ndarray:
+        """Ids first to stop of what symbols at ascending places stand for."""
+        size, terminals = self.length[symbol], len(self.terminals)
+        place = np.cumsum(size) - size if place is None else place
+        partly = stop is not None
+        out = np.zeros((stop if partly else int(size.sum())) - first, "<u4")
         while len(symbol):
             if partly:
                 wanted = (place < stop) & (place + self.length[symbol] > first)
@@ -220,6 +225,18 @@ class Shard:
             symbol, place = np.concatenate([left, right]), np.concatenate([place, place + self.length[left]])
         return out
 
+    def ids(self, first: int = 0, stop: int | None = None) -> np.ndarray:
+        """Ids first to stop of the shard; of the documents that they lie in, only symbols that cover them are expanded."""
+        total = int(self.doc_start[-1])
+        stop = total if stop is None else min(stop, total)
+        if first >= stop:
+            return np.zeros(0, "<u4")
+        a = int(np.searchsorted(self.doc_start, first, "right")) - 1
+        b = int(np.searchsorted(self.doc_start, stop, "left"))
+        symbol = unpacked(self.body, int(self.doc_symbol[a]), int(self.doc_symbol[b] - self.doc_symbol[a]), self.bits).astype(np.int64)
+        size = self.length[symbol]
+        return self.expand(symbol, int(self.doc_start[a]) + np.cumsum(size) - size, first, stop)
+
     def document(self, k: int) -> np.ndarray:
         return self.ids(int(self.doc_start[k]), int(self.doc_start[k + 1]))
 
@@ -235,13 +252,20 @@ def tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, _ = get()
         for batch in batches:
-            rows = [np.append(np.frombuffer(encoder.span(t), "<u4").astype(kind), end) for t in batch.column("text").to_pylist()]
+            rows = [np.append(plain(encoder, t, kind), end) for t in batch.column("text").to_pylist()]
             schema = pa.schema([pa.field("doc_id", batch.column("doc_id").type), pa.field("n", pa.int64()), pa.field("ids", pa.binary())])
             yield batch_of({"doc_id": batch.column("doc_id"), "n": [len(r) for r in rows], "ids": [r.tobytes() for r in rows]}, schema)
 
     return texts(docs).mapInArrow(each, f"doc_id {key}, n long, ids binary")
 
 
+def plain(encoder: bpe.Encoder, text: str, kind: str) -> np.ndarray:
+    """Ids of a text; one of ASCII needs no look for characters that the libraries may split apart differently."""
+    if encoder.fast is not None and text.isascii() and not any(s in text for s in encoder.special):
+        return np.array(encoder.fast.encode_ordinary(text), kind)
+    return np.frombuffer(encoder.span(text), "<u4").astype(kind)
+
+
 def id_type(tokenizer: str, end_id: int) -> str:
     size = bpe.tools(tokenizer).get_vocab_size(with_added_tokens=True)
     return "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
@@ -325,7 +349,7 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
                 names = batch.column("doc_ids").slice(k, 1).flatten()
                 shard = Shard(batch.column("payload")[k].as_py())
                 starts = shard.doc_start.tolist()
-                data = shard.ids().tobytes()
+                data = shard.whole().tobytes()
                 parts = [data[4 * a : 4 * b] for a, b in zip(starts, starts[1:], strict=False)]
                 spot = [np.full(shard.docs, batch.column(c)[k].as_py(), np.int32) for c in ("range", "block")]
                 columns = [*map(pa.array, spot), names, pa.array(starts[:-1], pa.int64()), pa.array(shard.sizes), pa.array(map(zlib.crc32, parts), pa.int64())]

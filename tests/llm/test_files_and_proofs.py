@@ -49,7 +49,7 @@ def test_repair_rounds_trip():
         ids = rng.zipf(1.3, int(sizes.sum())) % 60_000 if ids is None else np.asarray(ids)
         payload = grammar.compress(ids, sizes)
         shard = grammar.Shard(payload)
-        assert (shard.ids() == ids).all()
+        assert (shard.ids() == ids).all() and (shard.whole() == ids).all()
         ends = np.cumsum(sizes)
         for k in range(len(sizes)):
             assert (shard.document(k) == ids[ends[k] - sizes[k] : ends[k]]).all()
