@@ -39,8 +39,8 @@ PERCENT = 80
 #: Cells of the count sketch that orders shingles, and slices in which tasks pass it on.
 CELLS = 1 << 20
 SLICES = 16
-#: Fragments of the global order.
-FRAGMENTS = 4
+#: Fragments of the global order: the rarer half, which settles most unlike pairs, and the rest.
+FRAGMENTS = 2
 #: Lists of so many members or fewer are compared in full at once.
 SMALL = 4
 #: Rows of one list that go to one task; a cell of the sketch fuller by more is salted.
@@ -391,13 +391,13 @@ def fragments(docs: DataFrame, wanted: Callable[[], np.ndarray], order: Callable
 
 
 def partial_overlaps(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """pairs with `here`, the overlap in one fragment, and `later_a` and `later_b`."""
+    """pairs with `here`, the overlap in one fragment, both sides' sizes in it, and `later_a` and `later_b`."""
     a = rows.select(F.col("sig").alias("a"), F.col("hashes").alias("x"), F.col("later").alias("later_a"))
     b = rows.select(F.col("sig").alias("b"), F.col("hashes").alias("y"), F.col("later").alias("later_b"))
-    here = F.size(F.array_intersect("x", "y")).alias("here")
-    met = pairs.join(a, "a").join(b, "b").select(*pairs.columns, here, "later_a", "later_b")
+    here = [F.size(F.array_intersect("x", "y")).alias("here"), F.size("x").alias("here_a"), F.size("y").alias("here_b")]
+    met = pairs.join(a, "a").join(b, "b").select(*pairs.columns, *here, "later_a", "later_b")
     # A class that came more than once came alike each time.
-    return met.groupBy(*pairs.columns).agg(*(F.max(c).alias(c) for c in ("here", "later_a", "later_b")))
+    return met.groupBy(*pairs.columns).agg(*(F.max(c).alias(c) for c in ("here", "here_a", "here_b", "later_a", "later_b")))
 
 
 def linked(docs: DataFrame, pairs: DataFrame, heads: DataFrame, order: Callable[[], tuple], count: int = FRAGMENTS, percent: int = PERCENT) -> DataFrame:
@@ -408,18 +408,21 @@ def linked(docs: DataFrame, pairs: DataFrame, heads: DataFrame, order: Callable[
     """
     spark = docs.sparkSession
     concerned = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-    wanted = spark.sparkContext.broadcast(key_filter(heads.join(concerned, "sig").select(F.xxhash64("head").alias("key"))))
+    bits = key_filter(heads.join(concerned, "sig").select(F.xxhash64("head").alias("key")))
+    wanted = spark.sparkContext.broadcast(np.packbits(bits))  # fixed size
     path = f"{shared_folder(spark)}/fragments-{uuid.uuid4().hex}"
-    fragments(docs, lambda: wanted.value, order).write.option("compression", "none").partitionBy("fragment").parquet(path)
+    rows = fragments(docs, lambda: np.unpackbits(wanted.value).astype(bool), order)
+    rows.write.option("compression", "none").partitionBy("fragment").parquet(path)
+    wanted.destroy()
     stored = spark.read.schema("sig long, hashes array<long>, later int, fragment int").parquet(path)
-    n = heads.select("sig", "n")
-    total = pairs.select("a", "b").withColumn("both", F.lit(0).cast("long"))
-    total = total.join(n.select(F.col("sig").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("sig").alias("b"), F.col("n").alias("nb")), "b")
+    total = pairs.select("a", "b").withColumn("both", F.lit(0))
     for k in range(count):
-        partial = partial_overlaps(total, stored.where(F.col("fragment") == k))
+        partial = partial_overlaps(total, stored.where(F.col("fragment") == k)).withColumn("both", F.col("both") + F.col("here"))
+        # The first fragment tells both sets' whole sizes.
+        size = F.col("here_a") + F.col("later_a") + F.col("here_b") + F.col("later_b") if k == 0 else F.col("size")
+        partial = partial.withColumn("size", size.cast("long"))
         most = F.col("both") + F.least("later_a", "later_b")
-        summed_up = partial.withColumn("both", F.col("both") + F.col("here"))
-        total = cut(summed_up.where(most * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb", "both"))
+        total = cut(partial.where(most * (100 + percent) >= percent * F.col("size")).select("a", "b", "size", "both"))
     discard(spark, path)
     return total.select("a", "b")
 
