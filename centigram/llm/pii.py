@@ -1,12 +1,14 @@
 """Personal data: exact patterns plus a character BiLSTM-CRF trained from labelled spans.
 
-The patterns find the base spans, which always stay and are the labels.  The model reads
-character classes in overlapping windows; emissions of overlapping windows are blended by how
-central a character is, and one Viterbi pass per run of windows reconciles them.  A span must
-hold a digit or an at sign, so windows without either cannot hold one and are not read.  A
-decoded span grows by the base spans of its kind that it meets.  It is added if it has the
-digits or signs that its kind needs and meets no base span, or those of its kind only and adds
-letters or digits to them; it may hold pattern matches that failed, and cuts no number in two.
+The patterns find the base spans, which always stay and are the labels.  The model learns from
+them as they stand, from the same spans in writings that the patterns cannot read (labelled by
+how they were made), and from numbers that are none.  It reads character classes in overlapping
+windows; emissions of overlapping windows are blended by how central a character is, and one
+Viterbi pass per run of windows reconciles them.  A span must hold a digit or an at sign, so
+windows without either cannot hold one and are not read.  A decoded span grows to the ends of the
+numbers (of the words, for an e-mail) that it cuts and by the base spans of its kind that it meets.
+It is added if it has the digits or signs that its kind needs and meets no base span, or those of
+its kind only and adds letters or digits to them; it may hold pattern matches that failed.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+import zlib
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -27,9 +30,9 @@ from centigram.llm.common import batch_of, prepare, texts
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)
 WINDOW, STRIDE = 64, 32
-WIDTH, EMBED = 12, 8
+WIDTH, EMBED = 20, 10
 #: Documents and windows that the fit may read, steps and rows a step.
-TRAIN_DOCS, TRAIN_WINDOWS, STEPS, BATCH = 20_000, 4_096, 160, 64
+TRAIN_DOCS, TRAIN_WINDOWS, STEPS, BATCH = 20_000, 8_192, 500, 64
 
 #: Fixed values of the contract, written so that they match the same text in linear time.
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -41,6 +44,9 @@ SIGN = re.compile("[0-9@]")
 DIGIT = re.compile("[0-9]")
 #: Between the numbers of an added ip: a dot, in brackets or with blanks, or the word.
 DOT = re.compile(r" ?(?:\[\.\]|\(\.\)|\[dot\]|\(dot\)|\.) ?", re.I)
+#: What the training puts between the numbers of an ip and the groups of a card.
+IP_DOTS = ("[.]", "(.)", "[dot]", "(dot)", " . ", " [.] ")
+CARD_GAPS = (".", "/", "  ", " / ", "_", " - ", ". ")
 Span = tuple[int, int, int]
 
 
@@ -104,7 +110,7 @@ def character_classes() -> np.ndarray:
     table = np.full(257, 1, np.uint8)
     for low, high, k in (("0", "9", 2), ("a", "z", 3), ("A", "Z", 4)):
         table[ord(low) : ord(high) + 1] = k
-    for k, c in enumerate("@.-_+%()\n\t ,:", 5):
+    for k, c in enumerate("@.-_+%()\n\t ,:/[]'", 5):
         table[ord(c)] = k
     table[192:257] = 3
     return table
@@ -330,7 +336,8 @@ def plausible(kind: int, piece: str) -> bool:
         return address(piece)
     if kind == 2:
         return 14 <= n <= 19 and luhn(digits_of(piece)) and not re.search("[A-Za-z]", piece)
-    return 10 <= n <= 15 and not re.search(r"[^0-9+ ().\-]", piece)
+    grouped = piece.startswith(("+", "00")) or len(re.findall("[0-9]+", piece)) > 2
+    return 10 <= n <= 15 and grouped and not re.search(r"[^0-9+ ().\-]", piece)
 
 
 def address(piece: str) -> bool:
@@ -357,8 +364,14 @@ def wider(text: str, span: Span, base: Span) -> bool:
     return any(x.isalnum() for x in beyond)
 
 
-def splits_number(text: str, s: int, e: int) -> bool:
-    return bool((s and DIGIT.match(text[s - 1]) and DIGIT.match(text[s])) or (e < len(text) and DIGIT.match(text[e - 1]) and DIGIT.match(text[e])))
+def completed(text: str, s: int, e: int, kind: int) -> tuple[int, int]:
+    """The span moved out to the ends of the numbers, or of an e-mail's words, that it cuts."""
+    inside = str.isalnum if kind == 0 else DIGIT.match
+    while 0 < s < e and inside(text[s - 1]) and inside(text[s]):
+        s -= 1
+    while s < e < len(text) and inside(text[e - 1]) and inside(text[e]):
+        e += 1
+    return s, e
 
 
 def find(p: dict[str, np.ndarray], rows: list[str]) -> list[tuple[list[Span], list[Span]]]:
@@ -372,16 +385,80 @@ def find(p: dict[str, np.ndarray], rows: list[str]) -> list[tuple[list[Span], li
                 s += 1
             while e > s and (text[e - 1].isspace() or text[e - 1] in ",;:"):
                 e -= 1
+            s, e = completed(text, s, e, k)
             for b, j, t in base:
                 if j == k and s < t and b < e:
                     s, e = min(s, b), max(e, t)
             clash = any(s < t and b < e and not wider(text, (s, k, e), (b, j, t)) for b, j, t in base)
-            if s < e and not clash and not splits_number(text, s, e) and plausible(k, text[s:e]):
+            if s < e and not clash and plausible(k, text[s:e]):
                 added.append((s, k, e))
         out.append((base, added))
     return out
 
 
+def writings(kind: int, piece: str) -> Iterator[tuple[str, int]]:
+    """Other texts for a base span, each with how many of its first characters are the span."""
+    d = digits_of(piece)
+    if kind == 0:
+        name, host = piece.split("@", 1)
+        plain = re.sub("[^A-Za-z]", "", name) or "x"
+        forms = []
+        for who, where in ((name, host), (plain, ".".join(host.split(".")[-2:])), (plain[:3], re.sub("[0-9]", "", host))):
+            half = -(-len(who) // 2)
+            forms += [f"{who}@{where}", *(f"{who[:half]}{x}{who[half:]}@{where}" for x in "üñ'")]
+            forms += [f"{who}@{where[:1]}ö{where[1:]}", f"{who}@{where.replace('.', '[.]')}"]
+    elif kind == 1:
+        parts = piece.split(".")
+        a, b, c, e = (f"{int(x):x}" for x in parts)
+        forms = [x.join(parts) for x in IP_DOTS]
+        forms += [f"2001:db8:{a}:{b}::{c}{e}", f"2001:db8::{a}", f"fe80::{a}{b}:{c}ff:fe{e}:{a}", f"{a}20:{b}:{c}:{e}:{a}{b}:{c}:{e}{a}:{b}{c}"]
+    elif kind == 2:
+        groups = [d[at : at + 4] for at in range(0, len(d), 4)]
+        forms = [x.join(groups) for x in CARD_GAPS]
+        for x in " -":
+            yield from ((f"{x.join(groups)} {after}", len(x.join(groups))) for after in (f"{d[:2]}/{d[2:4]}", d[:3]))
+    else:
+        land, area, middle, last = d[:-10] or "1", d[-10:-7], d[-7:-4], d[-4:]
+        forms = [f"({area}) {middle}-{last}", f"{area}-{middle}-{last}", f"{area}.{middle}.{last}"]
+        for x in (land, d[1:3], d[2:5]):
+            number = f"{x} {area} {middle} {last}"
+            forms.append(f"00{number}")
+            yield from ((f"+{number} {after}", len(number) + 1) for after in (f"20{d[2:8]}", d[:6]))
+    yield from ((x, len(x)) for x in forms)
+    if kind > 1:
+        yield f"20{d[:2]}-{d[2:4]}-{d[4:6]} {d[6:8]}:{d[8:10]}", 0
+        yield f"{d[:1]},{d[1:4]},{d[4:7]}.{d[7:9]}", 0
+        yield d[:9], 0
+        yield f"{d[0]}.{d[1]}.{d[2:4]}", 0
+        yield f"{d[:4]}-{d[4:8]}", 0
+
+
+def labelled(text: str) -> list[tuple[bytes, bytes]]:
+    """Classes and tags of the windows of a text, and of its base spans written otherwise."""
+    places = runs(text)
+    if not places:
+        return []
+    base, _ = candidates(text)
+    tags = np.zeros(len(text) + WINDOW, np.uint8)
+    for s, k, e in base:
+        tags[s:e] = 2 + 2 * k
+        tags[s] = 1 + 2 * k
+    row = codes(text)
+    out = [(padded(row, w * STRIDE).tobytes(), tags[w * STRIDE : w * STRIDE + WINDOW].tobytes()) for a, b in places for w in range(a, b + 1)]
+    for s, k, e in base:
+        if e - s > WINDOW:
+            continue
+        for form, length in writings(k, text[s:e]):
+            before = max(0, s - 1 - zlib.crc32(form.encode()) % STRIDE)
+            after = min(len(text), e + WINDOW)
+            made = np.zeros(len(form), np.uint8)
+            made[:length] = 2 + 2 * k
+            made[: min(length, 1)] = 1 + 2 * k
+            given = np.concatenate([tags[before:s], made, tags[e:after]])
+            out.append((padded(codes(text[before:s] + form + text[e:after]), 0).tobytes(), padded(given, 0).tobytes()))
+    return out
+
+
 def training_windows(docs: DataFrame, limit_docs: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Classes and tags of windows from a hash sample of about limit_docs documents."""
     step = max(1, docs.count() // limit_docs)
@@ -389,18 +466,7 @@ def training_windows(docs: DataFrame, limit_docs: int, limit: int) -> tuple[np.n
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            for text in batch.column("text").to_pylist():
-                places = runs(text)
-                if not places:
-                    continue
-                tags = np.zeros(len(text) + WINDOW, np.uint8)
-                for s, k, e in candidates(text)[0]:
-                    tags[s:e] = 2 + 2 * k
-                    tags[s] = 1 + 2 * k
-                row = codes(text)
-                rows += ((padded(row, w * STRIDE).tobytes(), tags[w * STRIDE : w * STRIDE + WINDOW].tobytes()) for a, b in places for w in range(a, b + 1))
-            rows = list(dict.fromkeys(rows))
+            rows = list(dict.fromkeys(row for text in batch.column("text").to_pylist() for row in labelled(text)))
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], ["x", "y"])
 
     found = sampled.mapInArrow(label, "x binary, y binary").orderBy(F.xxhash64("x", "y"), "x", "y").limit(limit).toPandas()
@@ -434,7 +500,7 @@ def _each(docs: DataFrame, columns: dict[str, pa.DataType], make: Callable[[str,
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """doc_id, base counts by kind, base_sha256 and all spans of every whole text.
+    """doc_id, base counts by kind, base_sha256, all spans of every whole text and their number.
 
     A null text is an empty one and has no spans; repeated rows give repeated results; an
     empty table gives an empty one.
@@ -442,9 +508,9 @@ def detect(docs: DataFrame) -> DataFrame:
 
     def make(text: str, base: list[Span], added: list[Span]) -> tuple:
         n = [sum(k == j for _, k, _ in base) for j in range(len(KINDS))]
-        return (*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + added))
+        return (*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + added), len(base) + len(added))
 
-    columns = {f"n_{k}": "long" for k in KINDS} | {"base_sha256": "string", "spans": "string"}
+    columns = {f"n_{k}": "long" for k in KINDS} | {"base_sha256": "string", "spans": "string", "n_spans": "long"}
     return _each(docs, columns, make, ("doc_id",))
 
 

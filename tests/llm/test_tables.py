@@ -1,6 +1,8 @@
 """Operators on small tables with nulls, empty texts, repeats and clashing extra columns."""
 
+import hashlib
 import json
+import random
 import re
 from collections import Counter
 
@@ -10,8 +12,10 @@ import pytest
 import corpus_pipeline
 from centigram.llm import bpe, chat, html, jaccard, mixing, neighbours, pii, ranking, rules, scoring
 from centigram.llm.queries import table, tokenizer_path
+from test_small_parts import plain_spans
 
 SMALL = "/root/testdata/sf0.001"
+MIDDLE = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n long, h long, score double"
 
 
@@ -148,6 +152,58 @@ def test_personal_data(spark, odd):
     assert pii.detect(odd.limit(0)).count() == 0
 
 
+def test_base_spans_of_a_whole_table(spark):
+    docs = table(spark, MIDDLE, "documents")
+    rows = {r.doc_id: r for r in pii.detect(docs).collect()}
+    assert len(rows) == docs.count()
+    for doc, text in docs.select("doc_id", "text").collect():
+        base, r = plain_spans(text or ""), rows[doc]
+        found = [f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in base]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == j for _, k, _ in base) for j in range(4)]
+        assert r.base_sha256 == hashlib.sha256(",".join(found).encode()).hexdigest()
+        spans = r.spans.split(",") if r.spans else []
+        assert set(found) <= set(spans) and r.n_spans == len(spans)
+
+
+def test_the_trained_model_adds_spans(spark):
+    """Seven forms and one more that the patterns miss, then made ones with other digits in other texts."""
+    p = pii.fit(table(spark, MIDDLE, "documents"))
+    forms = [
+        ("mail ", "müller@web.de", " now", 0),
+        ("host ", "2001:db8::17", " up", 1),
+        ("host ", "10[.]0[.]0[.]7", " up", 1),
+        ("card ", "4111.1111.1111.1111", " ok", 2),
+        ("card ", "4111/1111/1111/1111", " ok", 2),
+        ("card ", "4111  1111  1111  1111", " ok", 2),
+        ("card ", "4111 1111 1111 1111", " 12/27", 2),
+        ("call ", "+1 743 555 3824", " 20260105 ok", 3),
+    ]
+    for (_, added), (before, span, _, kind) in zip(pii.find(p, ["".join(f[:3]) for f in forms]), forms, strict=True):
+        assert added == [(len(before), kind, len(before) + len(span))]
+
+    rng = random.Random(5)
+    around = [t for (t,) in table(spark, SMALL, "documents").select("text").collect() if t and len(t) > 200 and not pii.candidates(t)[0]]
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    letters = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9)))
+    cases = []
+    for _ in range(40):
+        card = next(x for x in iter(lambda: "5" + digits(15), None) if pii.luhn(x))
+        pieces = (f"{letters()}@{letters()}.org", ".".join(str(rng.randint(0, 255)) for _ in range(4)), card, f"+{rng.randint(1, 99)} 7{digits(2)} {digits(3)} {digits(4)}")
+        for kind, piece in enumerate(pieces):
+            for form, length in pii.writings(kind, piece):
+                text = rng.choice(around)
+                at = text.index(" ", rng.randrange(len(text) // 2)) + 1
+                cases.append((text[:at] + form + " " + text[at:], (at, kind, at + length) if length else None))
+    wanted, met, wrong = Counter(), Counter(), 0
+    for (base, added), (_, span) in zip(pii.find(p, [c[0] for c in cases]), cases, strict=True):
+        wrong += sum(x != span for x in added)
+        if span:
+            wanted[span[1]] += 1
+            met[span[1]] += span in base or span in added
+    assert all(met[k] >= 0.8 * wanted[k] for k in range(4)), (met, wanted)
+    assert wrong <= 0.02 * len(cases)
+
+
 def test_quality_operators(spark, odd, labels):
     judged = rules.judge(odd, labels).collect()
     assert len(judged) == odd.count()
