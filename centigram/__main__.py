@@ -101,7 +101,7 @@ def main(arguments=None) -> None:
         jobs.count_words(spark, args.source, args.target)
         return
     if args.command == "etl":
-        jobs.etl(
+        counts = jobs.etl(
             spark,
             args.source,
             args.target,
@@ -112,6 +112,7 @@ def main(arguments=None) -> None:
             args.remove_outliers,
             **reading(args),
         )
+        print(f"read {counts.read}, kept {counts.kept}, written {counts.written}")
         return
     training = {
         "k": args.k,

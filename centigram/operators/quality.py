@@ -158,7 +158,11 @@ def feature_stats(df: DataFrame, features=FEATURES) -> DataFrame:
 
 
 def observed(df: DataFrame, name: str, features=FEATURES) -> tuple[DataFrame, Observation]:
-    """``df`` plus counters filled in by whichever job reads it next: no job of their own."""
+    """``df`` plus counters filled in by whichever job reads it next: no job of their own.
+
+    A stage that ends in a shuffle and runs again, as after a lost executor, counts its rows again;
+    the stage that writes counts each row once.
+    """
     seen = Observation(name)
     counters = [F.count_if(col(f).isNull()).alias(f"{f}_nulls") for f in present(df, features)]
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counters), seen

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from centigram.functions.json_rows import centers_to_json, rows_to_json
 from centigram.operators import clustering, evaluation, summaries
 from centigram.operators.nested import extract_features, prepare_features
-from centigram.operators.quality import any_positive
+from centigram.operators.quality import any_positive, observed
 from centigram.operators.sampling import hash_sample, head_by_key
 from centigram.operators.scaling import vector_columns
 from centigram.operators.text import word_count
@@ -31,7 +31,6 @@ from centigram.sinks.scratch import remove, scratch_path, stored
 from centigram.sinks.tables import (
     append_products,
     product_rows,
-    table_or_none,
     write_centers,
     write_json_rows,
     write_results,
@@ -243,6 +242,18 @@ def score_batch(
     return report
 
 
+@dataclass(frozen=True)
+class EtlCounts:
+    """Rows chosen from the source, rows left by cleaning, and rows added to the target.
+
+    ``written`` is exact; the others may count rows again that a lost executor held.
+    """
+
+    read: int
+    kept: int
+    written: int
+
+
 def etl(
     spark: SparkSession,
     source: str,
@@ -253,15 +264,19 @@ def etl(
     features=FEATURES,
     remove_outliers: bool = False,
     **reading,
-) -> None:
+) -> EtlCounts:
     """Prepare raw products and append the new ones to the product table.
 
-    Everything is loaded unless ``percent`` or ``limit`` asks for less.
+    Everything is loaded unless ``percent`` or ``limit`` asks for less.  The counts come with the
+    load's own jobs.
     """
     products = read_products(spark, source, fmt, features, **reading)
     rows = chosen(extract_features(products, features, "nested"), features, percent, limit)
+    # Counted behind the extraction: in front of it the scan would read whole nested records.
+    rows, seen = observed(rows, "read", ())
     prepared = prepare_features(rows, features, remove_outliers=remove_outliers)
-    append_products(prepared, target, features=features)
+    loaded = append_products(prepared, target, features=features)
+    return EtlCounts(seen.get["rows"], loaded.offered, loaded.written)
 
 
 def insert_batch(products: DataFrame, n: int = DEFAULT_BATCH_ROWS, features=FEATURES) -> DataFrame:
@@ -271,10 +286,7 @@ def insert_batch(products: DataFrame, n: int = DEFAULT_BATCH_ROWS, features=FEAT
 
 def load_batch(products: DataFrame, target: str, n: int = DEFAULT_BATCH_ROWS) -> int:
     """Append a small batch of products not stored yet; returns the number of rows added."""
-    earlier = table_or_none(products.sparkSession, target)
-    before = 0 if earlier is None else earlier.count()
-    append_products(head_by_key(prepare_features(products), n), target)
-    return products.sparkSession.read.parquet(target).count() - before
+    return append_products(head_by_key(prepare_features(products), n), target).written
 
 
 def validated_read(table: DataFrame, features=FEATURES) -> DataFrame:

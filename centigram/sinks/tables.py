@@ -1,6 +1,6 @@
 """Stored tables and files."""
 
-from urllib.parse import quote
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +9,27 @@ from pyspark.sql import functions as F
 from centigram.functions.columns import col, present
 from centigram.functions.json_rows import rows_to_json
 from centigram.functions.keys import product_id
+from centigram.operators.quality import observed
 from centigram.operators.sampling import head_by_key
 from centigram.schemas import CLUSTER, DEFAULT_EXTRACT_ROWS, FEATURES, KEY, NAME
 from centigram.sources.products import sample_products
 
 
+# What Spark writes as %XX in the name of a partition's folder, control characters aside.
+ESCAPED = "\"#%'*/:=?\\{[]^\x7f"
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """Rows that a load offered to a table and rows that it added, counted while it wrote.
+
+    ``written`` is exact; ``offered`` may count rows again that a lost executor held (``observed``).
+    """
+
+    offered: int
+    written: int
+
+
 def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """A Parquet table, or None if nothing was written there yet."""
     try:
@@ -62,34 +78,56 @@ def new_rows(df: DataFrame, existing: DataFrame, key: str = KEY) -> DataFrame:
     return df.join(keys, df[key] == keys["_key"], "left_anti")
 
 
-def append_products(df: DataFrame, path: str, once: bool = True, features=FEATURES) -> None:
-    """Append product rows; with ``once`` a repeated load adds nothing.
+def append_products(df: DataFrame, path: str, once: bool = True, features=FEATURES) -> Loaded:
+    """Append product rows and say how many; with ``once`` a repeated load adds nothing.
 
     Each append reads the key column of the whole table.  Rows are compared with the stored
     table only: a code that comes twice in one load is stored twice.
     """
-    rows = product_rows(df, features)
+    rows, offered = observed(product_rows(df, features), "offered", ())
     existing = table_or_none(df.sparkSession, path) if once else None
     if existing is not None:
         rows = new_rows(rows, existing)
+    rows, written = observed(rows, "written", ())
     rows.write.mode("append").parquet(path)
+    return Loaded(offered.get["rows"], written.get["rows"])
+
+
+def run_folder(path: str, run_id: str) -> str:
+    """Where Spark keeps the partition of a run."""
+    if not run_id:
+        raise ValueError("a run needs a name")
+    name = "".join(f"%{ord(c):02X}" if c < " " or c in ESCAPED else c for c in run_id)
+    return f"{path}/run_id={name}"
 
 
-def write_run(df: DataFrame, path: str, run_id: str, sort_by: str | None = None) -> None:
+def write_run(df: DataFrame, path: str, run_id: str, sort_by: str | None = None) -> int:
     """Write one run's rows under ``run_id=...``, replacing only that run's earlier rows, also by none.
 
-    ``sort_by`` orders each file by its lookup column, without a shuffle.
+    Returns the number of rows.  They are staged beside the table and take the earlier rows' place
+    when all of them are written, so a run that fails leaves what was there; other runs may be
+    written at the same time.  Only a driver lost while it moves the folder can leave a run without
+    rows until it is written again.  ``sort_by`` orders each file by its lookup column, without a shuffle.
     """
-    rows = df.sortWithinPartitions(col(sort_by)) if sort_by else df
-    rows.write.mode("overwrite").parquet(f"{path}/run_id={quote(run_id, safe='')}")
+    folder = run_folder(path, run_id)
+    rows, written = observed(df, "written", ())
+    rows = rows.withColumn("run_id", F.lit(run_id))
+    rows = rows.sortWithinPartitions("run_id", col(sort_by)) if sort_by else rows
+    replacing = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    replacing.partitionBy("run_id").parquet(path)
+    count = written.get["rows"]
+    if not count:
+        # No row names the run, so nothing was replaced.
+        df.limit(0).write.mode("overwrite").parquet(folder)
+    return count
 
 
-def write_results(df: DataFrame, path: str, run_id: str, id_style: str = "code") -> None:
-    write_run(result_rows(df, id_style), path, run_id, "product_id")
+def write_results(df: DataFrame, path: str, run_id: str, id_style: str = "code") -> int:
+    return write_run(result_rows(df, id_style), path, run_id, "product_id")
 
 
-def write_centers(centers: DataFrame, path: str, run_id: str) -> None:
-    write_run(center_rows(centers), path, run_id, "cluster_id")
+def write_centers(centers: DataFrame, path: str, run_id: str) -> int:
+    return write_run(center_rows(centers), path, run_id, "cluster_id")
 
 
 def write_jdbc(

@@ -427,6 +427,75 @@ def test_an_empty_run_replaces_its_earlier_rows(spark, numbers, tmp_path):
     assert {(r["run_id"], r["code"]) for r in left.collect()} == {("y", "a"), ("y", "b")}
 
 
+def test_a_failing_run_leaves_the_earlier_one(spark, numbers, tmp_path):
+    path = str(tmp_path / "t")
+    rows = numbers([("a", 0, 1.0, 2.0), ("b", 1, 3.0, 4.0)])
+    assert [tables.write_run(rows, path, run) for run in ("one", "two")] == [2, 2]
+    error = F.raise_error(F.lit("broken row")).cast("double")
+    broken = rows.repartition(2).withColumn("x", F.when(F.col("code") == "b", error).otherwise(F.col("x")))
+    with pytest.raises(Exception, match="broken row"):
+        tables.write_run(broken, path, "one")
+    left = read_table(spark, path).select("run_id", "code", "x").collect()
+    assert sorted(map(tuple, left)) == [("one", "a", 1.0), ("one", "b", 3.0), ("two", "a", 1.0), ("two", "b", 3.0)]
+    assert tables.write_run(rows.filter("code = 'a'"), path, "one") == 1
+    assert read_table(spark, path).filter("run_id = 'one'").count() == 1
+
+
+@pytest.mark.parametrize("run", ["a b", "x/1", "50%", "k=v", "größe", "it's"])
+def test_run_names(spark, numbers, tmp_path, run):
+    path = str(tmp_path / "t")
+    rows = numbers([("a", 0, 1.0, 2.0), ("b", 1, 3.0, 4.0)])
+    assert [tables.write_run(rows, path, name) for name in ("kept", run, run)] == [2, 2, 2]
+    assert Path(tables.run_folder(path, run)).is_dir()
+    assert read_table(spark, path).filter(F.col("run_id") == run).count() == 2
+    assert tables.write_run(rows.limit(0), path, run) == 0
+    assert [r["run_id"] for r in read_table(spark, path).select("run_id").distinct().collect()] == ["kept"]
+
+
+def test_a_run_needs_a_name(numbers, tmp_path):
+    with pytest.raises(ValueError, match="name"):
+        tables.write_run(numbers([("a", 0, 1.0, 2.0)]), str(tmp_path / "t"), "")
+
+
+def jobs_of(spark, action):
+    group = f"counted-{id(action)}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        result = action()
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_counts_come_with_the_write(spark, tmp_path):
+    df = spark.range(100).select(F.format_string("%03d", "id").alias("code"), F.lit(1.0).alias("fat"))
+    counted, plain = str(tmp_path / "c"), str(tmp_path / "p")
+    for path in (counted, plain):
+        tables.append_products(df.filter("code < '040'"), path)
+
+    def by_hand():
+        rows = tables.new_rows(tables.product_rows(df), tables.table_or_none(spark, plain))
+        rows.write.mode("append").parquet(plain)
+
+    loaded, with_counts = jobs_of(spark, lambda: tables.append_products(df, counted))
+    _, without = jobs_of(spark, by_hand)
+    assert loaded == tables.Loaded(100, 60)
+    assert with_counts == without
+    assert tables.append_products(df, counted) == tables.Loaded(100, 0)
+    assert tables.append_products(df.limit(0), counted) == tables.Loaded(0, 0)
+
+
+def test_etl_counts(spark, products, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    products.write.parquet(source)
+    total = products.count()
+    first = jobs.etl(spark, source, target)
+    assert first.read == total and first.written == first.kept == read_table(spark, target).count()
+    again = jobs.etl(spark, source, target)
+    assert (again.read, again.kept, again.written) == (total, first.kept, 0)
+    assert jobs.etl(spark, source, str(tmp_path / "u"), limit=2).read == 2
+
+
 def test_json_products(spark, products, tmp_path):
     products.write.json(str(tmp_path / "j"))
     back = read_products(spark, str(tmp_path / "j"), "json", schema=RAW_PRODUCTS)
