@@ -19,7 +19,6 @@ DEFAULT_METHOD = "standard"
 DEFAULT_OUTLIER_THRESHOLD = 3.0
 DEFAULT_FILL_RATE = 0.5
 DEFAULT_SAMPLE_PERCENT = 10
-DEFAULT_SAMPLE_SIZE = 10_000
 DEFAULT_EXTRACT_ROWS = 50_000
 DEFAULT_BATCH_ROWS = 10
 DEFAULT_SAMPLES_PER_CLUSTER = 5
