@@ -1,10 +1,9 @@
 """Small column helpers."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bound on the rows of a per-cluster table that is attached to every row.  A fitted
-# model keeps its centres on the driver, so a cluster table is far below it.
+# Rows of a table by group that the driver may hold and broadcast.
 MAX_GROUPS = 10_000
 
 
@@ -69,30 +68,12 @@ def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
     return df.select(*[col(c) for c in df.columns], F.inline(F.array(packed)))
 
 
-def bounded(groups: DataFrame, limit: int = MAX_GROUPS) -> DataFrame:
-    """The same rows, provably at most ``limit``: the query fails if there are more.
+def settled(table: DataFrame, limit: int = MAX_GROUPS) -> tuple[DataFrame, bool]:
+    """The same rows, held by the plan itself if there are at most ``limit``, and whether they are.
 
-    At most ``limit + 1`` rows ever reach one task, so the result is safe to broadcast.
+    A table held so has a proven size and may be broadcast; any other is computed again.
     """
-    everything = Window.partitionBy(F.lit(0))
-    head = groups.limit(limit + 1).withColumn("_n", F.count(F.lit(1)).over(everything))
-    too_many = F.raise_error(F.lit(f"more than {limit} groups; pass a larger limit"))
-    return head.filter(F.when(F.col("_n") <= limit, True).otherwise(too_many.cast("boolean"))).drop(
-        "_n"
-    )
-
-
-def cluster_array(groups: DataFrame, k: int, cluster: str, name: str) -> DataFrame:
-    """A table with one row per cluster as one row: an array ``name`` of at most ``k`` structs.
-
-    With ``with_row`` every row can see every cluster without a join, and the plan has the same
-    size for every ``k``.  A missing id has no entry; an id outside 0..k-1 fails the query.
-    """
-    valid = F.coalesce(col(cluster).between(0, k - 1), F.lit(False))
-    entry = F.struct(*[col(c) for c in groups.columns])
-    packed = groups.agg(
-        F.array_sort(F.collect_list(F.when(valid, entry))).alias(name),
-        F.count_if(~valid).alias("_stray"),
-    )
-    error = F.raise_error(F.lit(f"cluster id outside 0..{k - 1}")).cast("boolean")
-    return packed.filter(F.when(F.col("_stray") == 0, True).otherwise(error)).drop("_stray")
+    head = table.limit(limit + 1).collect()
+    if len(head) > limit:
+        return table, False
+    return table.sparkSession.createDataFrame(head, table.schema), True

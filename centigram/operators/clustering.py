@@ -3,6 +3,8 @@
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -13,10 +15,11 @@ from pyspark.ml.feature import (
     StandardScalerModel,
     VectorAssembler,
 )
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import cluster_array, col, with_row
+from centigram.functions.columns import col
+from centigram.operators.points import cluster_rows, matrix, row_blocks
 from centigram.operators.scaling import assembler_stage, scaler_stage
 from centigram.schemas import (
     CENTERS,
@@ -177,8 +180,9 @@ def assign_to_centers(
 ) -> DataFrame:
     """Add ``cluster`` (nearest of the ``k`` long centres, ties to the lowest id) and ``distance``.
 
-    The centres reach the rows as one scalar array, so the table is neither joined nor
-    shuffled and the plan does not grow with ``k``.
+    Both are NULL for a row that lacks a feature; a centre that lacks one is nobody's.  The
+    centres are read when the function is called and reach the rows with it, so the table is
+    neither joined nor shuffled and the plan does not grow with ``k``.
     """
     wide = centers.groupBy(CLUSTER).agg(
         *[
@@ -186,24 +190,34 @@ def assign_to_centers(
             for i, f in enumerate(features)
         ]
     )
+    whole = [r for r in cluster_rows(wide, CLUSTER, k) if None not in r]
+    ids = np.array([r[CLUSTER] for r in whole], np.int32)
+    places = np.array([r[1:] for r in whole], np.float64).reshape(len(whole), len(features))
+
+    def block(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        squared = np.zeros((len(points), len(ids)))
+        for i in range(points.shape[1]):
+            difference = points[:, i, None] - places[:, i]
+            squared += difference * difference
+        # NaN is farther than any number; the lowest id wins a tie.
+        best = np.argmin(np.where(np.isnan(squared), np.inf, squared), axis=1)
+        return ids[best], np.sqrt(squared[np.arange(len(points)), best])
+
+    def nearest(*columns: pa.Array) -> pa.Array:
+        points, missing = matrix(columns)
+        label, distance = np.zeros(len(points), np.int32), np.zeros(len(points))
+        if len(ids):
+            for s in row_blocks(len(points), len(ids)):
+                label[s], distance[s] = block(points[s])
+        else:
+            missing[:] = True
+        parts = [pa.array(label, mask=missing), pa.array(distance, mask=missing)]
+        return pa.StructArray.from_arrays(parts, ["id", "distance"])
 
-    def candidate(c: Column) -> Column:
-        total = F.lit(0.0)
-        for i, f in enumerate(features):
-            difference = col(f) - c[f"m{i}"]
-            total = total + difference * difference
-        return F.struct(total.alias("squared"), c[CLUSTER].alias("id"))
-
-    candidates = F.filter(
-        F.transform("_centers", candidate), lambda x: x["squared"].isNotNull()
-    )
     rows = df.drop(CLUSTER)
-    return (
-        with_row(rows, cluster_array(wide, k, CLUSTER, "_centers"))
-        .withColumn("_nearest", F.array_min(candidates))  # the lowest id wins a tie
-        .select(
-            *[col(c) for c in rows.columns],
-            F.col("_nearest.id").cast("int").alias(CLUSTER),
-            F.sqrt("_nearest.squared").alias("distance"),
-        )
+    found = F.arrow_udf(nearest, "id int, distance double")
+    return rows.withColumn("_nearest", found(*[col(f).cast("double") for f in features])).select(
+        *[col(c) for c in rows.columns],
+        F.col("_nearest.id").alias(CLUSTER),
+        F.col("_nearest.distance").alias("distance"),
     )

@@ -4,10 +4,13 @@ The mean squared distance from a point to a whole cluster follows from the clust
 count, coordinate sums and sum of squared norms, so no pair of rows is ever formed.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import cluster_array, col, with_row
+from centigram.functions.columns import col
+from centigram.operators.points import cluster_rows, matrix, row_blocks
 from centigram.schemas import CLUSTER, DEFAULT_K, FEATURES
 
 
@@ -29,33 +32,42 @@ def cluster_moments(df: DataFrame, features=FEATURES, cluster: str = CLUSTER) ->
 def silhouette_rows(
     df: DataFrame, k: int = DEFAULT_K, features=FEATURES, cluster: str = CLUSTER
 ) -> DataFrame:
-    """``df`` plus ``silhouette``: NULL if only one cluster has rows, 0 for a lone member."""
-    moments = cluster_array(cluster_moments(df, features, cluster), k, "cluster", "_clusters")
-    own = col(cluster)
-
-    def distance(c: Column) -> Column:
-        """Mean squared distance to all rows of a cluster."""
-        dot = F.lit(0.0)
-        for i, f in enumerate(features):
-            dot = dot + col(f) * c[f"m{i}"]
-        return F.col("_norm") + c["spread"] - dot * 2
-
-    # The row itself is among its cluster's n rows, at distance 0.
-    mine = F.filter("_clusters", lambda c: (c["cluster"] == own) & (c["n"] > 1))
-    inner = F.transform(mine, lambda c: distance(c) * c["n"] / (c["n"] - 1))
-    others = F.filter("_clusters", lambda c: c["cluster"] != own)
-    a, b = F.col("_a"), F.col("_b")
-    score = (
-        F.when(b.isNull(), F.lit(None).cast("double"))
-        .when(a.isNull() | (a == b), 0.0)
-        .when(a < b, F.lit(1.0) - a / b)
-        .otherwise(b / a - 1.0)
-    )
-    return (
-        with_row(df.withColumn("_norm", _squared_norm(features)), moments)
-        .withColumns({"_a": F.get(inner, F.lit(0)), "_b": F.array_min(F.transform(others, distance))})
-        .select(*[col(c) for c in df.columns], score.alias("silhouette"))
-    )
+    """``df`` plus ``silhouette``: NULL if only one cluster has rows, 0 for a lone member.
+
+    A row without a value for a feature has none either.  The moments (at most ``k`` rows) are
+    computed when the function is called; rows meet them in blocks of one matrix product each.
+    """
+    table = cluster_rows(cluster_moments(df, features, cluster), "cluster", k)
+    ids = np.array([r["cluster"] for r in table], np.int64)
+    n = np.array([r["n"] for r in table], np.float64)
+    known = [[r[f"m{i}"] for i in range(len(features))] + [r["spread"]] for r in table]
+    moments = np.array(known, np.float64).reshape(len(table), len(features) + 1)
+    means, spread = moments[:, :-1], moments[:, -1]
+
+    def block(points: np.ndarray, place: np.ndarray) -> np.ndarray:
+        norms = (points * points).sum(axis=1)
+        # Mean squared distance to all rows of each cluster.
+        distance = np.maximum(norms[:, None] + spread - 2 * (points @ means.T), 0.0)
+        row, size = np.arange(len(points)), n[place]
+        # The row itself is among its cluster's n rows, at distance 0.
+        inner = distance[row, place] * size / np.maximum(size - 1, 1)
+        distance[row, place] = np.inf
+        outer = np.fmin.reduce(distance, axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score = np.where(inner > outer, outer / inner - 1.0, 1.0 - inner / outer)
+        return np.where((size == 1) | (inner == outer), 0.0, score)
+
+    def scores(label: pa.Array, *columns: pa.Array) -> pa.Array:
+        points, missing = matrix(columns)
+        if len(ids) < 2:
+            return pa.nulls(len(points), pa.float64())
+        place = np.searchsorted(ids, label.to_numpy(zero_copy_only=False))
+        found = [block(points[s], place[s]) for s in row_blocks(len(points), len(ids))]
+        return pa.array(np.concatenate([np.zeros(0), *found]), mask=missing)
+
+    score = F.arrow_udf(scores, "double")
+    inputs = [col(cluster).cast("bigint"), *[col(f).cast("double") for f in features]]
+    return df.withColumn("silhouette", score(*inputs))
 
 
 def silhouette_by_cluster(

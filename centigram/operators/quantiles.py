@@ -1,95 +1,55 @@
 """Exact quantiles per group that never hold a group in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer.  Here a mergeable
-sketch first brackets each wanted rank between two values of the group.  One aggregation
-then counts the values: those in a bracket (a fixed small share of a large group) one by
-one, those between brackets together.  The bracketed values are cut into bins, and only
-the bins that hold a wanted rank are sorted.
+``percentile`` keeps every distinct value of a group in one buffer.  Here one pass counts the
+values of every part (group and feature) in buckets of nearly equal ratio; running counts tell
+which buckets hold the wanted ranks.  A bucket with a single value is settled at once.  The
+values of the other chosen buckets, and only they, are counted in a second pass, cut into
+bins between the bucket's least and greatest value, and the bins that hold a rank are sorted.
+Nothing is estimated, so no rank can be missed.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import MAX_GROUPS, any_of, bounded, col, present, with_row
+from centigram.functions.columns import any_of, col, present, settled
 from centigram.schemas import FEATURES
 
+# Error bound of ``approximate_quantiles``: ranks are off by at most one row in so many.
 DEFAULT_ACCURACY = 10_000
 
-# Half-width of a bracket, in multiples of the sketch's guaranteed rank error.
-SLACK = 8
+# Buckets for every doubling of the absolute value.
+DEFAULT_STEPS = 1024
 
-# Equal-width cuts of each bracket.
-BINS = 1024
+# Above the logarithm (base 2) of any double, without sign.
+LARGEST_POWER = 1100
 
+# Equal-width cuts of a bucket.
+BINS = 4096
+
+# Chosen buckets that the driver may hold; more are joined by shuffle.
+MOST_BUCKETS = 50_000
 
-def _brackets(
-    df: DataFrame, features, group: str | None, probabilities, accuracy: int
-) -> DataFrame:
-    """Per group: for each feature and probability, two values that enclose the rank."""
-    slack = SLACK / accuracy
-    low = [max(0.0, p - slack) for p in probabilities]
-    high = [min(1.0, p + slack) for p in probabilities]
-    # Small groups are bracketed by their extremes: all of their values are candidates.
-    small = accuracy * SLACK
-    aggregates, columns = [], []
-    for i, f in enumerate(features):
-        value = col(f)
-        aggregates += [
-            F.count(value).alias(f"n{i}"),
-            F.min(value).alias(f"min{i}"),
-            F.max(value).alias(f"max{i}"),
-            F.percentile_approx(value, low + high, accuracy).alias(f"q{i}"),
-        ]
-        tight = F.col(f"n{i}") > small
-        for j in range(len(probabilities)):
-            lower = F.when(tight, F.get(f"q{i}", F.lit(j))).otherwise(F.col(f"min{i}"))
-            upper = F.when(tight, F.get(f"q{i}", F.lit(len(low) + j))).otherwise(F.col(f"max{i}"))
-            columns += [lower.alias(f"_lo{i}_{j}"), upper.alias(f"_hi{i}_{j}")]
-    keys = ["group"] if group else []
-    return df.groupBy(*[col(group).alias("group") for _ in keys]).agg(*aggregates).select(
-        *keys, *columns
-    )
 
+def _bucket(value: Column, steps: int) -> Column:
+    """A number that never falls as the value rises; NaN is with the greatest."""
+    size = F.floor((F.log2(F.abs(value)) + LARGEST_POWER) * steps)
+    return (
+        F.when(F.isnan(value), F.lit(2**63 - 1))
+        .when(value > 0, size)
+        .when(value < 0, -size)
+        .otherwise(F.lit(0).cast("bigint"))
+    )
 
-def _counted(rows: DataFrame, features, size: int, keys) -> DataFrame:
-    """(keys, feature, slot, gap, value, copies): every non-null value, placed in order.
 
-    ``slot`` never decreases with the value.  Inside a bracket it is the left edge of the
-    value's bin; values between brackets share the edge below them, are flagged ``gap``
-    and lose their identity (``value`` is NULL), so they collapse to one row per task.
-    """
-    limits = [(f"_lo{j}", f"_hi{j}") for j in range(size)]
+def _values(df: DataFrame, features, group: str | None, steps: int) -> DataFrame:
+    """(group, feature, value, bucket): one row per non-null value; ``feature`` is a position."""
+    keys = [col(group).alias("group")] if group else []
     entries = [
-        F.struct(
-            F.lit(f).alias("feature"),
-            col(f).alias("value"),
-            *[F.col(f"_{side}{i}_{j}").alias(f"_{side}{j}") for j in range(size) for side in ("lo", "hi")],
-        )
+        F.struct(F.lit(i).alias("feature"), col(f).cast("double").alias("value"))
         for i, f in enumerate(features)
     ]
-    value = F.col("value")
-    edge, inside = F.lit(None).cast("double"), F.lit(False)
-    for lo, hi in reversed(limits):
-        here = (value >= F.col(lo)) & (value <= F.col(hi))
-        width = (F.col(hi) - F.col(lo)) / BINS
-        left = F.least(value, F.col(lo) + F.floor((value - F.col(lo)) / width) * width)
-        edge = F.when(here, F.when(width > 0, left).otherwise(F.col(lo))).otherwise(edge)
-        inside = inside | here
-    passed = [F.when(value > F.col(hi), F.col(hi)) for _, hi in limits]
-    return (
-        rows.select(*keys, F.inline(F.array(*entries)))
-        .filter(value.isNotNull())
-        .withColumn("inside", inside)
-        .select(
-            *keys,
-            "feature",
-            F.greatest(edge, *passed).alias("slot"),
-            (~F.col("inside")).alias("gap"),
-            F.when(F.col("inside"), value).alias("value"),
-        )
-        .groupBy(*keys, "feature", "slot", "gap", "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
+    long = df.select(*keys, F.inline(F.array(*entries))).filter(F.col("value").isNotNull())
+    return long.withColumn("bucket", _bucket(F.col("value"), steps))
 
 
 def _running(df: DataFrame, parts, order, amount: str) -> DataFrame:
@@ -109,61 +69,82 @@ def _join(left: DataFrame, right: DataFrame, names) -> DataFrame:
     return left.join(right, same).drop(*[f"_{n}" for n in names])
 
 
+def _inside(values: DataFrame, chosen: DataFrame, part, wanted) -> DataFrame:
+    """(part, n, before, copies, value): the values near the wanted ranks in ``chosen`` buckets."""
+    within = [*part, "bucket", "n", "start", "slot"]
+    share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
+    slot = F.least(F.floor(share * BINS), F.lit(BINS - 1).cast("bigint"))
+    buckets = chosen.withColumnRenamed("before", "start").drop("size")
+    counted = (
+        _join(values, buckets, [*part, "bucket"])
+        .withColumn("slot", slot)
+        .groupBy(*within, "value")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    # At most BINS slots per bucket: a short window, whatever the size of the group.
+    slots = _running(
+        counted.groupBy(*within).agg(F.sum("copies").alias("size")), [*part, "bucket"], ["slot"], "size"
+    ).withColumn("before", F.col("before") + F.col("start"))
+    held = slots.filter(any_of(_holds(rank, "size") for rank in wanted))
+    held = held.select(*part, "bucket", "slot", F.col("before").alias("ahead"))
+    ordered = _running(
+        _join(counted, held, [*part, "bucket", "slot"]), [*part, "bucket", "slot"], ["value"], "copies"
+    )
+    return ordered.select(
+        *part, "n", (F.col("before") + F.col("ahead")).alias("before"), "copies", "value"
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     probabilities,
     features=FEATURES,
     group: str | None = None,
-    accuracy: int = DEFAULT_ACCURACY,
-    group_limit: int | None = MAX_GROUPS,
+    steps: int = DEFAULT_STEPS,
+    group_limit: int | None = None,
 ) -> DataFrame:
     """(group, feature, n, quantiles): linearly interpolated, ignoring NULLs.
 
-    The brackets are attached by a broadcast join that fails above ``group_limit`` groups;
-    ``group_limit=None`` joins them by shuffle instead, for any number of groups.
+    The first pass runs when the function is called.  Up to MOST_BUCKETS chosen buckets reach
+    the second pass by broadcast, more by a shuffle join; any number of groups will do.  With
+    ``group_limit`` more groups are an error.  More ``steps`` leave less to the second pass and
+    count more buckets.  Values are compared as doubles.
     """
-    features, probabilities = present(df, features), list(probabilities)
-    brackets = _brackets(df, features, group, probabilities, accuracy)
-    values = [col(f) for f in features]
-    if group:
-        if group_limit is not None:
-            brackets = F.broadcast(bounded(brackets, group_limit))
-        keys = ["group"]
-        rows = _join(df.select(col(group).alias("group"), *values), brackets, keys)
-    else:
-        keys = []
-        rows = with_row(df.select(*values), brackets)
-
-    part, slot = [*keys, "feature"], ["slot", "gap"]
-    counted = _counted(rows, features, len(probabilities), keys)
-    # At most BINS slots per bracket: a short window, whatever the size of the group.
-    slots = counted.groupBy(*part, *slot).agg(F.sum("copies").alias("size"))
-    total = F.sum("size").over(Window.partitionBy(*part))
-    slots = _running(slots.withColumn("n", total), part, ["slot", "gap"], "size")
-
-    places = [(F.col("n") - 1) * F.lit(float(p)) for p in probabilities]
+    features, probabilities = present(df, features), [float(p) for p in probabilities]
+    part = ["group", "feature"] if group else ["feature"]
+    places = [(F.col("n") - 1) * F.lit(p) for p in probabilities]
     wanted = [rank for place in places for rank in (F.floor(place), F.ceil(place))]
-    chosen = slots.filter(any_of(_holds(rank, "size") for rank in wanted)).select(
-        *part, *slot, "n", F.col("before").alias("start")
+
+    values = _values(df, features, group, steps)
+    value = F.col("value")
+    buckets = values.groupBy(*part, "bucket").agg(
+        F.count(F.lit(1)).alias("size"), F.min(value).alias("low"), F.max(value).alias("high")
     )
-    copies = _join(counted, chosen, [*part, *slot])
-    ordered = _running(copies, [*part, *slot], ["value"], "copies").withColumn(
-        "before", F.col("before") + F.col("start")
+    total = F.sum("size").over(Window.partitionBy(*part))
+    ranked = _running(buckets.withColumn("n", total), part, ["bucket"], "size")
+    chosen, small = settled(ranked.filter(any_of(_holds(r, "size") for r in wanted)), MOST_BUCKETS)
+    if group and group_limit is not None:
+        if len(chosen.select("group").distinct().take(group_limit + 1)) > group_limit:
+            raise ValueError(f"more than {group_limit} groups; pass a larger limit")
+
+    single = F.col("low") == F.col("high")
+    near = chosen.filter(single).select(
+        *part, "n", "before", F.col("size").alias("copies"), F.col("low").alias("value")
     )
-    missed = F.raise_error(F.lit("rank outside its bracket; raise accuracy")).cast("double")
-    exact = F.when(F.col("gap"), missed).otherwise(F.col("value"))
-    found = ordered.groupBy(*part).agg(
+    several = chosen.filter(~single)
+    if not small or not several.isEmpty():
+        several = F.broadcast(several) if small else several
+        near = near.unionByName(_inside(values, several, part, wanted))
+    found = near.groupBy(*part).agg(
         F.max("n").alias("n"),
-        *[
-            F.max(F.when(_holds(rank, "copies"), exact)).alias(f"v{i}")
-            for i, rank in enumerate(wanted)
-        ],
+        *[F.max(F.when(_holds(rank, "copies"), value)).alias(f"v{i}") for i, rank in enumerate(wanted)],
     )
     quantiles = [
         F.col(f"v{2 * j}") + (F.col(f"v{2 * j + 1}") - F.col(f"v{2 * j}")) * (place - F.floor(place))
         for j, place in enumerate(places)
     ]
-    return found.select(*part, "n", F.array(*quantiles).alias("quantiles"))
+    name = F.array(*[F.lit(f) for f in features])[F.col("feature")].alias("feature")
+    return found.select(*part[:-1], name, "n", F.array(*quantiles).alias("quantiles"))
 
 
 def approximate_quantiles(

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from centigram.functions.columns import MAX_GROUPS, bounded, col, present, with_row
+from centigram.functions.columns import col, present, settled, with_row
 from centigram.operators.quantiles import DEFAULT_ACCURACY, approximate_quantiles, exact_quantiles
 from centigram.operators.sampling import first_per_group
 from centigram.schemas import (
@@ -77,19 +77,21 @@ def distribution_by_cluster(
     features=FEATURES,
     cluster: str = CLUSTER,
     accuracy: int = DEFAULT_ACCURACY,
-    group_limit: int | None = MAX_GROUPS,
+    group_limit: int | None = None,
     exact: bool = True,
 ) -> DataFrame:
     """Box-plot table: n, min, quartiles, max, whiskers and outlier count per cluster and feature.
 
-    Quartiles are exact, or from ``approximate_quantiles`` with ``exact=False``.  Whiskers are the outermost values within 1.5 interquartile
-    ranges of the box, and stop at the box if there are none beyond it.  ``group_limit``
-    is that of ``exact_quantiles``.
+    Quartiles are exact, or from ``approximate_quantiles`` with ``exact=False`` and ``accuracy``;
+    they are found when the function is called.  Whiskers are the outermost values within 1.5
+    interquartile ranges of the box, and stop at the box if there are none beyond it.  Up to
+    MAX_GROUPS boxes meet the rows by broadcast, more by a shuffle join.  ``group_limit`` is that
+    of ``exact_quantiles``.
     """
     features = present(df, features)
     quartiles = (0.25, 0.5, 0.75)
     if exact:
-        boxes = exact_quantiles(df, quartiles, features, cluster, accuracy, group_limit)
+        boxes = exact_quantiles(df, quartiles, features, cluster, group_limit=group_limit)
     else:
         boxes = approximate_quantiles(df, quartiles, features, cluster, accuracy)
     # One row per cluster again, to widen the rows without multiplying them.
@@ -100,8 +102,8 @@ def distribution_by_cluster(
         ]
     )
     values = df.select(col(cluster).alias("cluster"), *[col(f) for f in features])
-    if group_limit is not None:
-        wide = F.broadcast(bounded(wide, group_limit))
+    wide, small = settled(wide)
+    wide = F.broadcast(wide) if small else wide
     rows = values.join(wide, values["cluster"].eqNullSafe(wide["group"])).drop("group")
     aggregates = []
     for i, f in enumerate(features):

@@ -4,6 +4,7 @@ The caller owns the session; a job never stops it.
 """
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -49,15 +50,29 @@ class Report:
     sizes: DataFrame
     shares: DataFrame
     samples: DataFrame
-    silhouettes: DataFrame
-    metrics: DataFrame
     detail: DataFrame
     center_table: DataFrame
-    distribution: DataFrame
     density: DataFrame | None
     features: tuple = FEATURES
     scratch: list[str] = field(default_factory=list)
 
+    # These read the scored table when they are made, so they are made when first asked for.
+
+    @cached_property
+    def silhouettes(self) -> DataFrame:
+        scaled = [f"scaled_{f}" for f in self.features]
+        k = clustering.model_size(self.model)
+        return evaluation.silhouette_by_cluster(self.scored, k, scaled)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        overall = evaluation.silhouette_overall(self.silhouettes)
+        return summaries.run_metrics(self.sizes, overall)
+
+    @cached_property
+    def distribution(self) -> DataFrame:
+        return summaries.distribution_by_cluster(self.scored, self.features)
+
     def close(self) -> None:
         """Delete the scratch tables behind the report; its DataFrames end with them."""
         for path in self.scratch:
@@ -90,8 +105,6 @@ def describe(
     samples = summaries.cluster_samples(
         scored.select(*names, *features, CLUSTER), samples_per_cluster
     )
-    silhouettes = evaluation.silhouette_by_cluster(scored, k, scaled)
-    overall = evaluation.silhouette_overall(silhouettes)
     return Report(
         model=model,
         scored=scored,
@@ -99,11 +112,8 @@ def describe(
         sizes=sizes,
         shares=shares,
         samples=samples,
-        silhouettes=silhouettes,
-        metrics=summaries.run_metrics(sizes, overall),
         detail=summaries.cluster_detail(shares, centers, samples, features),
         center_table=summaries.centers_wide(centers, features),
-        distribution=summaries.distribution_by_cluster(scored, features),
         density=summaries.density_2d_by_cluster(scored, *features[:2])
         if len(features) > 1
         else None,

@@ -2,13 +2,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from centigram.operators import quantiles
 from centigram.operators.quantiles import approximate_quantiles, exact_quantiles
 
 PROBABILITIES = (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0)
 
 
-def check(df, features, group, accuracy, group_limit=10_000):
-    rows = exact_quantiles(df, PROBABILITIES, features, group, accuracy, group_limit).collect()
+def check(df, features, group, steps, group_limit=None):
+    rows = exact_quantiles(df, PROBABILITIES, features, group, steps, group_limit).collect()
     data = df.toPandas()
     keys = data[group].unique() if group else [None]
     assert len(rows) == len(keys) * len(features)
@@ -36,20 +37,49 @@ def data(spark):
     )
 
 
-@pytest.mark.parametrize("accuracy", [50, 300, 10_000])
+@pytest.mark.parametrize("steps", [1, 50, 1024, 10_000])
 @pytest.mark.parametrize("group", [None, "cluster"])
-def test_matches_numpy(data, group, accuracy):
-    check(data, ("tail", "hot", "gaps"), group, accuracy)
+def test_matches_numpy(data, group, steps):
+    check(data, ("tail", "hot", "gaps"), group, steps)
 
 
-def test_shuffle_join_variant(data):
-    check(data, ("tail", "hot"), "cluster", 300, group_limit=None)
+def test_shuffle_join_variant(data, monkeypatch):
+    monkeypatch.setattr(quantiles, "MOST_BUCKETS", 3)
+    check(data, ("tail", "hot"), "cluster", 300)
+
+
+def test_single_values_need_one_pass(data):
+    found = exact_quantiles(data, PROBABILITIES, ("hot",), "cluster", steps=1 << 20)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" in plan or "LogicalRDD" in plan
+    assert "InMemoryRelation" not in plan
+    check(data, ("hot",), "cluster", 1 << 20)
+
+
+@pytest.mark.parametrize("low, width", [(1e6, 1e-3), (-1e6, 1e-3), (-1e-300, 1e-300), (-1e300, 2e300)])
+def test_narrow_and_wide_ranges(spark, low, width):
+    df = spark.range(5_000).select((F.lit(low) + F.rand(9) * F.lit(width)).alias("v")).cache()
+    check(df, ("v",), None, 1024)
+
+
+def test_infinities_and_nan_come_in_order(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(v,) for v in (nan, inf, 1.0, -inf, inf)], "v double")
+    values = [exact_quantiles(df, (p,), ("v",)).first()["quantiles"][0] for p in (0.25, 1.0)]
+    assert values[0] == 1.0 and np.isnan(values[1])
+
+
+def test_more_groups_than_are_broadcast(spark):
+    df = spark.range(60_000).select((F.col("id") % 12_000).alias("cluster"), F.col("id").cast("double").alias("v"))
+    rows = exact_quantiles(df, (0.5,), ("v",), "cluster").collect()
+    assert len(rows) == 12_000
+    assert all(r["quantiles"] == [24_000.0 + r["group"]] for r in rows)
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 11])
 def test_small_groups(spark, n):
     df = spark.range(n).select((F.col("id") * F.col("id")).cast("double").alias("v"))
-    check(df, ("v",), None, 10_000)
+    check(df, ("v",), None, 1024)
 
 
 def test_all_equal_and_negative_zero(spark):
@@ -71,9 +101,9 @@ def test_null_group_is_a_group(spark):
 
 def test_too_many_groups_fail_loudly(spark):
     df = spark.range(20).select(F.col("id").alias("cluster"), F.lit(1.0).alias("v"))
-    with pytest.raises(Exception, match="more than 5 groups"):
-        exact_quantiles(df, (0.5,), ("v",), "cluster", group_limit=5).collect()
-    assert exact_quantiles(df, (0.5,), ("v",), "cluster", group_limit=None).count() == 20
+    with pytest.raises(ValueError, match="more than 5 groups"):
+        exact_quantiles(df, (0.5,), ("v",), "cluster", group_limit=5)
+    assert exact_quantiles(df, (0.5,), ("v",), "cluster", group_limit=20).count() == 20
 
 
 @pytest.mark.parametrize("group", [None, "cluster"])
