@@ -13,12 +13,13 @@ follows another character, so a split always falls there and no merge reaches ov
 Encoding span by span between safe places therefore gives exactly the ids of the whole
 text, and the tests compare every id.
 
-Chunks are kept per Python worker, and forgotten when they pass KEEP_BYTES.
-Nothing is shuffled and a lost task is only computed again.
+Chunks are kept for a task, and forgotten when they pass KEEP_BYTES; a worker keeps only the
+vocabulary's tables from task to task.  Nothing is shuffled and a lost task is only computed again.
 """
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import json
 import re
@@ -109,6 +110,15 @@ class Encoder:
         self.chunks[text] = known
         return known
 
+    def forget(self) -> None:
+        """Let go of all chunks, and return freed memory, which a waiting worker would hold."""
+        self.chunks.clear()
+        self.held = 0
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+        if trim:
+            trim(0)
+
     def encode(self, text: str) -> bytes:
         parts, ragged, start = [], "", 0
         for end in [*cut_places(text).tolist(), len(text)]:
@@ -233,10 +243,13 @@ def _run(docs: DataFrame, path: str, columns: str, make: Callable, names: tuple[
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = get()
-        for batch in batches:
-            rows = [make(encoder, decoder, t) for t in batch.column("text").to_pylist()]
-            columns = [rows] if len(names) == 1 else ([*zip(*rows, strict=True)] if rows else [()] * len(names))
-            schema = pa.schema([pa.field("doc_id", batch.column("doc_id").type), *(pa.field(n, kinds.get(n, pa.string())) for n in names)])
-            yield batch_of({"doc_id": batch.column("doc_id")} | dict(zip(names, columns, strict=True)), schema)
+        try:
+            for batch in batches:
+                rows = [make(encoder, decoder, t) for t in batch.column("text").to_pylist()]
+                columns = [rows] if len(names) == 1 else ([*zip(*rows, strict=True)] if rows else [()] * len(names))
+                schema = pa.schema([pa.field("doc_id", batch.column("doc_id").type), *(pa.field(n, kinds.get(n, pa.string())) for n in names)])
+                yield batch_of({"doc_id": batch.column("doc_id")} | dict(zip(names, columns, strict=True)), schema)
+        finally:
+            encoder.forget()
 
     return texts(docs).mapInArrow(each, f"doc_id {key}, {columns}")
