@@ -28,6 +28,10 @@ TOTAL_PERCENT = 150
 MOST_TIMES = 2
 WORD = "[^\\x20\\x09-\\x0D]+"
 
+#: Words that a task which writes drawn documents holds, and pieces of a shard; several pieces meet in a task.
+TASK_WORDS = 4_000_000
+PIECES = 64
+
 BLOCK_DOCS = 256
 SHARD_WORDS = 20_000_000
 BLOCKS_A_GROUP = 1024
@@ -222,20 +226,26 @@ def mix(
 def mixed_documents(docs: DataFrame, mixed: DataFrame, seed: int = SEED) -> DataFrame:
     """The documents as drawn: a row per draw, sharded and shuffled within the shard.
 
-    Equal rows pair off one to one with their plans.
+    Equal rows pair off one to one with their plans.  A shard is dealt to tasks in pieces, each a
+    range of its shuffled order, and the number of tasks follows the words that are drawn, so that
+    a task holds about TASK_WORDS at any size.
     """
     key = ["doc_id", "text_key", "source_key"]
     twin = Window.partitionBy(*key).orderBy(F.lit(0))
+    tasks = -(-(mixed.agg(F.sum("taken")).first()[0] or 0) // TASK_WORDS)
     plans = mixed.withColumn("source_key", F.xxhash64("source")).select(*key, "draws").withColumn("twin", F.row_number().over(twin))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.xxhash64("source").alias("source_key"))
     rows = rows.withColumn("twin", F.row_number().over(twin))
     same = [rows[c].eqNullSafe(plans[c]) for c in (*key, "twin")]
-    drawn = rows.join(plans, same).select("row", rows["doc_id"].alias("id"), F.explode("draws").alias("draw"))
-    shuffled = F.xxhash64("id", "draw.epoch", "draw.shard", F.lit(seed))
+    drawn = rows.join(plans, same).select("row", rows["doc_id"].alias("id"), rows["text_key"].alias("text_key"), rows["twin"].alias("twin"), F.explode("draws").alias("draw"))
+    # Rows without an id, or with one id, have places of their own by their text and number.
+    shuffled = F.xxhash64("id", "text_key", "twin", "draw.epoch", "draw.shard", F.lit(seed))
+    piece = F.floor((F.col("place") / F.lit(float(1 << 64)) + 0.5) * PIECES)
     return (
         drawn.withColumn("shard", F.col("draw.shard"))
         .withColumn("place", shuffled)
-        .repartition("shard")
+        .withColumn("piece", F.least(piece, F.lit(PIECES - 1).cast("long")))
+        .repartition(max(1, tasks), "shard", "piece")
         .sortWithinPartitions("shard", "place", "id")
         .select("row.*")
     )

@@ -134,6 +134,15 @@ def test_mixing(spark, odd):
     assert drawn.count() == sum(len(r.draws) for r in whole.collect())
 
 
+def test_drawn_rows_without_ids_are_dealt_to_many_tasks(spark, monkeypatch):
+    """Equal rows without an id would all have one place if it were a hash of the id."""
+    monkeypatch.setattr(mixing, "TASK_WORDS", 500)
+    docs = spark.range(4_000).selectExpr("cast(null as long) doc_id", "'one' source", "'two words' text", "9 n_chars")
+    drawn = mixing.mixed_documents(docs, mixing.mix(docs, whole_documents=True))
+    sizes = [n for n in drawn.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert sum(sizes) == 6_000 and len(sizes) > 8 and max(sizes) < 1_500
+
+
 def test_scoring(spark, odd):
     rows = scoring.score(odd, block_bytes=1000).collect()
     assert len(rows) == odd.count()
