@@ -4,7 +4,9 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import functions as F
 
 from centigram.operators import clustering, evaluation, summaries
+from centigram.operators.points import BLOCK, row_blocks
 from centigram.operators.scaling import vector_columns
+from centigram.plans import jobs
 from centigram.schemas import CENTERS
 
 XY = ("x", "y")
@@ -127,6 +129,30 @@ def test_center_ids_outside_the_range_fail(spark, numbers):
         clustering.assign_to_centers(numbers([("a", 0, 1.0, 1.0)]), centers, 3, XY).collect()
 
 
+def test_rows_without_a_value_belong_nowhere(spark, numbers):
+    rows = [("a", 0, 1.0, 1.0), ("b", 0, None, 1.0), ("c", 1, 5.0, 5.0), ("d", 1, 6.0, 5.0), ("e", 0, 1.5, 1.0)]
+    df = numbers(rows)
+    centers = spark.createDataFrame([(c, f, v) for c, v in ((0, 1.0), (2, 5.0)) for f in XY], CENTERS)
+    lame = centers.unionByName(spark.createDataFrame([(1, "x", 1.0)], CENTERS))
+    near = {r["code"]: (r["cluster"], r["distance"]) for r in clustering.assign_to_centers(df, lame, 3, XY).collect()}
+    assert near == {"a": (0, 0.0), "b": (None, None), "c": (2, 0.0), "d": (2, 1.0), "e": (0, 0.5)}
+    nowhere = clustering.assign_to_centers(df, centers.limit(0), 3, XY).collect()
+    assert {(r["cluster"], r["distance"]) for r in nowhere} == {(None, None)}
+    scores = {r["code"]: r["silhouette"] for r in evaluation.silhouette_rows(df, 2, XY).collect()}
+    assert scores.pop("b") is None and all(-1 <= s <= 1 for s in scores.values())
+    assert evaluation.silhouette_rows(df.limit(0), 2, XY).count() == 0
+    with pytest.raises(ValueError, match="cluster id outside"):
+        evaluation.silhouette_rows(numbers([("a", None, 1.0, 1.0)]), 2, XY)
+
+
+@pytest.mark.parametrize("clusters", [1, 7, BLOCK, 3 * BLOCK])
+def test_blocks_cover_all_rows_and_stay_small(clusters):
+    rows = 1_000 if clusters > 7 else 2 * BLOCK
+    places = [range(rows)[s] for s in row_blocks(rows, clusters)]
+    assert [i for part in places for i in part] == list(range(rows))
+    assert max(len(part) for part in places) <= max(1, BLOCK // clusters)
+
+
 def test_silhouette_equals_the_evaluator(spark, blobs):
     model = clustering.fit(blobs, XY, k=3)
     scored = vector_columns(clustering.score(model, blobs), XY)
@@ -165,6 +191,13 @@ def test_one_cluster_has_no_silhouette(numbers, k):
     assert evaluation.silhouette_overall(by_cluster).first()["silhouette"] is None
 
 
+def test_report_tables_run_nothing_before_they_are_asked_for(spark, blobs):
+    report = jobs.describe(clustering.fit(blobs, XY, k=3), blobs)
+    assert not {"silhouettes", "metrics", "distribution"} & set(vars(report))
+    assert report.distribution.count() == 6 and report.distribution is report.distribution
+    report.close()
+
+
 def test_plans_do_not_grow_with_the_clusters(spark, numbers):
     df = numbers([("a", 0, 1.0, 1.0), ("b", 1, 2.0, 2.0)])
     centers = spark.createDataFrame([(0, "x", 1.0), (0, "y", 1.0)], CENTERS)
