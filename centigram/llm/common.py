@@ -103,30 +103,20 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     """(node, component): the smallest node that each node reaches over edges (a, b).
 
     Labels fall along the edges and then along themselves (a label takes its own label's
-    label), so that paths halve each round.  Minima are taken by partial aggregation; a node
-    with very many neighbours stays one row a task.  The nodes' table is stored each round.
+    label), so that paths halve each round.  Every node hears itself too, which brings its old
+    label along without another join; the labels serve both joins of a round from one shuffle.
+    Minima are taken by partial aggregation; a node with very many neighbours stays one row a
+    task.  The nodes' table is stored each round.
     """
-    both = cut(
-        edges.select("a", "b")
-        .where("a <> b")
-        .select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
-        .select("e.*")
-        .distinct()
-    )
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("component")))
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")), F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))
+    both = cut(edges.select("a", "b").where("a <> b").select(F.explode(ends).alias("e")).select("e.*").distinct())
+    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")))
     for _ in range(limit):
-        heard = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("heard"))
-        )
-        lower = labels.join(heard, "node").select("node", F.col("component").alias("old"), F.least("component", "heard").alias("component"))
-        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        after = cut(
-            lower.join(jump, "component", "left").select(
-                "node", "old", F.least("component", "further").alias("component")
-            )
+        named = labels.select(F.col("node").alias("b"), "component")
+        heard = both.join(named, "b").groupBy(F.col("a").alias("node")).agg(
+            F.min("component").alias("b"), F.max(F.when(F.col("a") == F.col("b"), F.col("component"))).alias("old")
         )
+        after = cut(heard.join(named, "b").select("node", "old", "component"))
         labels = after.select("node", "component")
         if after.where("component <> old").isEmpty():
             return labels

@@ -47,6 +47,8 @@ SMALL = 4
 HOT_ROWS = 50_000
 #: Shares of the open pairs compared in each round, one in so many; the last takes all that are left.
 ROUNDS = (16, 1)
+#: Open pairs, bounded by their lists' sizes, that the last round takes without rounds before it.
+AT_ONCE = 2_000_000
 #: Bits of the filter that keeps candidate classes when texts are read again.
 FILTER_BITS = 1 << 23
 #: Words whose hashes a task keeps.
@@ -427,21 +429,32 @@ def linked(docs: DataFrame, pairs: DataFrame, heads: DataFrame, order: Callable[
     return total.select("a", "b")
 
 
-def crossing(members: DataFrame, labels: DataFrame, part: int = 1, percent: int = PERCENT) -> DataFrame:
-    """Pairs of one list in different components: members outside its largest with all others.
+def open_lists(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
+    """The members of lists in several components, with their component and their list's largest one.
 
-    With part > 1 a hash picks one such pair in so many, to join components cheaply before the
-    rest is compared.
+    The number bounds the pairs that `crossing` can make of them, all lists together.
     """
     member = members.join(labels.select(F.col("node").alias("sig"), "component"), "sig", "left").withColumn(
         "component", F.coalesce("component", "sig")
     )
     per = member.groupBy("h", "component").agg(F.count(F.lit(1)).alias("m"))
-    # Stored, so that the join below is between plain tables and Spark can split a long list's partition.
-    split = cut(per.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.max_by("component", F.struct("m", "component")).alias("main")).where("kinds > 1"))
-    open_lists = cut(member.join(split.select("h", "main"), "h"))
-    few = open_lists.where("component <> main").select("h", F.col("sig").alias("s1"), F.col("n").alias("n1"), F.col("rest").alias("r1"), F.col("component").alias("c1"))
-    every = open_lists.select("h", F.col("sig").alias("s2"), F.col("n").alias("n2"), F.col("rest").alias("r2"), F.col("component").alias("c2"))
+    # Stored, so that later joins are between plain tables and Spark can split a long list's partition.
+    per = per.groupBy("h").agg(
+        F.count(F.lit(1)).alias("kinds"), F.sum("m").alias("size"), F.max("m").alias("most"), F.max_by("component", F.struct("m", "component")).alias("main")
+    )
+    split = cut(per.where("kinds > 1"))
+    bound = split.agg(F.sum((F.col("size") - F.col("most")).cast("double") * F.col("size"))).first()[0] or 0
+    return cut(member.join(split.select("h", "main"), "h")), int(bound)
+
+
+def crossing(opened: DataFrame, part: int = 1, percent: int = PERCENT) -> DataFrame:
+    """Pairs of one open list in different components: members outside its largest with all others.
+
+    With part > 1 a hash picks one such pair in so many, to join components cheaply before the
+    rest is compared.
+    """
+    few = opened.where("component <> main").select("h", F.col("sig").alias("s1"), F.col("n").alias("n1"), F.col("rest").alias("r1"), F.col("component").alias("c1"))
+    every = opened.select("h", F.col("sig").alias("s2"), F.col("n").alias("n2"), F.col("rest").alias("r2"), F.col("component").alias("c2"))
     near = enough(F.least("r1", "r2"), F.col("n1"), F.col("n2"), percent)
     return (
         few.join(every, "h")
@@ -451,7 +464,7 @@ def crossing(members: DataFrame, labels: DataFrame, part: int = 1, percent: int
     )
 
 
-def groups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL, cells: int = CELLS, hot: int = HOT_ROWS) -> DataFrame:
+def groups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL, cells: int = CELLS, hot: int = HOT_ROWS, at_once: int = AT_ONCE) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id reachable by links) of every document.
 
     Words fold A-Z; a text of fewer than five words has its whole sequence as one shingle; a
@@ -473,14 +486,23 @@ def groups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL, cells: i
     members = cut(met.where("b IS NULL").select(F.col("a").alias("sig"), "h", "n", "rest").distinct())
 
     links = linked(docs, pairs, heads, lambda: order.value, percent=percent)
-    labels = components(links)
+    labels, opened = components(links), None
     for part in ROUNDS:
-        more = cut(crossing(members, labels, part, percent).join(pairs, ["a", "b"], "left_anti"))
+        # Lists stay as they are while no link joins two components.
+        if opened is None:
+            opened, bound = open_lists(members, labels)
+        if not bound:
+            break
+        if part > 1 and bound <= at_once:
+            continue
+        more = cut(crossing(opened, part, percent).join(pairs, ["a", "b"], "left_anti"))
         if more.isEmpty():
             continue
-        links = cut(links.union(linked(docs, more, heads, lambda: order.value, percent=percent)))
-        labels = components(links)
         pairs = pairs.union(more)
+        fresh = linked(docs, more, heads, lambda: order.value, percent=percent)
+        if not fresh.isEmpty():
+            links = links.union(fresh)
+            labels, opened = components(links), None
     named = heads.join(labels.select(F.col("node").alias("sig"), F.col("component").alias("class")), "sig", "left")
     named = named.select("sig", "head", F.coalesce("class", "sig").alias("class"))
     least = named.groupBy("class").agg(F.min("head").alias("least"))

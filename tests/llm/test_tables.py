@@ -82,6 +82,25 @@ def test_jaccard_with_long_and_salted_lists(spark):
         assert got == want
 
 
+def jobs_of(spark, make):
+    """How many jobs make() runs, and what it returns."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.range(1).count()
+    before = max(tracker.getJobIdsForGroup(None))
+    out = make()
+    spark.range(1).count()
+    return max(tracker.getJobIdsForGroup(None)) - before, out
+
+
+def test_few_open_pairs_take_one_round(spark):
+    docs = table(spark, SMALL, "documents")
+    rows = lambda **kw: sorted((r.doc_id, r.component_id) for r in jaccard.groups(docs, small=1, hot=3, **kw).collect())
+    jobs, got = jobs_of(spark, rows)
+    in_rounds, same = jobs_of(spark, lambda: rows(at_once=0))
+    assert got == same
+    assert jobs < in_rounds and jobs <= 70  # 85 when every round joined anew
+
+
 def test_overlaps_are_sums_over_fragments(spark):
     docs = table(spark, SMALL, "documents")
     found = jaccard.scan(docs).cache()
