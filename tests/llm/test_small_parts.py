@@ -157,6 +157,18 @@ def test_rules_and_ranking_separate_what_can_be_separated():
     assert ranking.fit(x[:0], np.zeros(0, int)).threshold == 0
 
 
+def test_ranking_weighs_all_pairs():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, len(stats.RATIOS)))
+    good = (x[:, 1] + x[:, 3] + rng.normal(size=400) > 0).astype(int)
+    ranker = ranking.fit(x, good)
+    z = ranking.design(x, np.array(ranker.centre), np.array(ranker.scale))
+    ahead = z[good == 1][:, None] - z[good == 0]
+    p = 1 / (1 + np.exp(ahead @ np.array(ranker.weights)))
+    gradient = ranking.RIDGE * np.array(ranker.weights) - (ahead * p[..., None]).mean(axis=(0, 1))
+    assert np.abs(gradient).max() < 1e-3
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
