@@ -104,7 +104,7 @@ def csv_scan(spark, folder):
 @query
 def json_scan(spark, folder):
     path = scratch_path(spark, "products-json")
-    nested_products(spark, folder).write.json(path)
+    nested_products(spark, folder).write.json(path, compression="gzip")
     return prepare_features(read_products(spark, path, "json", schema=RAW_PRODUCTS))
 
 
