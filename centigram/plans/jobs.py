@@ -49,15 +49,24 @@ class Report:
     centers: DataFrame
     sizes: DataFrame
     shares: DataFrame
-    samples: DataFrame
-    detail: DataFrame
     center_table: DataFrame
     density: DataFrame | None
     features: tuple = FEATURES
+    samples_per_cluster: int = DEFAULT_SAMPLES_PER_CLUSTER
     scratch: list[str] = field(default_factory=list)
 
     # These read the scored table when they are made, so they are made when first asked for.
 
+    @cached_property
+    def samples(self) -> DataFrame:
+        names = [c for c in (KEY, NAME) if c in self.scored.columns]
+        rows = self.scored.select(*names, *self.features, CLUSTER)
+        return summaries.cluster_samples(rows, self.samples_per_cluster)
+
+    @cached_property
+    def detail(self) -> DataFrame:
+        return summaries.cluster_detail(self.shares, self.centers, self.samples, self.features)
+
     @cached_property
     def silhouettes(self) -> DataFrame:
         scaled = [f"scaled_{f}" for f in self.features]
@@ -102,22 +111,18 @@ def describe(
     centers = clustering.model_centers(spark, model)
     sizes = summaries.cluster_sizes(scored, k)
     shares = summaries.cluster_share(sizes)
-    samples = summaries.cluster_samples(
-        scored.select(*names, *features, CLUSTER), samples_per_cluster
-    )
     return Report(
         model=model,
         scored=scored,
         centers=centers,
         sizes=sizes,
         shares=shares,
-        samples=samples,
-        detail=summaries.cluster_detail(shares, centers, samples, features),
         center_table=summaries.centers_wide(centers, features),
         density=summaries.density_2d_by_cluster(scored, *features[:2])
         if len(features) > 1
         else None,
         features=tuple(features),
+        samples_per_cluster=samples_per_cluster,
         scratch=[] if scored_path else [path],
     )
 

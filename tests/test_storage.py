@@ -326,6 +326,17 @@ def test_train_report(spark, products):
     assert report.detail.count() == 15
 
 
+def test_report_takes_samples_when_asked(spark, products, monkeypatch):
+    taken = []
+    sampled = jobs.summaries.cluster_samples
+    monkeypatch.setattr(jobs.summaries, "cluster_samples", lambda *a: taken.append(a) or sampled(*a))
+    report = jobs.train_report(products, k=3, samples_per_cluster=2)
+    assert report.metrics.count() == 1 and not taken
+    assert report.samples.groupBy("cluster").count().where("count > 2").isEmpty()
+    assert report.detail.count() == report.samples.count() and len(taken) == 1
+    report.close()
+
+
 def test_train_report_with_fewer_points_than_clusters(spark, raw):
     same = raw(*[(str(i), ["p"], [("fat", 1.0)]) for i in range(10)])
     report = jobs.train_report(same, k=5)
