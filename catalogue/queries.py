@@ -351,13 +351,22 @@ def silhouette_overall(spark, folder):
     return rounded(evaluation.silhouette_overall(by_cluster), ["silhouette"])
 
 
-def by_first_code(rows: DataFrame, scored: DataFrame) -> DataFrame:
-    """``rows`` with the clusters of ``scored`` renumbered by their lowest code."""
-    first = scored.groupBy("cluster").agg(F.min("code").alias("first"))
-    ids = first.agg(F.array_sort(F.collect_list("first")).alias("firsts")).scalar()
-    number = (F.array_position(ids, F.col("first")) - 1).cast("int")
-    names = first.select("cluster", number.alias("number"))
-    return rows.join(names, "cluster").drop("cluster").withColumnRenamed("number", "cluster")
+def by_first_code(rows: DataFrame, scored: DataFrame, k: int = 3) -> DataFrame:
+    """``rows`` with the clusters of ``scored`` renumbered by their lowest code.
+
+    One aggregate row holds all lowest codes: no grouping, which would sort the table for a
+    minimum of texts, and no join by cluster, which would deal the rows to ``k`` tasks.
+    """
+    codes = F.array(*[F.min(F.when(F.col("cluster") == i, F.col("code"))) for i in range(k)])
+    firsts = scored.agg(codes.alias("firsts"))
+    places = F.transform("firsts", lambda c: F.array_position(F.array_sort(F.array_compact("firsts")), c) - 1)
+    numbers = firsts.select(places.cast("array<int>").alias("numbers")).scalar()
+    renamed = rows.drop("cluster").columns
+    return (
+        rows.withColumn("_number", F.get(numbers, F.col("cluster")))
+        .where(F.col("_number").isNotNull())
+        .select(*[col(c) for c in renamed], F.col("_number").alias("cluster"))
+    )
 
 
 @query

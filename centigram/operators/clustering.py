@@ -40,6 +40,10 @@ SCALER_MODELS = {
 }
 
 
+# Rows of the table behind the points of one k-means task; about 100 MB if all are distinct.
+TASK_ROWS = 500_000
+
+
 @dataclass(frozen=True)
 class Signature:
     """What a fitted model reads and in which order, how it scales, and how many centres it has."""
@@ -76,9 +80,12 @@ def weighted_points(df: DataFrame, features=FEATURES, partitions: int | None = N
 
     Equal rows are merged before the shuffle, so a vector shared by a third of the table
     is one point.  The layout depends only on the points and ``partitions``: k-means draws
-    its first centres by partition, so a fixed layout makes a seed repeatable.
+    its first centres by partition, so a fixed layout makes a seed repeatable.  By default they
+    are the session's shuffle partitions, or more, so that a task's points do not grow with the table.
     """
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not partitions:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(least, -(-df.count() // TASK_ROWS))
     columns = [col(f) for f in features]
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
     # Spread by a derived key: repartitioning by the grouping columns themselves would be

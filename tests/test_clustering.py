@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import functions as F
 
+from catalogue.queries import by_first_code
 from centigram.operators import clustering, evaluation, summaries
 from centigram.operators.points import BLOCK, row_blocks
 from centigram.operators.scaling import vector_columns
@@ -210,3 +211,21 @@ def test_plans_do_not_grow_with_the_clusters(spark, numbers):
         lambda k: clustering.assign_to_centers(df, centers, k, XY),
     ):
         assert size(make(5)) == size(make(300))
+
+
+def test_points_of_a_task_do_not_grow_with_the_table(blobs, monkeypatch):
+    monkeypatch.setattr(clustering, "TASK_ROWS", 100)
+    points = clustering.weighted_points(blobs, XY)
+    assert points.rdd.getNumPartitions() == 5
+    assert points.count() == 301
+    assert clustering.weighted_points(blobs, XY, 3).rdd.getNumPartitions() == 3
+
+
+def test_renumbering_neither_joins_nor_shuffles_the_rows(spark):
+    scored = spark.createDataFrame([("c", 0), ("b", 2), ("d", 0), ("a", 2)], "code string, cluster int")
+    rows = spark.createDataFrame([(0, "x"), (2, "y"), (2, "z"), (1, "not scored")], "cluster int, v string")
+    found = by_first_code(rows, scored)
+    assert found.columns == ["v", "cluster"]
+    assert sorted(tuple(r) for r in found.collect()) == [("x", 1), ("y", 0), ("z", 0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "hashpartitioning(cluster" not in plan
