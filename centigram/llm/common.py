@@ -106,11 +106,12 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     label), so that paths halve each round.  Every node hears itself too, which brings its old
     label along without another join; the labels serve both joins of a round from one shuffle.
     Minima are taken by partial aggregation; a node with very many neighbours stays one row a
-    task.  The nodes' table is stored each round.
+    task.  The nodes' table is stored each round; the edges are read again, so pass stored ones.
     """
     ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")), F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))
-    both = cut(edges.select("a", "b").where("a <> b").select(F.explode(ends).alias("e")).select("e.*").distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")))
+    # Repeated edges do no harm to minima, so neither they nor the first labels cost a query of their own.
+    both = edges.select("a", "b").where("a <> b").select(F.explode(ends).alias("e")).select("e.*")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     for _ in range(limit):
         named = labels.select(F.col("node").alias("b"), "component")
         heard = both.join(named, "b").groupBy(F.col("a").alias("node")).agg(

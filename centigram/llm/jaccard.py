@@ -392,12 +392,18 @@ def fragments(docs: DataFrame, wanted: Callable[[], np.ndarray], order: Callable
     return keyed.mapInArrow(read, "sig long, fragment int, hashes array<long>, later int")
 
 
-def partial_overlaps(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """pairs with `here`, the overlap in one fragment, both sides' sizes in it, and `later_a` and `later_b`."""
+def partial_overlaps(pairs: DataFrame, rows: DataFrame, sides: tuple[str, str] = ("a", "b")) -> DataFrame:
+    """pairs with `here`, the overlap in one fragment, both sides' sizes in it, and `later_a` and `later_b`.
+
+    Sides are joined in the order given; the result is dealt by the last one.
+    """
     a = rows.select(F.col("sig").alias("a"), F.col("hashes").alias("x"), F.col("later").alias("later_a"))
     b = rows.select(F.col("sig").alias("b"), F.col("hashes").alias("y"), F.col("later").alias("later_b"))
     here = [F.size(F.array_intersect("x", "y")).alias("here"), F.size("x").alias("here_a"), F.size("y").alias("here_b")]
-    met = pairs.join(a, "a").join(b, "b").select(*pairs.columns, *here, "later_a", "later_b")
+    met = pairs
+    for side in sides:
+        met = met.join({"a": a, "b": b}[side], side)
+    met = met.select(*pairs.columns, *here, "later_a", "later_b")
     # A class that came more than once came alike each time.
     return met.groupBy(*pairs.columns).agg(*(F.max(c).alias(c) for c in ("here", "here_a", "here_b", "later_a", "later_b")))
 
@@ -419,14 +425,17 @@ def linked(docs: DataFrame, pairs: DataFrame, heads: DataFrame, order: Callable[
     stored = spark.read.schema("sig long, hashes array<long>, later int, fragment int").parquet(path)
     total = pairs.select("a", "b").withColumn("both", F.lit(0))
     for k in range(count):
-        partial = partial_overlaps(total, stored.where(F.col("fragment") == k)).withColumn("both", F.col("both") + F.col("here"))
+        # The pairs left after a fragment lie by its last side, with which the next one begins: one query and one shuffle less.
+        sides = ("b", "a") if k % 2 else ("a", "b")
+        partial = partial_overlaps(total, stored.where(F.col("fragment") == k), sides).withColumn("both", F.col("both") + F.col("here"))
         # The first fragment tells both sets' whole sizes.
         size = F.col("here_a") + F.col("later_a") + F.col("here_b") + F.col("later_b") if k == 0 else F.col("size")
         partial = partial.withColumn("size", size.cast("long"))
         most = F.col("both") + F.least("later_a", "later_b")
-        total = cut(partial.where(most * (100 + percent) >= percent * F.col("size")).select("a", "b", "size", "both"))
+        total = partial.where(most * (100 + percent) >= percent * F.col("size")).select("a", "b", "size", "both")
+    links = cut(total.select("a", "b"))
     discard(spark, path)
-    return total.select("a", "b")
+    return links
 
 
 def open_lists(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
@@ -479,11 +488,13 @@ def groups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL, cells: i
     classes = found.where("sig IS NOT NULL").select("doc_id", "n", "sig")
     sketch = summed(found.where("slice IS NOT NULL"), cells)
     order = spark.sparkContext.broadcast((ranks(sketch), salts(sketch, hot), boundaries(sketch)))  # fixed size
-    heads = cut(classes.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("head"), F.max("n").alias("n")))
+    # Not stored: it is joined by sig each time, and so comes with the shuffle that the join needs.
+    heads = classes.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("head"), F.max("n").alias("n"))
 
     met = cut(lists(prefixes(docs, lambda: order.value, percent), percent, small, hot))
     pairs = cut(met.where("b IS NOT NULL").select("a", "b").distinct())
-    members = cut(met.where("b IS NULL").select(F.col("a").alias("sig"), "h", "n", "rest").distinct())
+    # A list read in pieces may tell a member twice, which costs a comparison at most.
+    members = met.where("b IS NULL").select(F.col("a").alias("sig"), "h", "n", "rest")
 
     links = linked(docs, pairs, heads, lambda: order.value, percent=percent)
     labels, opened = components(links), None

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from centigram.llm import bpe, chat, html, jaccard, mixing, neighbours, pii, ranking, rules, scoring
+from centigram.llm.common import components
 from centigram.llm.queries import table, tokenizer_path
 from test_small_parts import plain_spans
 
@@ -102,6 +103,21 @@ def test_few_open_pairs_take_one_round(spark):
     assert jobs < in_rounds and jobs <= 70  # 85 when every round joined anew
 
 
+def test_components_of_a_path_and_a_star_in_few_jobs(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)]
+    edges += edges[:7] + [(5, 5)]  # repeated ones and a loop are harmless
+    stored = spark.createDataFrame(edges, "a long, b long").checkpoint()
+    jobs, got = jobs_of(spark, lambda: {(r.node, r.component) for r in components(stored).collect()})
+    assert got == {(i, 0 if i < 100 else 100) for i in [*range(41), *range(100, 160)]}
+    assert jobs <= 44  # 46 when ends and first labels were stored by themselves
+
+
+def test_near_copies_take_fewer_jobs(spark):
+    docs = table(spark, SMALL, "documents")
+    jobs, _ = jobs_of(spark, lambda: jaccard.groups(docs, small=1, hot=3).collect())
+    assert jobs <= 60  # 64 with a query for each fragment, and members, heads and ends stored
+
+
 def test_overlaps_are_sums_over_fragments(spark):
     docs = table(spark, SMALL, "documents")
     found = jaccard.scan(docs).cache()
