@@ -47,8 +47,6 @@ class Report:
     model: PipelineModel
     scored: DataFrame
     centers: DataFrame
-    sizes: DataFrame
-    shares: DataFrame
     center_table: DataFrame
     density: DataFrame | None
     features: tuple = FEATURES
@@ -56,12 +54,28 @@ class Report:
     scratch: list[str] = field(default_factory=list)
 
     # These read the scored table when they are made, so they are made when first asked for.
+    # Sizes, samples and silhouettes have a few rows per cluster and serve other tables too, so
+    # they are stored: each of them then reads the scored table for one use only.
+
+    def _kept(self, name: str, rows: DataFrame) -> DataFrame:
+        path = scratch_path(self.scored.sparkSession, name)
+        self.scratch.append(path)
+        return stored(rows, path)
+
+    @cached_property
+    def sizes(self) -> DataFrame:
+        k = clustering.model_size(self.model)
+        return self._kept("sizes", summaries.cluster_sizes(self.scored, k))
+
+    @cached_property
+    def shares(self) -> DataFrame:
+        return summaries.cluster_share(self.sizes)
 
     @cached_property
     def samples(self) -> DataFrame:
         names = [c for c in (KEY, NAME) if c in self.scored.columns]
         rows = self.scored.select(*names, *self.features, CLUSTER)
-        return summaries.cluster_samples(rows, self.samples_per_cluster)
+        return self._kept("samples", summaries.cluster_samples(rows, self.samples_per_cluster))
 
     @cached_property
     def detail(self) -> DataFrame:
@@ -71,7 +85,7 @@ class Report:
     def silhouettes(self) -> DataFrame:
         scaled = [f"scaled_{f}" for f in self.features]
         k = clustering.model_size(self.model)
-        return evaluation.silhouette_by_cluster(self.scored, k, scaled)
+        return self._kept("silhouettes", evaluation.silhouette_by_cluster(self.scored, k, scaled))
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -107,16 +121,11 @@ def describe(
     columns = vector_columns(clustering.score(model, prepared), features)
     scored = stored(columns.select(*names, *features, *scaled, CLUSTER), path)
 
-    k = signed.size
     centers = clustering.model_centers(spark, model)
-    sizes = summaries.cluster_sizes(scored, k)
-    shares = summaries.cluster_share(sizes)
     return Report(
         model=model,
         scored=scored,
         centers=centers,
-        sizes=sizes,
-        shares=shares,
         center_table=summaries.centers_wide(centers, features),
         density=summaries.density_2d_by_cluster(scored, *features[:2])
         if len(features) > 1

@@ -513,6 +513,21 @@ def test_json_products(spark, products, tmp_path):
     assert back.exceptAll(products).count() == 0
 
 
+def test_report_reads_the_scored_table_once_for_each_small_table(spark, products):
+    report = jobs.train_report(products, k=2)
+    made = {name: getattr(report, name) for name in ("metrics", "detail", "shares", "sizes", "samples", "silhouettes")}
+    for table in made.values():
+        assert not any(f"{report.scratch[0]}/" in f for f in table.inputFiles())
+    assert {r["cluster"]: r["size"] for r in made["sizes"].collect()} == {
+        r["cluster"]: r["count"] for r in report.scored.groupBy("cluster").count().collect()
+    }
+    assert made["detail"].count() == made["samples"].count() > 0
+    assert made["metrics"].first()["cluster_count"] == 2
+    paths = list(report.scratch)
+    report.close()
+    assert len(paths) == 4 and not any(Path(p.removeprefix("file:")).exists() for p in paths)
+
+
 def test_save_report(spark, products, tmp_path):
     report = jobs.train_report(products, k=2)
     jobs.save_report(report, str(tmp_path / "saved"))
