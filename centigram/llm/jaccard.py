@@ -51,46 +51,124 @@ ROUNDS = (16, 1)
 AT_ONCE = 2_000_000
 #: Bits of the filter that keeps candidate classes when texts are read again.
 FILTER_BITS = 1 << 23
-#: Words whose hashes a task keeps.
-HELD_WORDS = 400_000
+#: Text bytes whose words and shingles are hashed at once, or one longer text: what a core's cache holds.
+PIECE_BYTES = 1 << 18
+#: Words of so many bytes or fewer are hashed together, eight bytes at a time.
+SHORT_WORD = 64
+#: Rows of lists that are compared at once.
+LIST_ROWS = 20_000
+#: Lower case for A-Z, one kind of white space.
+FOLD = bytes.maketrans(bytes(range(65, 91)) + bytes(range(9, 14)), bytes(range(97, 123)) + b" " * 5)
 
 
 class Shingler:
-    """Sorted distinct 64-bit hashes of a text's shingles."""
+    """Sorted distinct 64-bit hashes of texts' shingles."""
 
     def __init__(self, width: int = WORDS) -> None:
-        self.words: dict[bytes, int] = {}
         self.width = width
         self.odd = mix64(np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
     def __call__(self, text: bytes) -> np.ndarray:
-        held = self.words
-        if len(held) > HELD_WORDS:
-            held.clear()
-        row = []
-        for w in text.lower().split():
-            h = held.get(w)
-            if h is None:
-                h = held[w] = xxhash.xxh3_64_intdigest(w)
-            row.append(h)
-        if not row:
-            return np.zeros(0, np.uint64)
-        h = np.array(row, np.uint64)
-        n = len(h) - self.width + 1
-        if n < 1:  # the whole sequence is its one shingle; its length tells it from others
-            total = np.uint64(len(h))
-            for k in range(len(h)):
-                total = mix64(total ^ (h[k : k + 1] * self.odd[k]))[0]
-            return np.array([total], np.uint64)
-        total = h[:n] * self.odd[0]
-        for k in range(1, self.width):
-            total = mix64(total) + h[k : k + n] * self.odd[k]
-        return np.unique(mix64(total))
+        return self.sets([text])[0]
+
+    def sets(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The sets of many texts behind each other, and where each ends (from the second entry; the first is 0)."""
+        hashes, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+        start, held = 0, 0
+        for k, text in enumerate(found):
+            held += len(text)
+            if held >= PIECE_BYTES or k == len(found) - 1:
+                h, size = self._piece(found[start : k + 1])
+                hashes.append(h)
+                sizes.append(size)
+                start, held = k + 1, 0
+        return np.concatenate(hashes), np.cumsum(np.concatenate(sizes))
+
+    def _piece(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        words, count = word_hashes(found)
+        last = np.cumsum(count)
+        first = last - count
+        total = np.zeros(len(words), np.uint64)
+        if len(words) >= self.width:
+            n = len(words) - self.width + 1
+            rolled = words[:n] * self.odd[0]
+            for k in range(1, self.width):
+                rolled = mix64(rolled) + words[k : k + n] * self.odd[k]
+            total[:n] = mix64(rolled)
+        # A shingle that would run into the next text is none.
+        whole = np.repeat(last, count) - np.arange(len(words)) >= self.width
+        few = np.flatnonzero((count > 0) & (count < self.width))
+        if len(few):  # the whole sequence is its one shingle; its length tells it from others
+            one = count[few].astype(np.uint64)
+            for k in range(self.width - 1):
+                has = count[few] > k
+                one[has] = mix64(one[has] ^ (words[first[few[has]] + k] * self.odd[k]))
+            total[first[few]] = one
+            whole[first[few]] = True
+        hashes = total[whole]
+        ends = np.concatenate([[0], np.cumsum(np.where(count < self.width, count > 0, count - self.width + 1))])
+        for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            hashes[s:e].sort()
+        fresh = np.ones(len(hashes), bool)
+        fresh[1:] = hashes[1:] != hashes[:-1]
+        fresh[ends[:-1][ends[:-1] < ends[1:]]] = True
+        return hashes[fresh], np.diff(np.concatenate([[0], np.cumsum(fresh)])[ends])
+
+
+def word_hashes(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of texts in their order, and each text's number of words."""
+    data = b" ".join(found).translate(FOLD)
+    held = np.frombuffer(data + b" " * 8, np.uint8)
+    word = np.zeros(len(data) + 2, bool)
+    word[1:-1] = held[: len(data)] != 32
+    edge = np.flatnonzero(word[1:] != word[:-1])
+    start, end = edge[::2], edge[1::2]
+    size = end - start
+    # Eight bytes from every place on; those past a word's end are masked.
+    eight = np.ndarray((len(held) - 7,), "<u8", held, 0, (1,))
+    out = mix64(size.astype(np.uint64))
+    k, more = 0, np.flatnonzero(size <= SHORT_WORD)
+    while len(more):
+        left = np.minimum(size[more] - k, 8).astype(np.uint64)
+        out[more] = mix64(out[more] ^ (eight[start[more] + k] & (np.uint64(2**64 - 1) >> (np.uint64(64) - np.uint64(8) * left))))
+        k += 8
+        more = more[size[more] > k]
+    for j in np.flatnonzero(size > SHORT_WORD).tolist():
+        out[j] = xxhash.xxh3_64_intdigest(data[start[j] : end[j]])
+    begins = np.cumsum([0] + [len(x) + 1 for x in found])
+    return out, np.diff(np.searchsorted(start, begins))
 
 
 def signature(hashes: np.ndarray) -> int:
     """A 64-bit hash of the whole set, as a signed integer."""
-    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
+    return xxhash.xxh3_64_intdigest(hashes.data) - (1 << 63)
+
+
+def signatures(hashes: np.ndarray, ends: np.ndarray) -> list[int]:
+    return [signature(hashes[s:e]) for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+def firsts(sigs: list[int], ends: np.ndarray, seen: set[int]) -> list[int]:
+    """Places of the sets with words that were not seen before; they are seen then."""
+    out = []
+    for k, (s, size) in enumerate(zip(sigs, np.diff(ends).tolist(), strict=True)):
+        if size and s not in seen:
+            seen.add(s)
+            out.append(k)
+    return out
+
+
+def parts_of(ends: np.ndarray, places: list[int]) -> np.ndarray:
+    """Which hashes belong to the sets at these places."""
+    mine = np.zeros(len(ends) - 1, bool)
+    mine[places] = True
+    return np.repeat(mine, np.diff(ends))
+
+
+def cells_of(hashes: np.ndarray, cells: int) -> np.ndarray:
+    if cells & (cells - 1):
+        return (hashes % np.uint64(cells)).astype(np.int64)
+    return (hashes & np.uint64(cells - 1)).astype(np.int64)  # the same, faster
 
 
 def scan(docs: DataFrame, cells: int = CELLS) -> DataFrame:
@@ -103,20 +181,12 @@ def scan(docs: DataFrame, cells: int = CELLS) -> DataFrame:
         kind = pa.int64()
         for batch in batches:
             kind = batch.column("doc_id").type
-            n, sig = [], []
-            for text in raw(batch.column("text")):
-                h = shingles(text)
-                s = signature(h)
-                n.append(len(h))
-                sig.append(s)
-                if s not in seen:
-                    seen.add(s)
-                    counts += np.bincount((h % np.uint64(cells)).astype(np.int64), minlength=cells).astype(np.int32) if len(h) > cells // 8 else 0
-                    if len(h) <= cells // 8:
-                        counts[(h % np.uint64(cells)).astype(np.int64)] += 1
-            empty = pa.nulls(len(n))
+            h, ends = shingles.sets(raw(batch.column("text")))
+            sig = signatures(h, ends)
+            np.add.at(counts, cells_of(h[parts_of(ends, firsts(sig, ends, seen))], cells), np.int32(1))
+            empty = pa.nulls(len(sig))
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), empty.cast(pa.int32()), empty.cast(pa.binary())],
+                [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(sig, pa.int64()), empty.cast(pa.int32()), empty.cast(pa.binary())],
                 ["doc_id", "n", "sig", "slice", "counts"],
             )
         if seen:
@@ -172,30 +242,24 @@ def prefixes(docs: DataFrame, order: Callable[[], tuple], percent: int = PERCENT
         shingles, seen = Shingler(), set()
         full, parts, _ = order()
         for batch in batches:
-            hs, sigs, ns, times, deals = [], [], [], [], []
-            for text in raw(batch.column("text")):
-                h = shingles(text)
-                s = signature(h)
-                if not len(h) or s in seen:
-                    continue
-                seen.add(s)
-                p = prefix_length(len(h), percent)
-                cell = (h % np.uint64(len(full))).astype(np.int64)
-                first = np.argsort(full[cell], kind="stable")[:p]  # h is sorted, so ties go by hash
-                hs.append(h[first])
+            h, ends = shingles.sets(raw(batch.column("text")))
+            sigs = signatures(h, ends)
+            cell = cells_of(h, len(full))
+            rank, sizes = full[cell], np.diff(ends).tolist()
+            own = firsts(sigs, ends, seen)
+            if own:
+                times = [prefix_length(sizes[k], percent) for k in own]
+                # Hashes of a set are sorted, so ties go by hash.
+                first = np.concatenate([ends[k] + np.argsort(rank[ends[k] : ends[k + 1]], kind="stable")[:p] for k, p in zip(own, times, strict=True)])
+                sig = np.repeat(np.array([sigs[k] for k in own], np.int64), times)
                 part = parts[cell[first]].astype(np.int64)
-                deals.append(np.where(part > 1, 1 + np.int64(s) % part, 0))
-                sigs.append(s)
-                ns.append(len(h))
-                times.append(p)
-            if hs:
                 yield pa.record_batch(
                     [
-                        pa.array(np.concatenate(hs).view(np.int64)),
-                        pa.array(np.concatenate(deals), pa.int16()),
-                        pa.array(np.repeat(np.array(sigs, np.int64), times)),
-                        pa.array(np.repeat(np.array(ns, np.int32), times)),
-                        pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in times])),
+                        pa.array(h[first].view(np.int64)),
+                        pa.array(np.where(part > 1, 1 + sig % part, 0), pa.int16()),
+                        pa.array(sig),
+                        pa.array(np.repeat(np.array([sizes[k] for k in own], np.int32), times)),
+                        pa.array(np.concatenate([np.arange(p, dtype=np.int32) for p in times])),
                     ],
                     ["h", "salt", "sig", "n", "pos"],
                 )
@@ -218,6 +282,19 @@ def enough(least, n1, n2, percent: int = PERCENT):
     return least * (100 + percent) >= percent * (n1 + n2)
 
 
+def runs(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], rows: int = LIST_ROWS) -> Iterator[list[np.ndarray]]:
+    """The columns of several batches together, about so many rows."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield [np.concatenate([x.column(c).to_numpy(zero_copy_only=False) for x in held]) for c in columns]
+            held, size = [], 0
+    if held:
+        yield [np.concatenate([x.column(c).to_numpy(zero_copy_only=False) for x in held]) for c in columns]
+
+
 def lists(rows: DataFrame, percent: int = PERCENT, small: int = SMALL, piece: int = HOT_ROWS) -> DataFrame:
     """Candidate pairs (a, b), and the members (h, sig, n, rest) of lists that were not compared in full.
 
@@ -240,22 +317,18 @@ def lists(rows: DataFrame, percent: int = PERCENT, small: int = SMALL, piece: in
             start = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (salt[1:] != salt[:-1])]))
             length = np.diff(np.append(start, len(h)))
             first, second, left = [], [], []
-            for s, m in zip(start.tolist(), length.tolist(), strict=True):
-                whole = not partial and salt[s] == 0
-                if m == 1 and whole:
-                    continue
-                if m > small or not whole:
-                    left.append(np.arange(s, s + m))
-                if m == 1:
-                    continue
-                if m <= small:
-                    i, j = np.triu_indices(m, 1)
-                else:
+            for m in range(2, small + 1):
+                i, j = np.triu_indices(m, 1)
+                of = start[length == m][:, None]
+                first.append((of + i).ravel())
+                second.append((of + j).ravel())
+            kept = (length > small) | (salt[start] != 0) | partial
+            for s, m in zip(start[kept].tolist(), length[kept].tolist(), strict=True):
+                left.append(np.arange(s, s + m))
+                if m > max(small, 1):
                     leaders = {int(np.argmin(priority(sig[s : s + m], seed))) for seed in (1, 2)}
-                    i = np.concatenate([np.full(m, k) for k in leaders])
-                    j = np.tile(np.arange(m), len(leaders))
-                first.append(i + s)
-                second.append(j + s)
+                    first.append(np.concatenate([np.full(m, k + s) for k in leaders]))
+                    second.append(np.tile(np.arange(s, s + m), len(leaders)))
             if first:
                 i, j = np.concatenate(first), np.concatenate(second)
                 near = enough(np.minimum(rest[i], rest[j]), n[i], n[j], percent) & (i != j)
@@ -273,8 +346,7 @@ def lists(rows: DataFrame, percent: int = PERCENT, small: int = SMALL, piece: in
 
         carried: list[np.ndarray] | None = None
         partial = False
-        for batch in batches:
-            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "salt", "sig", "n", "pos")]
+        for now in runs(batches, ("h", "salt", "sig", "n", "pos")):
             if carried is not None:
                 now = [np.concatenate([x, y]) for x, y in zip(carried, now, strict=True)]
             if not len(now[0]):
@@ -342,7 +414,7 @@ def boundaries(sketch: np.ndarray, count: int = FRAGMENTS) -> tuple[np.ndarray,
 
 def fragment_of(hashes: np.ndarray, full: np.ndarray, begins: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """The fragment of each shingle, from 0 for the rarest."""
-    rank = full[(hashes % np.uint64(len(full))).astype(np.int64)].astype(np.int64)
+    rank = full[cells_of(hashes, len(full))].astype(np.int64)
     out = np.zeros(len(hashes), np.int64)
     for r, h in zip(*begins, strict=True):
         out += (rank > r) | ((rank == r) & (hashes >= h))
@@ -364,25 +436,21 @@ def fragments(docs: DataFrame, wanted: Callable[[], np.ndarray], order: Callable
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             hit = bits[bits_of(keys, len(bits))].reshape(2, len(keys)).all(axis=0)
             picked = batch.column("text").take(pa.array(np.flatnonzero(hit)))
-            sigs, hashes, sizes = [], [], []
-            for text in raw(picked):
-                h = shingles(text)
-                s = signature(h)
-                if not len(h) or s in seen:
-                    continue
-                seen.add(s)
-                sigs.append(s)
-                of = fragment_of(h, full, begins)
-                hashes.append(h[np.argsort(of, kind="stable")])
-                sizes.append(np.bincount(of, minlength=count))
-            if sigs:
-                size = np.stack(sizes)
-                ends = pa.array(np.concatenate([[0], np.cumsum(size.ravel())]), pa.int32())
+            h, ends = shingles.sets(raw(picked))
+            sigs = signatures(h, ends)
+            own = firsts(sigs, ends, seen)
+            if own:
+                mine = parts_of(ends, own)
+                h, length = h[mine], np.diff(ends)[own]
+                # A row for each set and fragment, in this order.
+                row = np.repeat(np.arange(len(own)) * count, length) + fragment_of(h, full, begins)
+                size = np.bincount(row, minlength=len(own) * count).reshape(len(own), count)
+                lists_end = pa.array(np.concatenate([[0], np.cumsum(size.ravel())]), pa.int32())
                 yield pa.record_batch(
                     [
-                        pa.array(np.repeat(np.array(sigs, np.int64), count)),
-                        pa.array(np.tile(np.arange(count, dtype=np.int32), len(sigs))),
-                        pa.ListArray.from_arrays(ends, pa.array(np.concatenate(hashes).view(np.int64))),
+                        pa.array(np.repeat(np.array([sigs[k] for k in own], np.int64), count)),
+                        pa.array(np.tile(np.arange(count, dtype=np.int32), len(own))),
+                        pa.ListArray.from_arrays(lists_end, pa.array(h[np.argsort(row, kind="stable")].view(np.int64))),
                         pa.array((size.sum(axis=1, keepdims=True) - np.cumsum(size, axis=1)).ravel().astype(np.int32)),
                     ],
                     ["sig", "fragment", "hashes", "later"],
@@ -453,26 +521,34 @@ def open_lists(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
     )
     split = cut(per.where("kinds > 1"))
     bound = split.agg(F.sum((F.col("size") - F.col("most")).cast("double") * F.col("size"))).first()[0] or 0
-    return cut(member.join(split.select("h", "main"), "h")), int(bound)
+    return cut(member.join(split.select("h", "main", "size"), "h")), int(bound)
 
 
-def crossing(opened: DataFrame, part: int = 1, percent: int = PERCENT) -> DataFrame:
-    """Pairs of one open list in different components: members outside its largest with all others.
+def told_pairs(opened: DataFrame, part: int = 1, percent: int = PERCENT) -> DataFrame:
+    """Pairs of one open list in different components, by each list: members outside its largest with all others.
 
     With part > 1 a hash picks one such pair in so many, to join components cheaply before the
-    rest is compared.
+    rest is compared.  There a member looks in only one of its lists, a long one: a pair of a large
+    group shares many, and each would tell it again.
     """
-    few = opened.where("component <> main").select("h", F.col("sig").alias("s1"), F.col("n").alias("n1"), F.col("rest").alias("r1"), F.col("component").alias("c1"))
+    few = opened.where("component <> main").select("h", F.col("sig").alias("s1"), F.col("n").alias("n1"), F.col("rest").alias("r1"), F.col("component").alias("c1"), "size")
     every = opened.select("h", F.col("sig").alias("s2"), F.col("n").alias("n2"), F.col("rest").alias("r2"), F.col("component").alias("c2"))
     near = enough(F.least("r1", "r2"), F.col("n1"), F.col("n2"), percent)
+    if part > 1:
+        # Of lists about as long as the longest in which sets of its own size pass, a hash picks one.
+        best = F.struct(enough(F.col("r1"), F.col("n1"), F.col("n1"), percent), F.floor(F.log2("size")), F.xxhash64("s1", "h"))
+        few = few.groupBy("s1", "n1", "c1").agg(F.max_by(F.struct("h", "r1"), best).alias("at")).select("s1", "n1", "c1", "at.*")
     return (
         few.join(every, "h")
         .where((F.col("c1") != F.col("c2")) & near & (F.pmod(F.col("s1").bitwiseXOR(F.col("s2")), F.lit(part)) == 0))
         .select(F.least("s1", "s2").alias("a"), F.greatest("s1", "s2").alias("b"))
-        .distinct()
     )
 
 
+def crossing(opened: DataFrame, part: int = 1, percent: int = PERCENT) -> DataFrame:
+    return told_pairs(opened, part, percent).distinct()
+
+
 def groups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL, cells: int = CELLS, hot: int = HOT_ROWS, at_once: int = AT_ONCE) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id reachable by links) of every document.
 

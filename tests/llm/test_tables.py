@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -84,6 +85,35 @@ def test_jaccard_with_long_and_salted_lists(spark):
         assert got == want
 
 
+def test_shingles_of_many_texts_at_once():
+    rare = [" ".join(f"{k}w{j}" for j in range(k % 9)).encode() for k in range(300)]
+    odd = [b"", b" \t", b"a", b"A\x0bb c\td", b"a b c d e", b"A b C d e f ", b" a b" * 9, b"\x00 \x1c a\x00 a b \xc2\x85", b"x" * 64 + b" " + b"y" * 65 + b" " + b"z" * 300 + b" q r s"]
+    texts = [*odd, *rare, b"long " * 70_000 + b"end", *reversed(odd), *rare[:5]]
+    hashes, ends = jaccard.Shingler().sets(texts)
+    known = {}
+    for text, start, end in zip(texts, ends[:-1], ends[1:], strict=True):
+        words = text.lower().split()
+        want = {tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))} if words else set()
+        got = hashes[start:end]
+        assert len(got) == len(want) and (got[1:] > got[:-1]).all()
+        assert (got == jaccard.Shingler()(text)).all()
+        assert known.setdefault(frozenset(want), got.tobytes()) == got.tobytes()
+    assert len(np.unique(hashes)) == len(set().union(*known))
+
+
+def test_shingles_cost_a_few_times_the_splitting():
+    texts = [" ".join(f"{k}v{j}" for j in range(400)).encode() for k in range(1_000)]
+
+    def cost(make):
+        start = time.process_time()
+        make()
+        return time.process_time() - start
+
+    split = min(cost(lambda: [t.lower().split() for t in texts]) for _ in range(3))
+    # With a look-up for each word the sets cost 21 times the splitting.
+    assert min(cost(lambda: jaccard.Shingler().sets(texts)) for _ in range(3)) < 5 * split
+
+
 def jobs_of(spark, make):
     """How many jobs make() runs, and what it returns."""
     tracker = spark.sparkContext.statusTracker()
@@ -103,6 +133,17 @@ def test_few_open_pairs_take_one_round(spark):
     assert jobs < in_rounds and jobs <= 70  # 85 when every round joined anew
 
 
+def test_sampled_pairs_of_long_lists_are_told_at_most_twice(spark):
+    rows = [(h, sig, 20, 20, sig % 50, 0, 200) for h in range(12) for sig in range(200)]
+    rows += [(h, sig, 20, 20, sig % 50, 0, 3) for h in range(20, 80) for sig in (h, h + 1, h + 2)]
+    opened = spark.createDataFrame(rows, "h long, sig long, n int, rest int, component long, main long, size long")
+    every = {tuple(r) for r in jaccard.crossing(opened).collect()}
+    assert every == {(a, b) for a in range(200) for b in range(a + 1, 200) if a % 50 != b % 50}
+    told = Counter(tuple(r) for r in jaccard.told_pairs(opened, 16).collect())
+    assert max(told.values()) <= 2  # once or twice a list they share, when members looked in all their lists
+    assert set(told) == {(a, b) for a, b in every if (a ^ b) % 16 == 0}
+
+
 def test_components_of_a_path_and_a_star_in_few_jobs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)]
     edges += edges[:7] + [(5, 5)]  # repeated ones and a loop are harmless
