@@ -103,20 +103,20 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     """(node, component): the smallest node that each node reaches over edges (a, b).
 
     Labels fall along the edges and then along themselves (a label takes its own label's
-    label), so that paths halve each round.  Every node hears itself too, which brings its old
-    label along without another join; the labels serve both joins of a round from one shuffle.
+    label), so that paths halve each round.  Every node hears its old label too, which comes from
+    the labels and not with each edge; the labels serve both joins of a round from one shuffle.
     Minima are taken by partial aggregation; a node with very many neighbours stays one row a
     task.  The nodes' table is stored each round; the edges are read again, so pass stored ones.
     """
-    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")), F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
     # Repeated edges do no harm to minima, so neither they nor the first labels cost a query of their own.
     both = edges.select("a", "b").where("a <> b").select(F.explode(ends).alias("e")).select("e.*")
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("component"))
     for _ in range(limit):
         named = labels.select(F.col("node").alias("b"), "component")
-        heard = both.join(named, "b").groupBy(F.col("a").alias("node")).agg(
-            F.min("component").alias("b"), F.max(F.when(F.col("a") == F.col("b"), F.col("component"))).alias("old")
-        )
+        told = both.join(named, "b").select(F.col("a").alias("node"), F.col("component").alias("b"), F.lit(None).cast(labels.schema["component"].dataType).alias("old"))
+        own = labels.select("node", F.col("component").alias("b"), F.col("component").alias("old"))
+        heard = told.union(own).groupBy("node").agg(F.min("b").alias("b"), F.max("old").alias("old"))
         after = cut(heard.join(named, "b").select("node", "old", "component"))
         labels = after.select("node", "component")
         if after.where("component <> old").isEmpty():

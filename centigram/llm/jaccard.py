@@ -47,6 +47,8 @@ SMALL = 4
 HOT_ROWS = 50_000
 #: Shares of the open pairs compared in each round, one in so many; the last takes all that are left.
 ROUNDS = (16, 1)
+#: Others that a member of a long list meets in a round that is not the last, about so many whatever the list's length.
+MEETS = 64
 #: Open pairs, bounded by their lists' sizes, that the last round takes without rounds before it.
 AT_ONCE = 2_000_000
 #: Bits of the filter that keeps candidate classes when texts are read again.
@@ -529,7 +531,8 @@ def told_pairs(opened: DataFrame, part: int = 1, percent: int = PERCENT) -> Data
 
     With part > 1 a hash picks one such pair in so many, to join components cheaply before the
     rest is compared.  There a member looks in only one of its lists, a long one: a pair of a large
-    group shares many, and each would tell it again.
+    group shares many, and each would tell it again.  In a list of over part * MEETS members it meets
+    MEETS others or so, lest the pairs grow with the square of the list.
     """
     few = opened.where("component <> main").select("h", F.col("sig").alias("s1"), F.col("n").alias("n1"), F.col("rest").alias("r1"), F.col("component").alias("c1"), "size")
     every = opened.select("h", F.col("sig").alias("s2"), F.col("n").alias("n2"), F.col("rest").alias("r2"), F.col("component").alias("c2"))
@@ -537,10 +540,11 @@ def told_pairs(opened: DataFrame, part: int = 1, percent: int = PERCENT) -> Data
     if part > 1:
         # Of lists about as long as the longest in which sets of its own size pass, a hash picks one.
         best = F.struct(enough(F.col("r1"), F.col("n1"), F.col("n1"), percent), F.floor(F.log2("size")), F.xxhash64("s1", "h"))
-        few = few.groupBy("s1", "n1", "c1").agg(F.max_by(F.struct("h", "r1"), best).alias("at")).select("s1", "n1", "c1", "at.*")
+        few = few.groupBy("s1", "n1", "c1").agg(F.max_by(F.struct("h", "r1", "size"), best).alias("at")).select("s1", "n1", "c1", "at.*")
+    share = F.greatest(F.lit(part), F.col("size") / MEETS).cast("long") if part > 1 else F.lit(1)
     return (
         few.join(every, "h")
-        .where((F.col("c1") != F.col("c2")) & near & (F.pmod(F.col("s1").bitwiseXOR(F.col("s2")), F.lit(part)) == 0))
+        .where((F.col("c1") != F.col("c2")) & near & (F.pmod(F.col("s1").bitwiseXOR(F.col("s2")), share) == 0))
         .select(F.least("s1", "s2").alias("a"), F.greatest("s1", "s2").alias("b"))
     )
 
@@ -588,8 +592,9 @@ def groups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL, cells: i
         pairs = pairs.union(more)
         fresh = linked(docs, more, heads, lambda: order.value, percent=percent)
         if not fresh.isEmpty():
-            links = links.union(fresh)
-            labels, opened = components(links), None
+            # What is known of a component is one link from each of its members.
+            known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            labels, opened = components(known.union(fresh)), None
     named = heads.join(labels.select(F.col("node").alias("sig"), F.col("component").alias("class")), "sig", "left")
     named = named.select("sig", "head", F.coalesce("class", "sig").alias("class"))
     least = named.groupBy("class").agg(F.min("head").alias("least"))
