@@ -48,7 +48,7 @@ HOT_ROWS = 50_000
 #: Shares of the open pairs compared in each round, one in so many; the last takes all that are left.
 ROUNDS = (16, 1)
 #: Others that a member of a long list meets in a round that is not the last, about so many whatever the list's length.
-MEETS = 64
+MEETS = 128
 #: Open pairs, bounded by their lists' sizes, that the last round takes without rounds before it.
 AT_ONCE = 2_000_000
 #: Bits of the filter that keeps candidate classes when texts are read again.
