@@ -142,7 +142,7 @@ def test_sampled_pairs_of_long_lists_are_told_at_most_twice(spark):
     told = Counter(tuple(r) for r in jaccard.told_pairs(opened, 16).collect())
     assert max(told.values()) <= 2  # once or twice a list they share, when members looked in all their lists
     assert set(told) == {(a, b) for a, b in every if (a ^ b) % 16 == 0}
-    long = spark.createDataFrame([(1, sig, 20, 20, sig, -1, 2_000) for sig in range(4_000)], opened.schema)
+    long = spark.createDataFrame([(1, sig, 20, 20, sig, -1, 4_000) for sig in range(4_000)], opened.schema)
     assert jaccard.told_pairs(long, 16).count() < 4_000 * 160  # 4,000 * 249 when each met a sixteenth of the list
 
 
